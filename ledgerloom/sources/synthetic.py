@@ -1,0 +1,231 @@
+"""Seeded synthetic deliveries as column expressions over an index column.
+
+Any row can be computed from its index alone, so the work spreads over the cluster and a
+lost task gives the same rows again. Random draws are slices of an md5 of seed, table and
+index.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.functions import reference_data as ref
+
+SLICE = 7  # hex digits per draw: 28 bits
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Rows per table; the defaults follow the usual 1 : 20 : 10 : 100 proportions."""
+
+    customers: int = 50_000
+    accounts: int = 100_000
+    merchants: int = 10_000
+    transactions: int = 1_000_000
+    seed: int = 42
+
+    @staticmethod
+    def for_transactions(n: int, seed: int = 42) -> Sizes:
+        return Sizes(max(n // 20, 1), max(n // 10, 1), max(n // 100, 1), n, seed)
+
+
+def make_id(kind: str, index: Column, prefix: str) -> Column:
+    """Prefix and 12 upper-case hex digits of the md5 of kind and index."""
+    digest = F.md5(F.concat(F.lit(kind + "_"), index.cast("string")).cast("binary"))
+    return F.concat(F.lit(prefix), F.upper(F.substring(digest, 1, 12)))
+
+
+def customer_id(index: Column) -> Column:
+    return make_id("cust", index, "CUST")
+
+
+def account_id(index: Column) -> Column:
+    return make_id("acct", index, "ACCT")
+
+
+def merchant_id(index: Column) -> Column:
+    return make_id("merch", index, "MERCH")
+
+
+def transaction_id(index: Column) -> Column:
+    return make_id("txn", index, "TXN")
+
+
+def _with_digest(rows: DataFrame, kind: str, seed: int) -> DataFrame:
+    """Add two digests, enough for eight independent draws."""
+    def digest(part: str) -> Column:
+        text = F.concat(F.lit(f"{seed}_{kind}_{part}_"), F.col("i").cast("string"))
+        return F.md5(text.cast("binary"))
+
+    return rows.withColumns({"_a": digest("a"), "_b": digest("b")})
+
+
+def _draw(n: int, modulus: int | Column) -> Column:
+    """Draw n (0 to 7) as an integer below the modulus."""
+    source, place = ("_a", n) if n < 4 else ("_b", n - 4)
+    hexed = F.substring(F.col(source), place * SLICE + 1, SLICE)
+    return F.conv(hexed, 16, 10).cast("long") % modulus
+
+
+def _pick(values: list[str], n: int) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (_draw(n, len(values)) + 1).cast("int"))
+
+
+def _currency_of(country: Column) -> Column:
+    pairs = []
+    for code, (_, currency) in ref.COUNTRIES.items():
+        pairs += [F.lit(code), F.lit(currency)]
+    return F.element_at(F.create_map(*pairs), country)
+
+
+def _cents(n: int, low: int, high: int) -> Column:
+    """Money text between two whole amounts."""
+    cents = _draw(n, (high - low) * 100) + low * 100
+    return (cents.cast("decimal(18,0)") / F.lit(100)).cast("decimal(18,2)").cast("string")
+
+
+def gen_customers(rows: DataFrame, seed: int = 42) -> DataFrame:
+    """`rows` has the index column i, as in `spark.range(n).toDF("i")`."""
+    d = _with_digest(rows, "customer", seed)
+    first = F.concat(F.lit("Given"), F.lpad((_draw(0, 56)).cast("string"), 3, "0"))
+    last = F.concat(F.lit("Family"), F.lpad((_draw(1, 56)).cast("string"), 3, "0"))
+    created = F.date_add(F.lit("2022-01-01").cast("date"), _draw(2, 365).cast("int"))
+    stamp = F.concat(created.cast("string"), F.lit(" 00:00:00"))
+    domains = ["gmail.com", "yahoo.com", "outlook.com", "company.com"]
+    return d.select(
+        customer_id(F.col("i")).alias("customer_id"),
+        first.alias("first_name"),
+        last.alias("last_name"),
+        F.concat(F.lower(first), F.lit("."), F.lower(last), (_draw(3, 999) + 1).cast("string"),
+                 F.lit("@"), _pick(domains, 4)).alias("email"),
+        F.concat(F.lit("+1"), (_draw(5, 100_000_000) + 2_000_000_000).cast("string")).alias("phone"),
+        F.date_add(F.lit("1950-01-01").cast("date"), _draw(6, 18_628).cast("int")).cast("string").alias("date_of_birth"),
+        _pick(list(ref.COUNTRIES), 7).alias("country_code"),
+        stamp.alias("created_at"),
+        stamp.alias("updated_at"),
+    )
+
+
+def gen_accounts(rows: DataFrame, customers: int, seed: int = 42) -> DataFrame:
+    """Account i belongs to customer i modulo the number of customers."""
+    d = _with_digest(rows, "account", seed)
+    opened = F.date_add(F.lit("2021-01-01").cast("date"), _draw(0, 730).cast("int"))
+    digits = F.concat(F.lpad(_draw(1, 100_000_000).cast("string"), 8, "0"),
+                      F.lpad(_draw(2, 100_000_000).cast("string"), 8, "0"))
+    return d.select(
+        account_id(F.col("i")).alias("account_id"),
+        customer_id(F.col("i") % customers).alias("customer_id"),
+        _pick(ref.ACCOUNT_TYPES, 3).alias("account_type"),
+        digits.alias("account_number"),
+        _cents(4, 100, 100_000).alias("balance"),
+        _currency_of(_pick(list(ref.COUNTRIES), 5)).alias("currency"),
+        F.lit("ACTIVE").alias("status"),
+        opened.cast("string").alias("opened_date"),
+        F.lit(None).cast("string").alias("closed_date"),
+    )
+
+
+def gen_merchants(rows: DataFrame, seed: int = 42) -> DataFrame:
+    d = _with_digest(rows, "merchant", seed)
+    category = _pick(ref.MERCHANT_CATEGORIES, 0)
+    city = F.concat(F.lit("CITY"), _draw(1, 10).cast("string"))
+    pairs = []
+    for name, code in ref.MCC_CODES.items():
+        pairs += [F.lit(name), F.lit(code)]
+    return d.select(
+        merchant_id(F.col("i")).alias("merchant_id"),
+        F.concat(F.lit("Shop"), _draw(2, 46).cast("string"), F.lit(" - "), city, F.lit(" #"),
+                 (_draw(3, 999) + 1).cast("string")).alias("merchant_name"),
+        category.alias("category"),
+        _pick(list(ref.COUNTRIES), 4).alias("country_code"),
+        city.alias("city"),
+        F.element_at(F.create_map(*pairs), category).alias("mcc_code"),
+    )
+
+
+def bad_class(index: Column, transactions: int, shares: dict[str, float] | None = None) -> Column:
+    """Bad-data class of a row: consecutive index ranges from zero on, NULL for good rows."""
+    upper, branches = 0, []
+    for name, percent in (shares or ref.BAD_SHARE_PCT).items():
+        upper += int(transactions * percent / 100)
+        branches.append(F.when(index < upper, F.lit(name)))
+    return F.coalesce(*branches)
+
+
+def gen_transactions(rows: DataFrame, sizes: Sizes, include_bad_data: bool = True) -> DataFrame:
+    """Transactions with valid keys, and six classes of damage on the first rows."""
+    i = F.col("i")
+    d = _with_digest(rows, "transaction", sizes.seed)
+    kind = bad_class(i, sizes.transactions) if include_bad_data else F.lit(None).cast("string")
+    customer = _draw(0, sizes.customers)
+    per_customer = max(sizes.accounts // sizes.customers, 1)
+    account = F.least(customer + _draw(1, per_customer) * sizes.customers, F.lit(sizes.accounts - 1))
+    day = F.date_add(F.lit("2023-01-01").cast("date"), _draw(3, 731).cast("int")).cast("string")
+    clock = F.concat_ws(":", F.lpad(_draw(4, 24).cast("string"), 2, "0"),
+                        F.lpad((_draw(4, 86_400) % 60).cast("string"), 2, "0"), F.lit("00"))
+    country = _pick(list(ref.COUNTRIES), 5)
+    base = d.select(
+        "i", "_a", "_b",
+        kind.alias("bad"),
+        transaction_id(i).alias("plain_id"),
+        customer_id(customer).alias("customer_id"),
+        account_id(account).alias("account_id"),
+        merchant_id(_draw(2, sizes.merchants)).alias("merchant_id"),
+        day.alias("transaction_date"),
+        F.concat(day, F.lit(" "), clock).alias("transaction_timestamp"),
+        _cents(6, 1, 5_000).alias("amount"),
+        _currency_of(country).alias("currency"),
+        _pick(ref.TRANSACTION_TYPES, 7).alias("transaction_type"),
+        F.element_at(F.array(*[F.lit(s) for s in ref.STATUSES]), (_draw(7, 30) % 5 + 1).cast("int")).alias("status"),
+        _pick(ref.CHANNELS, 4).alias("channel"),
+        country.alias("country_code"),
+    )
+    bad = F.col("bad")
+    marker = F.create_map(*[F.lit(x) for pair in ref.BAD_MARKERS.items() for x in pair])
+    # a duplicate reuses the id of one of the rows 0, 1000, 2000, ... before it
+    reused = _draw(0, F.greatest(F.floor((i + 999) / 1000), F.lit(1))) * 1000
+    ident = F.when((bad == "duplicate") & (i > 0), transaction_id(reused)).otherwise(
+        F.concat(F.coalesce(F.try_element_at(marker, bad), F.lit("")), F.col("plain_id"))
+    )
+    nulled = F.element_at(F.array(*[F.lit(c) for c in ("customer_id", "amount", "currency", "transaction_type")]),
+                          (_draw(1, 4) + 1).cast("int"))
+    orphan = F.element_at(F.array(*[F.lit(c) for c in ref.ORPHAN_IDS]), (_draw(1, 3) + 1).cast("int"))
+
+    def damaged(name: str) -> Column:
+        value = F.col(name)
+        if name in ("customer_id", "amount", "currency", "transaction_type"):
+            value = F.when(~((bad == "null") & (nulled == name)) | bad.isNull(), value)
+        if name in ref.ORPHAN_IDS:
+            value = F.when((bad == "orphan_fk") & (orphan == name), ref.ORPHAN_IDS[name]).otherwise(value)
+        if name == "amount":
+            value = F.when(bad == "negative_amount", F.concat(F.lit("-"), value)).otherwise(value)
+        if name == "currency":
+            value = F.when(bad == "invalid_currency", _pick(ref.BAD_CURRENCY_TEXTS, 1)).otherwise(value)
+        if name == "transaction_date":
+            value = F.when(bad == "malformed_date", _pick(ref.BAD_DATE_TEXTS, 1)).otherwise(value)
+        return value.alias(name)
+
+    return base.select(
+        ident.alias("transaction_id"),
+        *[damaged(c) for c in (
+            "customer_id", "account_id", "merchant_id", "transaction_date", "transaction_timestamp",
+            "amount", "currency", "transaction_type", "status", "channel", "country_code",
+        )],
+        F.concat("transaction_type", F.lit(" at "), F.substring("merchant_id", 1, 8), F.lit("...")).alias("description"),
+    )
+
+
+def generate_all(spark: SparkSession, sizes: Sizes, include_bad_data: bool = True) -> dict[str, DataFrame]:
+    """The four deliveries with intact references."""
+    def index(n: int) -> DataFrame:
+        return spark.range(n).toDF("i")
+
+    return {
+        "customers": gen_customers(index(sizes.customers), sizes.seed),
+        "accounts": gen_accounts(index(sizes.accounts), sizes.customers, sizes.seed),
+        "merchants": gen_merchants(index(sizes.merchants), sizes.seed),
+        "transactions": gen_transactions(index(sizes.transactions), sizes, include_bad_data),
+    }
