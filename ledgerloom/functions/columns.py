@@ -24,7 +24,8 @@ def mean_of(value: Column | str) -> Column:
 
 def pct(part: Column, whole: Column) -> Column:
     """part / whole in percent, 0 for an empty whole."""
-    return part.cast("double") / F.greatest(whole, F.lit(1)).cast("double") * 100
+    # multiply first: the quotient is then the double nearest to the true percentage
+    return (part * 100).cast("double") / F.greatest(whole, F.lit(1)).cast("double")
 
 
 def pct_change(current: Column, previous: Column) -> Column:

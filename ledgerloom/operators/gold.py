@@ -15,8 +15,9 @@ from ledgerloom.functions.columns import (
 )
 from ledgerloom.operators.joins import DATE_ATTRIBUTES, with_date, with_date_and_merchant, with_dimension
 
-COMPLETED = F.lit("COMPLETED")
-ROWS = F.count(F.lit(1))
+
+def row_count() -> Column:
+    return F.count(F.lit(1))
 
 
 def completed(fact: DataFrame) -> DataFrame:
@@ -40,7 +41,7 @@ def revenue_summary(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Per day, channel, type, status and country. The calendar attributes follow from the
     day, so they are joined after the aggregate and never shuffled."""
     summary = fact.groupBy("date_key", "channel", "transaction_type", "status", "country_code").agg(
-        ROWS.alias("transaction_count"),
+        row_count().alias("transaction_count"),
         F.sum("amount_usd").alias("total_revenue_usd"),
         mean_of("amount_usd").alias("avg_transaction_value"),
         F.min("amount_usd").alias("min_transaction_value"),
@@ -59,7 +60,7 @@ def revenue_summary_nb(fact: DataFrame, dim_date: DataFrame, dim_merchant: DataF
         fact, dim_date, dim_merchant, ["year", "quarter", "month", "month_name"], ["merchant_category"]
     )
     return rows.groupBy("year", "quarter", "month", "month_name", "channel", "merchant_category").agg(
-        ROWS.alias("transaction_count"),
+        row_count().alias("transaction_count"),
         F.sum("amount_usd").cast("decimal(18,2)").alias("total_revenue_usd"),
         F.avg("amount_usd").cast("decimal(18,2)").alias("avg_transaction_amount"),
         F.count_distinct("customer_key").alias("unique_customers"),
@@ -70,7 +71,7 @@ def revenue_summary_nb(fact: DataFrame, dim_date: DataFrame, dim_merchant: DataF
 
 def customer_stats(fact: DataFrame) -> DataFrame:
     return completed(fact).groupBy("customer_key").agg(
-        ROWS.alias("total_transactions"),
+        row_count().alias("total_transactions"),
         F.sum("amount_usd").alias("lifetime_value_usd"),
         mean_of("amount_usd").alias("avg_transaction_value"),
         F.min("transaction_timestamp").alias("first_transaction_date"),
@@ -85,7 +86,7 @@ def preferred_channel(fact: DataFrame) -> DataFrame:
 
     The second aggregate sees one row per (customer, channel), so no window is needed.
     """
-    uses = fact.groupBy("customer_key", "channel").agg(ROWS.alias("n"))
+    uses = fact.groupBy("customer_key", "channel").agg(row_count().alias("n"))
     return uses.groupBy("customer_key").agg(
         F.min_by("channel", F.struct((-F.col("n")).alias("n"), F.col("channel").alias("c"))).alias("preferred_channel")
     )
@@ -115,7 +116,7 @@ def customer_analytics(fact: DataFrame, dim_customer: DataFrame, as_of: Column |
 
 def customer_metrics_nb(fact: DataFrame) -> DataFrame:
     return fact.groupBy("customer_key").agg(
-        ROWS.alias("total_transactions"),
+        row_count().alias("total_transactions"),
         F.sum("amount_usd").cast("decimal(18,2)").alias("lifetime_value_usd"),
         F.avg("amount_usd").cast("decimal(18,2)").alias("avg_transaction_amount"),
         F.min("transaction_timestamp").alias("first_transaction_date"),
@@ -140,7 +141,7 @@ def customer_analytics_nb(fact: DataFrame, dim_customer: DataFrame, as_of: Colum
 
 def merchant_analytics(fact: DataFrame, dim_merchant: DataFrame) -> DataFrame:
     stats = completed(fact).groupBy("merchant_key").agg(
-        ROWS.alias("total_transactions"),
+        row_count().alias("total_transactions"),
         F.sum("amount_usd").alias("total_revenue_usd"),
         mean_of("amount_usd").alias("avg_transaction_value"),
         F.count_distinct("customer_key").alias("unique_customers"),
@@ -160,7 +161,7 @@ def merchant_analytics(fact: DataFrame, dim_merchant: DataFrame) -> DataFrame:
 
 def merchant_analytics_nb(fact: DataFrame, dim_merchant: DataFrame) -> DataFrame:
     metrics = fact.groupBy("merchant_key").agg(
-        ROWS.alias("total_transactions"),
+        row_count().alias("total_transactions"),
         F.sum("amount_usd").cast("decimal(18,2)").alias("total_revenue_usd"),
         F.avg("amount_usd").cast("decimal(18,2)").alias("avg_transaction_amount"),
         F.count_distinct("customer_key").alias("unique_customers"),
@@ -181,7 +182,7 @@ def merchant_analytics_nb(fact: DataFrame, dim_merchant: DataFrame) -> DataFrame
 def channel_performance(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     rows = with_date(fact, dim_date, ["year", "month", "month_name"])
     perf = rows.groupBy("year", "month", "month_name", "channel").agg(
-        ROWS.alias("transaction_count"),
+        row_count().alias("transaction_count"),
         F.sum("amount_usd").alias("total_revenue_usd"),
         mean_of("amount_usd").alias("avg_transaction_value"),
         F.count_distinct("customer_key").alias("unique_customers"),
@@ -196,7 +197,7 @@ def channel_performance(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def channel_performance_nb(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     rows = with_date(fact, dim_date, ["year", "month"])
     perf = rows.groupBy("year", "month", "channel").agg(
-        ROWS.alias("transaction_count"),
+        row_count().alias("transaction_count"),
         F.sum("amount_usd").cast("decimal(18,2)").alias("total_revenue_usd"),
         F.avg("amount_usd").cast("decimal(18,2)").alias("avg_transaction_amount"),
         F.count_distinct("customer_key").alias("unique_customers"),
@@ -208,7 +209,7 @@ def channel_performance_nb(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def breakdown(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Count, revenue, average and distinct customers and merchants per group."""
     return rows.groupBy(*keys).agg(
-        ROWS.alias("transaction_count"),
+        row_count().alias("transaction_count"),
         F.sum("amount_usd").alias("total_revenue_usd"),
         mean_of("amount_usd").alias("avg_transaction_value"),
         F.count_distinct("customer_key").alias("unique_customers"),

@@ -10,24 +10,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ledgerloom.functions.columns import mean_of, pct_change, ratio, trend_label
-from ledgerloom.operators.gold import ROWS, completed, fraud_count
+from ledgerloom.operators.gold import completed, fraud_count, row_count
 from ledgerloom.operators.joins import with_date
 
-BY_DAY = W.orderBy("date_key")
-BY_MONTH = W.orderBy("year", "month")
+
+def by_day() -> WindowSpec:
+    return W.orderBy("date_key")
+
+
+def by_month() -> WindowSpec:
+    return W.orderBy("year", "month")
 
 
 def rolling_mean(column: str, rows: int) -> Column:
     """Mean over the current row and the rows before it (rows, not calendar days)."""
-    frame = BY_DAY.rowsBetween(1 - rows, 0)
+    frame = by_day().rowsBetween(1 - rows, 0)
     return F.sum(column).over(frame).cast("double") / F.count(column).over(frame)
 
 
 def activity(fact: DataFrame, keys: list[str]) -> DataFrame:
     return fact.groupBy(*keys).agg(
-        ROWS.alias("transaction_count"),
+        row_count().alias("transaction_count"),
         F.sum("amount_usd").alias("total_revenue"),
         mean_of("amount_usd").alias("avg_order_value"),
         F.count_distinct("customer_key").alias("active_customers"),
@@ -51,7 +57,7 @@ def with_rolling(daily: DataFrame, rows: int) -> DataFrame:
 
 
 def with_dod_change(daily: DataFrame) -> DataFrame:
-    previous = F.lag("total_revenue", 1).over(BY_DAY)
+    previous = F.lag("total_revenue", 1).over(by_day())
     return daily.withColumn("revenue_dod_change", pct_change(F.col("total_revenue"), previous))
 
 
@@ -66,7 +72,7 @@ def daily_kpis(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def daily_kpis_nb(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     daily = fact.groupBy("date_key").agg(
-        ROWS.alias("transaction_count"),
+        row_count().alias("transaction_count"),
         F.sum("amount_usd").cast("decimal(18,2)").alias("total_revenue"),
         F.avg("amount_usd").cast("decimal(18,2)").alias("avg_order_value"),
         F.count_distinct("customer_key").alias("unique_customers"),
@@ -84,7 +90,7 @@ def daily_kpis_nb(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def monthly_base(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     rows = with_date(completed(fact), dim_date, ["year", "month", "month_name"])
     monthly = rows.groupBy("year", "month", "month_name").agg(
-        ROWS.alias("transaction_count"),
+        row_count().alias("transaction_count"),
         F.sum("amount_usd").alias("total_revenue"),
         mean_of("amount_usd").alias("avg_order_value"),
         F.count_distinct("customer_key").alias("active_customers"),
@@ -92,19 +98,19 @@ def monthly_base(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         F.count_distinct("date_key").alias("active_days"),
     )
     return monthly.withColumns({
-        "revenue_per_day": F.round(F.try_divide(F.col("total_revenue").cast("double"), F.col("active_days")), 2),
+        "revenue_per_day": ratio(F.col("total_revenue").cast("decimal(18,2)"), F.col("active_days"), 2),
         "transactions_per_day": F.round(F.try_divide("transaction_count", "active_days"), 2),
     })
 
 
 def with_mom_change(monthly: DataFrame) -> DataFrame:
-    previous = F.lag("total_revenue", 1).over(BY_MONTH)
+    previous = F.lag("total_revenue", 1).over(by_month())
     return monthly.withColumn("revenue_mom_change", pct_change(F.col("total_revenue"), previous))
 
 
 def with_yoy_change(monthly: DataFrame) -> DataFrame:
     """Against the row twelve rows earlier, whatever month that is."""
-    previous = F.lag("total_revenue", 12).over(BY_MONTH)
+    previous = F.lag("total_revenue", 12).over(by_month())
     return monthly.withColumn("revenue_yoy_change", pct_change(F.col("total_revenue"), previous))
 
 
@@ -125,7 +131,7 @@ def monthly_kpis(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def monthly_kpis_nb(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     rows = with_date(fact, dim_date, ["year", "month", "month_name"])
     monthly = rows.groupBy("year", "month", "month_name").agg(
-        ROWS.alias("transaction_count"),
+        row_count().alias("transaction_count"),
         F.sum("amount_usd").cast("decimal(18,2)").alias("total_revenue"),
         F.avg("amount_usd").cast("decimal(18,2)").alias("avg_order_value"),
         F.count_distinct("customer_key").alias("unique_customers"),
@@ -154,7 +160,7 @@ def new_vs_returning(fact: DataFrame) -> DataFrame:
     """
     first_days = fact.groupBy("customer_key").agg(F.min("date_key").alias("date_key"))
     new = first_days.filter(F.col("customer_key").isNotNull()).groupBy("date_key").agg(
-        ROWS.alias("new_customers")
+        row_count().alias("new_customers")
     )
     active = fact.groupBy("date_key").agg(F.count_distinct("customer_key").alias("active_customers"))
     counts = active.join(new, "date_key", "left")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import reference_data as ref
-from ledgerloom.functions.columns import count_if, mean_of
+from ledgerloom.functions.columns import count_if, mean_of, pct
 from ledgerloom.operators.joins import orphan_counts
 
 
@@ -72,7 +72,7 @@ def ref_integrity(
 
 
 def _result(check: Check, failed: Column, of_rows: Column) -> Column:
-    share = failed.cast("double") / F.greatest(of_rows, F.lit(1)).cast("double") * 100
+    share = pct(failed, of_rows)
     return F.struct(
         F.lit(check.name).alias("check_name"),
         F.lit(check.severity).alias("severity"),
@@ -158,7 +158,7 @@ def threshold_gate(results: DataFrame, environment: str) -> DataFrame:
     limit = F.when(F.col("check_name").startswith("not_null_"), F.lit(limits["null_pct"])).when(
         F.col("check_name").startswith("unique_"), F.lit(limits["duplicate_pct"])
     )
-    share = F.col("failed_rows").cast("double") / F.greatest(F.col("checked_rows"), F.lit(1)).cast("double") * 100
+    share = pct(F.col("failed_rows"), F.col("checked_rows"))
     return results.filter(limit.isNotNull()).select(
         F.lit(environment).alias("environment"),
         "check_name",
@@ -181,18 +181,14 @@ def enforce_gate(gate: DataFrame) -> None:
 
 
 def amount_profile(df: DataFrame, column: str = "amount") -> DataFrame:
-    """Count, range, mean and sample standard deviation, from exact decimal sums."""
+    """Count, range, mean and sample standard deviation of the parseable amounts."""
     value = F.col(column).try_cast("decimal(18,2)")
-    n = F.count(value)
-    total = F.sum(value).cast("double")
-    squares = F.sum(value * value).cast("double")
-    variance = (squares - total * total / n) / (n - 1)
     return df.agg(
-        n.alias("n"),
+        F.count(value).alias("n"),
         F.min(value).alias("min_amount"),
         F.max(value).alias("max_amount"),
         mean_of(value).alias("avg_amount"),
-        F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("stddev_amount"),
+        F.stddev_samp(value).alias("stddev_amount"),
     )
 
 

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerloom.functions import reference_data as ref
+from ledgerloom.functions.columns import pct
 from ledgerloom.operators.joins import orphan_rows
 from ledgerloom.operators.rules import REASON, REASONS, strict_reason
-from ledgerloom.functions import reference_data as ref
 
 
 def to_quarantine(
@@ -138,7 +139,7 @@ def rate_alert(total_rows: DataFrame, rejected_records: DataFrame, limit_pct: fl
     """
     total, rejected = total_rows.scalar(), rejected_records.scalar()
     one = total_rows.sparkSession.range(1)
-    rate = rejected.cast("double") / F.greatest(total, F.lit(1)).cast("double") * 100
+    rate = pct(rejected, total)
     return one.select(
         total.alias("total_rows"), rejected.alias("rejected_rows"),
         rate.alias("rate_pct"), (rate > limit_pct).alias("alert"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import reference_data as ref
+from ledgerloom.functions.columns import pct
 
 
 def segment_distribution(customers: DataFrame) -> DataFrame:
@@ -68,5 +69,5 @@ def run_metrics(step: str, tagged: DataFrame, valid: Column) -> DataFrame:
     return counts.select(
         F.lit(step).alias("step"), "input_rows", "output_rows",
         (F.col("input_rows") - F.col("output_rows")).alias("rejected_rows"),
-        (F.col("output_rows").cast("double") / F.greatest("input_rows", F.lit(1)).cast("double") * 100).alias("success_rate"),
+        pct(F.col("output_rows"), F.col("input_rows")).alias("success_rate"),
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import dimensions, facts, quality, quarantine, rules
-from ledgerloom.sources.readers import read_table
-from ledgerloom.sources.sinks import append, overwrite, write_table
+from ledgerloom.sources.readers import is_path, read_table
+from ledgerloom.sources.sinks import overwrite, overwrite_partitions, write_table
 
 
 def transform(
@@ -20,9 +21,16 @@ def transform(
     return fact, rejected
 
 
-def by_month(fact: DataFrame) -> DataFrame:
-    """Month of the transaction as partition column: a day would give tiny directories."""
-    return fact.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
+def placed(rows: DataFrame, **extra: Column) -> DataFrame:
+    """Add the partition columns: the batch a row came with, and what the caller names."""
+    batch = "_batch_id" if "_batch_id" in rows.columns else "batch_id"
+    # prefixed, so that a numeric batch id is not read back as a number
+    return rows.withColumns({"load": F.concat(F.lit("batch_"), F.col(batch)), **extra})
+
+
+def month_key() -> Column:
+    """Month of the transaction: a day per directory would give tiny files."""
+    return F.floor(F.col("date_key") / 100).cast("int")
 
 
 def transform_transactions(
@@ -37,45 +45,51 @@ def transform_transactions(
 ) -> DataFrame:
     """Process new batches and return the quality report, one row per check.
 
-    Incremental runs take the batches from `since_batch_id` on, or those the fact and the
-    quarantine have not seen. Full runs overwrite. With a `gate` environment the run stops
-    before writing when a threshold is breached and the environment demands it.
+    Incremental runs take the batches from `since_batch_id` on, or those not yet logged as
+    processed. Each batch has its own partitions, which are overwritten, and is logged only
+    after both writes: a run that died half-way is simply run again. Full runs overwrite
+    everything. With a `gate` environment the run stops before writing when a threshold is
+    breached and the environment demands it.
     """
     raw = read_table(spark, raw_table)
+    log = f"{fact_table}_batches"
     if incremental and since_batch_id is not None:
         raw = facts.since_batch(raw, since_batch_id)
-    elif incremental:
-        raw = _unseen(spark, raw, fact_table, quarantine_table)
+    elif incremental and table_exists(spark, log):
+        raw = facts.unprocessed_batches(raw, read_table(spark, log))
+    # one short text per new batch; pins the selection and prunes row groups
+    batches = [row[0] for row in raw.select("_batch_id").distinct().collect()]
+    raw = read_table(spark, raw_table)
+    if incremental:
+        raw = raw.filter(F.col("_batch_id").isin(batches))
 
     report = quality.run_checks(raw, quality.transaction_suite())
     if gate is not None:
         quality.enforce_gate(quality.threshold_gate(report, gate))
 
-    # the batches to process depend on the tables written below, so they are fixed first
-    batches = [r[0] for r in raw.select("_batch_id").distinct().collect()] if incremental else None
-    if batches is not None:
-        raw = read_table(spark, raw_table).filter(F.col("_batch_id").isin(batches))
     fact, rejected = transform(raw, at=at)
-    save = append if incremental else overwrite
-    save(rejected, quarantine_table, partition_by=["quarantine_date"])
-    save(by_month(fact), fact_table, partition_by=["month_key"])
+    fact, rejected = placed(fact, month_key=month_key()), placed(rejected)
+    for rows, table, parts in (
+        (rejected, quarantine_table, ["quarantine_date", "load"]),
+        (fact, fact_table, ["load", "month_key"]),
+    ):
+        if incremental:
+            overwrite_partitions(spark, rows, table, parts)
+        else:
+            overwrite(rows, table, partition_by=parts)
+    if batches:
+        done = spark.createDataFrame([(b,) for b in batches], "_batch_id string")
+        write_table(done.coalesce(1), log, mode="append" if incremental else "overwrite")
     return report
 
 
-def _unseen(spark: SparkSession, raw: DataFrame, fact_table: str, quarantine_table: str) -> DataFrame:
-    """Rows of batches that left no trace yet, in the fact or in the quarantine."""
-    for table, column in ((fact_table, "_batch_id"), (quarantine_table, "batch_id")):
-        if table_exists(spark, table):
-            done = read_table(spark, table).select(F.col(column).alias("_batch_id"))
-            raw = facts.unprocessed_batches(raw, done)
-    return raw
-
-
 def table_exists(spark: SparkSession, reference: str) -> bool:
-    if "/" not in reference:
+    if not is_path(reference):
         return spark.catalog.tableExists(reference)
-    path = spark._jvm.org.apache.hadoop.fs.Path(reference)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    try:
+        return bool(spark.read.parquet(reference).columns)
+    except AnalysisException:
+        return False
 
 
 def build_all_dimensions(

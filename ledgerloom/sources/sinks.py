@@ -6,8 +6,6 @@ is written to a new location; a path is never overwritten while it is being read
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,6 +30,7 @@ def write_table(
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("mergeSchema", str(merge_schema).lower())
+    writer = writer.option("partitionOverwriteMode", "static")  # overwrite replaces everything
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if is_path(target):
@@ -55,18 +54,22 @@ def overwrite(df: DataFrame, target: str, **options) -> int:
     return write_counted(df, target, mode="overwrite", **options)
 
 
-def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str]) -> None:
+def overwrite_partitions(
+    spark: SparkSession, df: DataFrame, target: str, partition_by: list[str]
+) -> None:
     """Replace only the partitions present in df; a rerun of the same batch changes nothing.
 
     Partitions that df does not mention are kept, so this is not a delete.
     """
-    (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(target)
-    )
+    df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if is_path(target):
+        writer.partitionBy(*partition_by).parquet(target)
+    elif spark.catalog.tableExists(target):
+        ordered = df.select(spark.table(target).columns)
+        ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+    else:
+        writer.format("parquet").partitionBy(*partition_by).saveAsTable(target)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -200,10 +203,3 @@ def clustered_layout(df: DataFrame, columns: list[str], partitions: int | None =
         df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
     )
     return spread.sortWithinPartitions(*columns)
-
-
-def today_or(as_of: dt.date | Column | None) -> Column:
-    """The reporting day as a column; the current day when none is given."""
-    if as_of is None:
-        return F.current_date()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of)

@@ -6,7 +6,7 @@ partition and overwrites it: a repeat leaves the same files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -46,7 +46,7 @@ def upsert_stream(
     """Keep the newest row per key, whatever order the rows arrive in.
 
     Epoch n reads version n-1 of the table and writes version n, so a repeated epoch gives
-    the same version. `current_version` names the newest one.
+    the same version. `current_rows` reads the newest one.
     """
 
     def process(batch: DataFrame, epoch: int) -> None:
@@ -70,6 +70,8 @@ def upsert_stream(
     return with_trigger(writer, environment).start()
 
 
-def current_version(stream: StreamingQuery, target: str) -> str:
-    """Path of the version written by the newest finished epoch."""
-    return f"{target}/version={stream.lastProgress['batchId']}"
+def current_rows(spark: SparkSession, target: str) -> DataFrame:
+    """Rows of the newest version; only that partition is read."""
+    versions = spark.read.parquet(target)
+    newest = versions.select(F.max("version")).scalar()
+    return versions.filter(F.col("version") == newest).drop("version")
