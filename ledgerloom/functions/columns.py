@@ -71,16 +71,32 @@ def date_key_of(day: Column) -> Column:
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 
 
-def usd_rate(currency: Column, rates: dict | None = None) -> Column:
-    """Exchange rate from a literal map; unknown or missing currency counts as 1."""
-    pairs = []
-    for code, rate in (rates or ref.USD_RATES).items():
-        pairs += [F.lit(code), F.lit(rate).cast(RATE)]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), currency), F.lit(1).cast(RATE))
+def sql_case(expression: str, mapping: dict[str, str]) -> str:
+    """SQL text of a value lookup; unknown values give NULL. Text, because one parsed
+    expression is far cheaper to build than a chain of when() calls."""
+    branches = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {expression} {branches} END"
 
 
-def to_usd(amount: Column, currency: Column, rates: dict | None = None) -> Column:
-    return F.round(amount * usd_rate(currency, rates), 2).cast(MONEY)
+def sql_nth(values, index: str) -> str:
+    """SQL text that picks a value by index, wrapping around."""
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), CAST({index} % {len(values)} AS INT) + 1)"
+
+
+def sql_rate(currency: str, rates: dict | None = None) -> str:
+    """SQL text of the exchange rate; unknown or missing currency counts as 1."""
+    pairs = ", ".join(f"'{c}', CAST({r} AS {RATE})" for c, r in (rates or ref.USD_RATES).items())
+    return f"coalesce(try_element_at(map({pairs}), {currency}), CAST(1 AS {RATE}))"
+
+
+def sql_usd(amount: str, currency: str, rates: dict | None = None) -> str:
+    return f"CAST(round({amount} * {sql_rate(currency, rates)}, 2) AS {MONEY})"
+
+
+def to_usd(amount: str = "amount", currency: str = "currency", rates: dict | None = None) -> Column:
+    """Amount in USD, rounded to cents, from two column names."""
+    return F.expr(sql_usd(amount, currency, rates))
 
 
 def money(text: Column) -> Column:
@@ -95,9 +111,6 @@ def moment(text: Column, fmt: str = ref.TIMESTAMP_FORMAT) -> Column:
     return F.try_to_timestamp(text, F.lit(fmt))
 
 
-def region_of(country: Column) -> Column:
+def region_of(country: str = "country_code") -> Column:
     """Region of a country code from the fixed country table; NULL when unknown."""
-    pairs = []
-    for code, (region, _) in ref.COUNTRIES.items():
-        pairs += [F.lit(code), F.lit(region)]
-    return F.try_element_at(F.create_map(*pairs), country)
+    return F.expr(sql_case(country, {code: region for code, (region, _) in ref.COUNTRIES.items()}))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import date_key_of, day, key_of, moment, money
+from ledgerloom.functions.columns import day, key_of, moment, money
 from ledgerloom.operators.joins import accounts_with_customer
 from ledgerloom.sources.sinks import latest_per_key, merge_upsert
 
@@ -149,7 +149,7 @@ def dim_merchant_nb(raw: DataFrame) -> DataFrame:
 
 def calendar_days(spark: SparkSession, start_year: int = 2020, end_year: int = 2030) -> DataFrame:
     """One row per day of the inclusive years."""
-    return spark.range(1).select(F.explode(F.sequence(
+    return spark.range(0, 1, 1, 1).select(F.explode(F.sequence(
         F.lit(f"{start_year}-01-01").cast("date"), F.lit(f"{end_year}-12-31").cast("date")
     )).alias("full_date"))
 
@@ -164,27 +164,24 @@ def covering_days(rows: DataFrame, column: str) -> DataFrame:
 
 def dim_date(days: DataFrame) -> DataFrame:
     """Calendar attributes: ISO week, Monday = 1, fiscal year starting in July."""
-    d = F.col("full_date")
-    weekday = F.weekday(d) + 1
-    month = F.month(d)
-    return days.select(
-        date_key_of(d).alias("date_key"),
+    return days.selectExpr(
+        "year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS date_key",
         "full_date",
-        F.year(d).alias("year"),
-        F.quarter(d).alias("quarter"),
-        month.alias("month"),
-        F.date_format(d, "MMMM").alias("month_name"),
-        F.date_format(d, "MMM").alias("month_short"),
-        F.weekofyear(d).alias("week_of_year"),
-        F.dayofmonth(d).alias("day_of_month"),
-        weekday.alias("day_of_week"),
-        F.date_format(d, "EEEE").alias("day_name"),
-        F.date_format(d, "EEE").alias("day_short"),
-        (weekday >= 6).alias("is_weekend"),
-        (F.dayofmonth(d) == 1).alias("is_month_start"),
-        (d == F.last_day(d)).alias("is_month_end"),
-        F.year(F.add_months(d, -6)).alias("fiscal_year"),
-        F.quarter(F.add_months(d, -6)).alias("fiscal_quarter"),
+        "year(full_date) AS year",
+        "quarter(full_date) AS quarter",
+        "month(full_date) AS month",
+        "date_format(full_date, 'MMMM') AS month_name",
+        "date_format(full_date, 'MMM') AS month_short",
+        "weekofyear(full_date) AS week_of_year",
+        "day(full_date) AS day_of_month",
+        "weekday(full_date) + 1 AS day_of_week",
+        "date_format(full_date, 'EEEE') AS day_name",
+        "date_format(full_date, 'EEE') AS day_short",
+        "weekday(full_date) >= 5 AS is_weekend",
+        "day(full_date) = 1 AS is_month_start",
+        "full_date = last_day(full_date) AS is_month_end",
+        "year(add_months(full_date, -6)) AS fiscal_year",
+        "quarter(add_months(full_date, -6)) AS fiscal_quarter",
     )
 
 

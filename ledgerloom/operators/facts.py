@@ -72,7 +72,7 @@ def with_sequence_key(rows: DataFrame, name: str) -> DataFrame:
 
 
 def with_usd(rows: DataFrame, rates: dict | None = None) -> DataFrame:
-    return rows.withColumn("amount_usd", to_usd(F.col("amount"), F.col("currency"), rates))
+    return rows.withColumn("amount_usd", to_usd(rates=rates))
 
 
 def fraud_flag(amount: Column, threshold: float = ref.FRAUD_AMOUNT) -> Column:

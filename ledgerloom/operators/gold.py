@@ -224,7 +224,7 @@ def geographic_summary(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def geographic_by_region(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Regional statistics; countries outside the table fall into a NULL region."""
     rows = with_date(fact, dim_date, ["year", "quarter"])
-    return breakdown(rows.withColumn("region", region_of(F.col("country_code"))), ["year", "quarter", "region"])
+    return breakdown(rows.withColumn("region", region_of()), ["year", "quarter", "region"])
 
 
 def channel_country_analytics(fact: DataFrame) -> DataFrame:

@@ -17,9 +17,10 @@ REASONS = "_rejection_reasons"
 REASON = "_rejection_reason"
 
 
-def outside(column: str, allowed: list[str]) -> Column:
+def outside(column: str, allowed: list[str]) -> str:
     """A present value outside the allowed set; NULL passes, the empty text does not."""
-    return F.col(column).isNotNull() & ~F.col(column).isin(allowed)
+    listed = ", ".join(f"'{v}'" for v in allowed)
+    return f"{column} NOT IN ({listed})"
 
 
 def transaction_rules(
@@ -29,19 +30,18 @@ def transaction_rules(
     channels: list[str] = ref.CHANNELS,
 ) -> list[Rule]:
     """The nine standard rules."""
-    amount = F.col("amount")
-    date = F.col("transaction_date")
-    return [
-        ("null_transaction_id", F.col("transaction_id").isNull()),
-        ("null_amount", amount.isNull()),
-        ("invalid_amount", amount.isNotNull() & ~amount.rlike(ref.AMOUNT_PATTERN)),
-        ("negative_amount", amount.try_cast("double") < 0),
-        ("invalid_currency", outside("currency", currencies)),
-        ("invalid_status", outside("status", statuses)),
-        ("invalid_transaction_type", outside("transaction_type", types)),
-        ("invalid_channel", outside("channel", channels)),
-        ("invalid_date", date.isNotNull() & day(date).isNull()),
-    ]
+    conditions = {
+        "null_transaction_id": "transaction_id IS NULL",
+        "null_amount": "amount IS NULL",
+        "invalid_amount": f"NOT (amount RLIKE r'{ref.AMOUNT_PATTERN}')",
+        "negative_amount": "try_cast(amount AS DOUBLE) < 0",
+        "invalid_currency": outside("currency", currencies),
+        "invalid_status": outside("status", statuses),
+        "invalid_transaction_type": outside("transaction_type", types),
+        "invalid_channel": outside("channel", channels),
+        "invalid_date": f"transaction_date IS NOT NULL AND try_to_date(transaction_date, '{ref.DATE_FORMAT}') IS NULL",
+    }
+    return [(name, F.expr(condition)) for name, condition in conditions.items()]
 
 
 def negative_unless_refund() -> Rule:

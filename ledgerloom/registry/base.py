@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,19 +14,19 @@ ORACLES: dict[str, str] = {}
 
 def presentable(df: DataFrame) -> DataFrame:
     """Types that every client shows alike: text for dates, double for decimals."""
-    columns = []
+    shown = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        name = f"`{f.name}`"
         if isinstance(f.dataType, T.DateType):
-            c = c.cast("string")
+            name = f"CAST({name} AS STRING)"
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            name = f"date_format({name}, 'yyyy-MM-dd HH:mm:ss')"
         elif isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
+            name = f"CAST({name} AS DOUBLE)"
         elif isinstance(f.dataType, (T.ByteType, T.ShortType)):
-            c = c.cast("int")
-        columns.append(c.alias(f.name))
-    return df.select(columns)
+            name = f"CAST({name} AS INT)"
+        shown.append(f"{name} AS `{f.name}`")
+    return df.selectExpr(*shown)
 
 
 def query(name: str, sql: str | None = None):

@@ -3,18 +3,21 @@
 Suppliers are merchants, orders are accounts, line items are transactions. Raw deliveries
 are text, and line items carry deliberate damage chosen by their quantity (1 to 22), so
 that every rule has rows to catch; each damaged row is kept.
+
+Joins run left-deep over the base tables. Each right side is then a scan whose size
+Catalyst knows, so it broadcasts what is below the session's threshold and sort-merges
+what is not.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import reference_data as ref
-from ledgerloom.functions.columns import date_key_of, to_usd
+from ledgerloom.functions.columns import sql_case, sql_nth, sql_usd
 from ledgerloom.operators.dimensions import calendar_days, dim_date
-from ledgerloom.operators.facts import fraud_flag
 
 REGION_CURRENCY = {
     "AMERICA": "USD", "EUROPE": "EUR", "ASIA": "JPY", "AFRICA": "ZAR", "MIDDLE EAST": "AED",
@@ -26,179 +29,195 @@ FLAG_TYPE = {"A": "PURCHASE", "N": "PAYMENT", "R": "REFUND"}
 ORDER_STATUS = {"F": "COMPLETED", "P": "FAILED", "O": "PENDING"}
 FIRST_YEAR, LAST_YEAR = 1990, 2030
 
+# Declared, so that opening a table runs no inference job.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+CATEGORY = sql_nth(ref.MERCHANT_CATEGORIES, "s_nationkey")
+MCC = sql_case(CATEGORY, ref.MCC_CODES)
+SHOP_COUNTRY = sql_nth(ref.COUNTRIES, "s_nationkey")
+CURRENCY = sql_case("r_name", REGION_CURRENCY)
+STATUS = f"CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' ELSE {sql_case('o_orderstatus', ORDER_STATUS)} END"
+KIND = sql_case("l_returnflag", FLAG_TYPE)
+CHANNEL = sql_case("o_orderpriority", PRIORITY_CHANNEL)
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber)"
+TEXT_TIME = "date_format({}, 'yyyy-MM-dd HH:mm:ss')"
+DATE_KEY = "year({0}) * 10000 + month({0}) * 100 + day({0})"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _decode(column: Column, mapping: dict[str, str]) -> Column:
-    return F.coalesce(*[F.when(column == k, F.lit(v)) for k, v in mapping.items()])
+def calendar(spark: SparkSession) -> DataFrame:
+    return dim_date(calendar_days(spark, FIRST_YEAR, LAST_YEAR))
 
 
-def _nth(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
+def _with_shop(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier, nation and region of each row, joined by l_suppkey."""
+    s, n, r = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
+    rows = rows.join(s, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    return _with_region(rows, n, r)
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    return dim_date(calendar_days(spark, FIRST_YEAR, LAST_YEAR))
+def _with_region(rows: DataFrame, n: DataFrame, r: DataFrame) -> DataFrame:
+    rows = rows.join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    return rows.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+
+
+def _lines_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
 
 
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """supplier with country, currency, category, city and MCC code."""
     s, n, r = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
-    rows = s.join(n, s.s_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
-    category = _nth(ref.MERCHANT_CATEGORIES, F.col("s_nationkey"))
-    return rows.select(
-        F.col("s_suppkey").alias("merchant_key"),
-        F.col("s_suppkey").cast("string").alias("merchant_id"),
-        F.col("s_name").alias("merchant_name"),
-        category.alias("category"),
-        _nth(list(ref.COUNTRIES), F.col("s_nationkey")).alias("country_code"),
-        F.col("n_name").alias("city"),
-        _decode(category, ref.MCC_CODES).alias("mcc_code"),
-        _decode(F.col("r_name"), REGION_CURRENCY).alias("currency"),
+    return _with_region(s, n, r).selectExpr(
+        "s_suppkey AS merchant_key",
+        "CAST(s_suppkey AS STRING) AS merchant_id",
+        "s_name AS merchant_name",
+        f"{CATEGORY} AS category",
+        f"{SHOP_COUNTRY} AS country_code",
+        "n_name AS city",
+        f"{MCC} AS mcc_code",
+        f"{CURRENCY} AS currency",
     )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer with name parts, country and creation time."""
+    """customer with name parts, country and creation day."""
     c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    rows = c.join(n, c.c_nationkey == n.n_nationkey, "left")
-    since = F.date_add(F.lit("1990-01-01").cast("date"), F.col("c_nationkey") * 60)
-    return rows.select(
-        F.col("c_custkey").alias("customer_key"),
-        F.col("c_custkey").cast("string").alias("customer_id"),
-        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
-        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
-        F.concat(F.split_part("c_name", F.lit("#"), F.lit(1)), F.lit(" "),
-                 F.split_part("c_name", F.lit("#"), F.lit(2))).alias("full_name"),
-        F.col("n_name").alias("nation"),
-        F.col("c_mktsegment").alias("market"),
-        _nth(list(ref.COUNTRIES), F.col("c_nationkey")).alias("country_code"),
-        since.alias("customer_since"),
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").selectExpr(
+        "c_custkey AS customer_key",
+        "CAST(c_custkey AS STRING) AS customer_id",
+        "split_part(c_name, '#', 1) AS first_name",
+        "split_part(c_name, '#', 2) AS last_name",
+        "concat(split_part(c_name, '#', 1), ' ', split_part(c_name, '#', 2)) AS full_name",
+        "n_name AS nation",
+        "c_mktsegment AS market",
+        f"{sql_nth(ref.COUNTRIES, 'c_nationkey')} AS country_code",
+        "date_add(DATE '1990-01-01', c_nationkey * 60) AS customer_since",
     )
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, typed fact at line-item grain. Keys are the natural ones, so that results can
     be compared with SQL; amounts are exact decimals."""
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left").join(
-        merchants(spark, sf_dir), lines.l_suppkey == F.col("merchant_key"), "left"
+    amount = "CAST(l_extendedprice AS DECIMAL(18,2))"
+    return _with_shop(_lines_with_orders(spark, sf_dir), spark, sf_dir).selectExpr(
+        f"{LINE_ID} AS transaction_id",
+        "o_custkey AS customer_key",
+        "l_orderkey AS account_key",
+        "l_suppkey AS merchant_key",
+        f"{DATE_KEY.format('l_shipdate')} AS date_key",
+        "l_shipdate AS transaction_timestamp",
+        f"{amount} AS amount",
+        f"{CURRENCY} AS currency",
+        f"{sql_usd(amount, CURRENCY)} AS amount_usd",
+        f"{KIND} AS transaction_type",
+        f"{STATUS} AS status",
+        f"{CHANNEL} AS channel",
+        f"{SHOP_COUNTRY} AS country_code",
+        f"coalesce({amount} > 100000, FALSE) AS is_fraud",
     )
-    amount = F.col("l_extendedprice").cast("decimal(18,2)")
-    return rows.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
-        F.col("o_custkey").alias("customer_key"),
-        F.col("l_orderkey").alias("account_key"),
-        F.col("l_suppkey").alias("merchant_key"),
-        date_key_of(F.col("l_shipdate")).alias("date_key"),
-        F.col("l_shipdate").alias("transaction_timestamp"),
-        amount.alias("amount"),
-        "currency",
-        to_usd(amount, F.col("currency")).alias("amount_usd"),
-        _decode(F.col("l_returnflag"), FLAG_TYPE).alias("transaction_type"),
-        _status(F.col("l_returnflag"), F.col("o_orderstatus")).alias("status"),
-        _decode(F.col("o_orderpriority"), PRIORITY_CHANNEL).alias("channel"),
-        "country_code",
-        fraud_flag(amount, 100_000).alias("is_fraud"),
-    )
-
-
-def _status(flag: Column, order_status: Column) -> Column:
-    return F.when(flag == "R", F.lit("REFUNDED")).otherwise(_decode(order_status, ORDER_STATUS))
 
 
 def order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-grain fact: unique keys, few gaps in the calendar, no join."""
-    amount = F.col("o_totalprice").cast("decimal(18,2)")
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("transaction_id"),
-        F.col("o_custkey").alias("customer_key"),
-        F.col("o_orderkey").alias("transaction_key"),
-        F.lit(None).cast("long").alias("merchant_key"),
-        date_key_of(F.col("o_orderdate")).alias("date_key"),
-        F.col("o_orderdate").alias("transaction_timestamp"),
-        amount.alias("amount_usd"),
-        _decode(F.col("o_orderstatus"), ORDER_STATUS).alias("status"),
-        _decode(F.col("o_orderpriority"), PRIORITY_CHANNEL).alias("channel"),
-        fraud_flag(amount, 400_000).alias("is_fraud"),
+    amount = "CAST(o_totalprice AS DECIMAL(18,2))"
+    return table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS transaction_id",
+        "o_custkey AS customer_key",
+        "o_orderkey AS transaction_key",
+        "CAST(NULL AS BIGINT) AS merchant_key",
+        f"{DATE_KEY.format('o_orderdate')} AS date_key",
+        "o_orderdate AS transaction_timestamp",
+        f"{amount} AS amount_usd",
+        f"{sql_case('o_orderstatus', ORDER_STATUS)} AS status",
+        f"{CHANNEL} AS channel",
+        f"coalesce({amount} > 400000, FALSE) AS is_fraud",
     )
 
 
 def clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as an undamaged text delivery."""
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    shops = merchants(spark, sf_dir).select("merchant_key", "merchant_name", "currency", "country_code")
-    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left").join(
-        shops, lines.l_suppkey == shops.merchant_key, "left"
-    )
-    kind = _decode(F.col("l_returnflag"), FLAG_TYPE)
-    return rows.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        F.col("l_orderkey").cast("string").alias("account_id"),
-        F.col("l_suppkey").cast("string").alias("merchant_id"),
-        F.to_date("l_shipdate").cast("string").alias("transaction_date"),
-        F.date_format("l_shipdate", ref.TIMESTAMP_FORMAT).alias("transaction_timestamp"),
-        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("amount"),
-        "currency",
-        kind.alias("transaction_type"),
-        _status(F.col("l_returnflag"), F.col("o_orderstatus")).alias("status"),
-        _decode(F.col("o_orderpriority"), PRIORITY_CHANNEL).alias("channel"),
-        "country_code",
-        F.concat(kind, F.lit(" at "), F.col("merchant_name")).alias("description"),
-        F.col("l_quantity").cast("int").alias("q"),
-        F.to_date("l_shipdate").alias("shipped"),
+    """Line items as an undamaged text delivery, with the quantity and the shipping day."""
+    return _with_shop(_lines_with_orders(spark, sf_dir), spark, sf_dir).selectExpr(
+        f"{LINE_ID} AS transaction_id",
+        "CAST(o_custkey AS STRING) AS customer_id",
+        "CAST(l_orderkey AS STRING) AS account_id",
+        "CAST(l_suppkey AS STRING) AS merchant_id",
+        "CAST(CAST(l_shipdate AS DATE) AS STRING) AS transaction_date",
+        f"{TEXT_TIME.format('l_shipdate')} AS transaction_timestamp",
+        "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) AS amount",
+        f"{CURRENCY} AS currency",
+        f"{KIND} AS transaction_type",
+        f"{STATUS} AS status",
+        f"{CHANNEL} AS channel",
+        f"{SHOP_COUNTRY} AS country_code",
+        f"concat({KIND}, ' at ', s_name) AS description",
+        "CAST(l_quantity AS INT) AS q",
+        "CAST(l_shipdate AS DATE) AS shipped",
     )
 
 
-def _case(q: Column, cases: dict[int, Column | str | None], otherwise: Column) -> Column:
-    """Replace the value where q is one of the given quantities."""
-    result = otherwise
-    for n, value in cases.items():
-        replacement = value if isinstance(value, Column) else F.lit(value)
-        result = F.when(q == n, replacement).otherwise(result)
-    return result
+def _damage(column: str, cases: dict[int, str]) -> str:
+    """Replace a value where the quantity is one of the given numbers."""
+    branches = " ".join(f"WHEN {n} THEN {value}" for n, value in cases.items())
+    return f"CASE q {branches} ELSE {column} END"
 
 
-def delivered_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delivery with damage by quantity; no row is dropped."""
-    q, ident, amount = F.col("q"), F.col("transaction_id"), F.col("amount")
-    marker = {n: F.concat(F.lit(ref.BAD_MARKERS[name]), ident) for n, name in (
+def _marked(*names: tuple[int, str]) -> dict[int, str]:
+    return {n: f"concat('{ref.BAD_MARKERS[name]}', transaction_id)" for n, name in names}
+
+
+DAMAGE = {
+    "transaction_id": _damage("transaction_id", _marked(
         (1, "null"), (2, "null"), (3, "negative_amount"), (5, "invalid_currency"), (6, "invalid_currency"),
         (7, "null"), (8, "malformed_date"), (9, "malformed_date"), (14, "orphan_fk"), (15, "orphan_fk"),
         (16, "orphan_fk"), (17, "duplicate"),
-    )}
-    negative = F.concat(F.lit("-"), amount)
-    damaged = {
-        "transaction_id": _case(q, {**marker, 13: None}, ident),
-        "customer_id": _case(q, {1: None, 14: ref.ORPHAN_IDS["customer_id"]}, F.col("customer_id")),
-        "account_id": _case(q, {15: ref.ORPHAN_IDS["account_id"]}, F.col("account_id")),
-        "merchant_id": _case(q, {16: ref.ORPHAN_IDS["merchant_id"]}, F.col("merchant_id")),
-        "transaction_date": _case(q, {8: "not-a-date", 9: "2024-02-30"}, F.col("transaction_date")),
-        "amount": _case(
-            q, {2: None, 3: negative, 4: "abc", 18: negative, 19: "0", 20: ".5", 21: "12.", 22: "1e3"}, amount
-        ),
-        "currency": _case(q, {5: "XXX", 6: "", 7: None, 18: "INVALID"}, F.col("currency")),
-        "status": _case(q, {10: "UNKNOWN", 18: "UNKNOWN"}, F.col("status")),
-        "transaction_type": _case(q, {11: "FEE"}, F.col("transaction_type")),
-        "channel": _case(q, {12: "PHONE"}, F.col("channel")),
-    }
-    return clean_transactions(spark, sf_dir).select(
-        *[damaged.get(c, F.col(c)).alias(c) for c in schemas.BUSINESS_COLUMNS["transactions"]], "q", "shipped"
+    ) | {13: "NULL"}),
+    "customer_id": _damage("customer_id", {1: "NULL", 14: f"'{ref.ORPHAN_IDS['customer_id']}'"}),
+    "account_id": _damage("account_id", {15: f"'{ref.ORPHAN_IDS['account_id']}'"}),
+    "merchant_id": _damage("merchant_id", {16: f"'{ref.ORPHAN_IDS['merchant_id']}'"}),
+    "transaction_date": _damage("transaction_date", {8: "'not-a-date'", 9: "'2024-02-30'"}),
+    "amount": _damage("amount", {
+        2: "NULL", 3: "concat('-', amount)", 4: "'abc'", 18: "concat('-', amount)", 19: "'0'", 20: "'.5'",
+        21: "'12.'", 22: "'1e3'",
+    }),
+    "currency": _damage("currency", {5: "'XXX'", 6: "''", 7: "NULL", 18: "'INVALID'"}),
+    "status": _damage("status", {10: "'UNKNOWN'", 18: "'UNKNOWN'"}),
+    "transaction_type": _damage("transaction_type", {11: "'FEE'"}),
+    "channel": _damage("channel", {12: "'PHONE'"}),
+}
+
+
+def delivered_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivery with damage by quantity; no row is dropped."""
+    return clean_transactions(spark, sf_dir).selectExpr(
+        *[f"{DAMAGE.get(c, c)} AS {c}" for c in schemas.BUSINESS_COLUMNS["transactions"]], "q", "shipped"
     )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-table rows: one batch per month of shipping, ingested on the following day."""
-    rows = delivered_transactions(spark, sf_dir)
-    return rows.select(
-        F.date_add("shipped", 1).cast("timestamp").alias("_ingestion_timestamp"),
-        F.lit("lineitem.parquet").alias("_source_file"),
-        F.lit("orders").alias("_source_system"),
-        F.concat(F.lit("B"), F.date_format("shipped", "yyyyMM")).alias("_batch_id"),
-        F.date_add("shipped", 1).alias("_load_date"),
+    return delivered_transactions(spark, sf_dir).selectExpr(
+        "CAST(date_add(shipped, 1) AS TIMESTAMP) AS _ingestion_timestamp",
+        "'lineitem.parquet' AS _source_file",
+        "'orders' AS _source_system",
+        "concat('B', date_format(shipped, 'yyyyMM')) AS _batch_id",
+        "date_add(shipped, 1) AS _load_date",
         *schemas.BUSINESS_COLUMNS["transactions"],
     )
 
@@ -206,65 +225,60 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One delivery of the customer record per order: many versions per customer."""
     orders, cust = table(spark, sf_dir, "orders"), customers(spark, sf_dir)
-    rows = orders.join(cust, orders.o_custkey == cust.customer_key, "left")
-    stamp = F.date_format("o_orderdate", ref.TIMESTAMP_FORMAT)
-    return rows.select(
+    stamp = TEXT_TIME.format("o_orderdate")
+    return orders.join(cust, F.col("o_custkey") == F.col("customer_key"), "left").selectExpr(
         "customer_id",
         "first_name",
         "last_name",
-        F.concat(F.lower("last_name"), F.lit("@"), F.lower(F.substring("o_orderpriority", 3, 20)), F.lit(".com")).alias("email"),
-        F.concat(F.lit("+1"), F.col("o_orderkey").cast("string")).alias("phone"),
-        F.lit("1980-02-30").alias("date_of_birth"),
+        "concat(lower(last_name), '@', lower(substring(o_orderpriority, 3, 20)), '.com') AS email",
+        "concat('+1', CAST(o_orderkey AS STRING)) AS phone",
+        "'1980-02-30' AS date_of_birth",
         "country_code",
-        stamp.alias("created_at"),
-        stamp.alias("updated_at"),
+        f"{stamp} AS created_at",
+        f"{stamp} AS updated_at",
     )
 
 
 def account_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One account record per line item of the order: repeated deliveries per account."""
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left")
-    return rows.select(
-        F.col("l_orderkey").cast("string").alias("account_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        _nth(ref.ACCOUNT_TYPES, F.col("l_linenumber")).alias("account_type"),
-        F.lpad(F.col("l_partkey").cast("string"), 16, "0").alias("account_number"),
-        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("balance"),
-        _decode(F.col("l_returnflag"), {"A": "USD", "N": "EUR", "R": "GBP"}).alias("currency"),
-        F.when(F.col("l_linestatus") == "O", "ACTIVE").otherwise("CLOSED").alias("status"),
-        F.to_date("l_shipdate").cast("string").alias("opened_date"),
-        F.when(F.col("l_linestatus") == "F", F.lit("not-a-date")).alias("closed_date"),
+    return _lines_with_orders(spark, sf_dir).selectExpr(
+        "CAST(l_orderkey AS STRING) AS account_id",
+        "CAST(o_custkey AS STRING) AS customer_id",
+        f"{sql_nth(ref.ACCOUNT_TYPES, 'l_linenumber')} AS account_type",
+        "lpad(CAST(l_partkey AS STRING), 16, '0') AS account_number",
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS balance",
+        f"{sql_case('l_returnflag', {'A': 'USD', 'N': 'EUR', 'R': 'GBP'})} AS currency",
+        "CASE WHEN l_linestatus = 'O' THEN 'ACTIVE' ELSE 'CLOSED' END AS status",
+        "CAST(CAST(l_shipdate AS DATE) AS STRING) AS opened_date",
+        "CASE WHEN l_linestatus = 'F' THEN 'not-a-date' END AS closed_date",
     )
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One account per order."""
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("account_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        F.lit("CHECKING").alias("account_type"),
-        F.lpad(F.col("o_orderkey").cast("string"), 16, "0").alias("account_number"),
-        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("balance"),
-        F.lit("USD").alias("currency"),
-        F.col("o_orderstatus").alias("status"),
-        F.to_date("o_orderdate").cast("string").alias("opened_date"),
-        F.lit(None).cast("string").alias("closed_date"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS account_id",
+        "CAST(o_custkey AS STRING) AS customer_id",
+        "'CHECKING' AS account_type",
+        "lpad(CAST(o_orderkey AS STRING), 16, '0') AS account_number",
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS balance",
+        "'USD' AS currency",
+        "o_orderstatus AS status",
+        "CAST(CAST(o_orderdate AS DATE) AS STRING) AS opened_date",
+        "CAST(NULL AS STRING) AS closed_date",
     )
 
 
 def merchant_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One delivery of the merchant record per line item, dated by shipping."""
-    lines, shops = table(spark, sf_dir, "lineitem"), merchants(spark, sf_dir)
-    rows = lines.join(shops, lines.l_suppkey == shops.merchant_key, "left")
-    return rows.select(
-        F.col("l_shipdate").cast("timestamp").alias("_ingestion_timestamp"),
-        "merchant_id",
-        F.concat("merchant_name", F.lit(" "), F.col("l_returnflag")).alias("merchant_name"),
-        "category",
-        "country_code",
-        F.concat("city", F.lit("/"), F.col("l_linenumber").cast("string")).alias("city"),
-        "mcc_code",
+    return _with_shop(table(spark, sf_dir, "lineitem"), spark, sf_dir).selectExpr(
+        "CAST(l_shipdate AS TIMESTAMP) AS _ingestion_timestamp",
+        "CAST(s_suppkey AS STRING) AS merchant_id",
+        "concat(s_name, ' ', l_returnflag) AS merchant_name",
+        f"{CATEGORY} AS category",
+        f"{SHOP_COUNTRY} AS country_code",
+        "concat(n_name, '/', CAST(l_linenumber AS STRING)) AS city",
+        f"{MCC} AS mcc_code",
     )
 
 
@@ -273,5 +287,18 @@ def merchant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merchants(spark, sf_dir).select(schemas.BUSINESS_COLUMNS["merchants"])
 
 
+def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as delivered, one record each."""
+    return customers(spark, sf_dir).selectExpr(
+        "customer_id", "first_name", "last_name",
+        "concat(last_name, '@', lower(market), '.com') AS email",
+        "concat('+1', customer_id) AS phone",
+        "CAST(customer_since AS STRING) AS date_of_birth",
+        "country_code",
+        "concat(CAST(customer_since AS STRING), ' 00:00:00') AS created_at",
+        "concat(CAST(customer_since AS STRING), ' 00:00:00') AS updated_at",
+    )
+
+
 def dim_merchant_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merchants(spark, sf_dir).withColumnRenamed("category", "merchant_category")
