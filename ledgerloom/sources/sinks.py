@@ -20,8 +20,9 @@ def write_table(
     partition_by: list[str] | None = None,
     merge_schema: bool = True,
     rebalance: bool = True,
+    location: str | None = None,
 ) -> None:
-    """Write to a path or a catalog table.
+    """Write to a path or a catalog table; `location` keeps a new catalog table's files there.
 
     Partitioned writes first pass through a rebalance on the partition columns: adaptive
     execution gathers each partition value into few files, and still splits a value that
@@ -36,7 +37,8 @@ def write_table(
     if is_path(target):
         writer.parquet(target)
     else:
-        writer.format("parquet").saveAsTable(target)
+        named = writer.format("parquet")
+        (named.option("path", location) if location else named).saveAsTable(target)
 
 
 def write_counted(df: DataFrame, target: str, **options) -> int:
