@@ -60,9 +60,9 @@ def newest_facts(fact: DataFrame, n: int = 10) -> DataFrame:
     return fact.orderBy(F.desc("_created_timestamp"), "transaction_id", "amount_usd").limit(n)
 
 
-def run_metrics(step: str, tagged: DataFrame, valid: Column) -> DataFrame:
+def run_metrics(step: str, rows: DataFrame, valid: Column) -> DataFrame:
     """Input, output, rejected rows and success rate of a step in one aggregate."""
-    counts = tagged.agg(
+    counts = rows.agg(
         F.count(F.lit(1)).alias("input_rows"),
         F.count(F.when(valid, F.lit(1))).alias("output_rows"),
     )

@@ -6,6 +6,9 @@ fires; the verdict of a row never depends on another row.
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,39 +58,57 @@ def date_out_of_range(first: str, last: str) -> Rule:
     return "date_out_of_range", ~parsed.between(F.lit(first).cast("date"), F.lit(last).cast("date"))
 
 
-def tag(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Add the array of names of the rules that fire, empty for a valid row."""
-    names = [F.when(condition, F.lit(name)) for name, condition in rules]
-    return df.withColumn(REASONS, F.array_compact(F.array(*names)))
+def fires(condition: Column) -> Column:
+    """A rule fires only when its condition is true, not when it is unknown."""
+    return F.coalesce(condition, F.lit(False))
+
 
+def any_fires(rules: list[Rule]) -> Column:
+    return reduce(operator.or_, [fires(condition) for _, condition in rules])
 
-def valid_rows(tagged: DataFrame) -> DataFrame:
-    return tagged.filter(F.size(REASONS) == 0).drop(REASONS)
 
+def reasons(rules: list[Rule]) -> Column:
+    """One entry per rule: its name where it fires, NULL elsewhere."""
+    return F.array(*[F.when(condition, F.lit(name)) for name, condition in rules])
 
-def invalid_records(tagged: DataFrame) -> DataFrame:
-    """One row per rejected record, with all its reasons."""
-    return tagged.filter(F.size(REASONS) > 0)
 
+def valid_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Rows on which no rule fires. Plain boolean logic, so it stays in generated code and
+    stops at the first rule that fires."""
+    return df.filter(~any_fires(rules))
 
-def invalid_rows(tagged: DataFrame) -> DataFrame:
+
+def invalid_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row per rejected record and fired rule."""
-    return invalid_records(tagged).withColumn(REASON, F.explode(REASONS)).drop(REASONS)
+    rejected = df.filter(any_fires(rules)).withColumn(REASON, F.explode(reasons(rules)))
+    return rejected.filter(F.col(REASON).isNotNull())
+
+
+def invalid_records(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One row per rejected record, with the array of its reasons."""
+    return df.filter(any_fires(rules)).withColumn(REASONS, F.array_compact(reasons(rules)))
 
 
 def rule_split(df: DataFrame, rules: list[Rule] | None = None) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with a reason, one per fired rule)."""
-    tagged = tag(df, rules if rules is not None else transaction_rules())
-    return valid_rows(tagged), invalid_rows(tagged)
+    rules = rules if rules is not None else transaction_rules()
+    return valid_rows(df, rules), invalid_rows(df, rules)
+
+
+def verdicts(df: DataFrame, rules: list[Rule], valid_label: str = "valid") -> DataFrame:
+    """Both sides of the split from one scan: rejected rows once per fired rule, valid rows
+    once with the given label as reason."""
+    label = F.when(~any_fires(rules), F.lit(valid_label))
+    entries = F.array(label, *[F.when(condition, F.lit(name)) for name, condition in rules])
+    return df.withColumn(REASON, F.explode(entries)).filter(F.col(REASON).isNotNull())
 
 
 def rule_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Rows caught by each rule, and the valid rows, in one aggregate."""
-    tagged = tag(df, rules)
-    return tagged.agg(
+    return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        count_if(F.size(REASONS) == 0).alias("valid_rows"),
-        *[count_if(F.array_contains(REASONS, name)).alias(name) for name, _ in rules],
+        count_if(~any_fires(rules)).alias("valid_rows"),
+        *[count_if(condition).alias(name) for name, condition in rules],
     )
 
 

@@ -15,10 +15,8 @@ def transform(
     raw: DataFrame, row_rules: list[rules.Rule] | None = None, at: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(fact rows, quarantine rows). Both are narrow: one scan each, no shuffle."""
-    tagged = rules.tag(raw, row_rules if row_rules is not None else rules.transaction_rules())
-    fact = facts.build_fact(rules.valid_rows(tagged), created_at=at)
-    rejected = quarantine.to_quarantine(rules.invalid_rows(tagged), "transactions_raw", at=at)
-    return fact, rejected
+    valid, rejected = rules.rule_split(raw, row_rules)
+    return facts.build_fact(valid, created_at=at), quarantine.to_quarantine(rejected, "transactions_raw", at=at)
 
 
 def placed(rows: DataFrame, **extra: Column) -> DataFrame:
@@ -64,6 +62,8 @@ def transform_transactions(
         raw = raw.filter(F.col("_batch_id").isin(batches))
 
     report = quality.run_checks(raw, quality.transaction_suite())
+    if incremental and not batches:
+        return report
     if gate is not None:
         quality.enforce_gate(quality.threshold_gate(report, gate))
 
@@ -77,7 +77,7 @@ def transform_transactions(
             overwrite_partitions(spark, rows, table, parts)
         else:
             overwrite(rows, table, partition_by=parts)
-    if batches:
+    if batches:  # a full run over an empty table has nothing to log
         done = spark.createDataFrame([(b,) for b in batches], "_batch_id string")
         write_table(done.coalesce(1), log, mode="append" if incremental else "overwrite")
     return report

@@ -185,7 +185,11 @@ def _loaded_sql(source: str, relation: str, system: str, batch: str) -> str:
     )
 
 
-@query("load_transactions_csv", sql(_loaded_sql("transactions", "delivered", "file_ingest", "B1"), "delivered"))
+# a CSV field without text reads as NULL, so the empty currency does not survive
+CSV_DELIVERED = "(SELECT * REPLACE (nullif(currency, '') AS currency) FROM delivered)"
+
+
+@query("load_transactions_csv", sql(_loaded_sql("transactions", CSV_DELIVERED, "file_ingest", "B1"), "delivered"))
 def load_transactions_csv(spark: SparkSession, d: str) -> DataFrame:
     landing, target = new_location(spark, "landing"), new_location(spark, "transactions_raw")
     star.delivered_transactions(spark, d).drop("q", "shipped").write.csv(landing, header=True)

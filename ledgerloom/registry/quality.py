@@ -276,7 +276,7 @@ SELECT count(*) AS total_rows, count(*) - (SELECT count(*) FROM valid) AS reject
        (count(*) - (SELECT count(*) FROM valid)) * 100.0 / count(*) > 5 AS alert FROM raw""", "raw", "valid"))
 def quarantine_rate_alert(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw(spark, d)
-    rejected = rules.invalid_records(rules.tag(raw, rules.transaction_rules()))
+    rejected = rules.invalid_records(raw, rules.transaction_rules())
     return quarantine.rate_alert(raw.select(F.count(F.lit(1))), rejected.select(F.count(F.lit(1))))
 
 
@@ -377,8 +377,8 @@ SELECT 'reconcile' AS check_name,
             AS DOUBLE) / count(*) AS actual, TRUE AS passed FROM raw""", "raw", "valid", "judged"))
 def val_reconcile(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw(spark, d)
-    tagged = rules.tag(raw, rules.transaction_rules())
-    return validation.reconcile(raw, rules.valid_rows(tagged), rules.invalid_records(tagged))
+    checks = rules.transaction_rules()
+    return validation.reconcile(raw, rules.valid_rows(raw, checks), rules.invalid_records(raw, checks))
 
 
 @query("val_dim_coverage", sql("""
@@ -450,5 +450,4 @@ SELECT 'rule_split' AS step, count(*) AS input_rows, (SELECT count(*) FROM valid
        count(*) - (SELECT count(*) FROM valid) AS rejected_rows,
        CAST((SELECT count(*) FROM valid) * 100 AS DOUBLE) / count(*) AS success_rate FROM raw""", "raw", "valid"))
 def run_metrics(spark: SparkSession, d: str) -> DataFrame:
-    tagged = rules.tag(_raw(spark, d), rules.transaction_rules())
-    return reports.run_metrics("rule_split", tagged, F.size(rules.REASONS) == 0)
+    return reports.run_metrics("rule_split", _raw(spark, d), ~rules.any_fires(rules.transaction_rules()))

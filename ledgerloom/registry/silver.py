@@ -203,10 +203,9 @@ def incremental_by_unprocessed_batch(spark: SparkSession, d: str) -> DataFrame:
 SELECT transaction_id, amount, currency, reason AS _rejection_reason FROM rejected
 UNION ALL SELECT transaction_id, amount, currency, 'valid' FROM valid""", "rejected", "valid"))
 def rule_split(spark: SparkSession, d: str) -> DataFrame:
-    """Both sides of the split in one pass: a valid row shows the reason 'valid'."""
-    tagged = rules.tag(star.raw_transactions(spark, d), rules.transaction_rules())
-    shown = F.when(F.size(rules.REASONS) == 0, F.array(F.lit("valid"))).otherwise(F.col(rules.REASONS))
-    return tagged.select("transaction_id", "amount", "currency", F.explode(shown).alias(rules.REASON))
+    """Both sides of the split from one scan: a valid row shows the reason 'valid'."""
+    judged = rules.verdicts(star.raw_transactions(spark, d), rules.transaction_rules())
+    return judged.select("transaction_id", "amount", "currency", rules.REASON)
 
 
 @query("rule_split_valid", sql(f"SELECT {BUSINESS} FROM valid", "valid"))
@@ -222,8 +221,8 @@ SELECT transaction_id, amount, null_transaction_id::INT + null_amount::INT + inv
 FROM judged WHERE null_transaction_id OR null_amount OR invalid_amount OR negative_amount OR invalid_currency
   OR invalid_status OR invalid_transaction_type OR invalid_channel OR invalid_date""", "judged"))
 def rule_split_records(spark: SparkSession, d: str) -> DataFrame:
-    tagged = rules.tag(star.raw_transactions(spark, d), rules.transaction_rules())
-    return rules.invalid_records(tagged).select("transaction_id", "amount", F.size(rules.REASONS).alias("fired"))
+    rejected = rules.invalid_records(star.raw_transactions(spark, d), rules.transaction_rules())
+    return rejected.select("transaction_id", "amount", F.size(rules.REASONS).alias("fired"))
 
 
 RULES = (
