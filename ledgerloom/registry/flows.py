@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import reference_data as ref
-from ledgerloom.operators import dimensions, facts, ingest, quarantine, rules
+from ledgerloom.operators import ingest
 from ledgerloom.plans import bronze, gold as gold_plan, medallion, silver
 from ledgerloom.registry.base import query
-from ledgerloom.registry.oracle import case, nth, sql, text_list, ts
-from ledgerloom.registry.quality import KEPT, SUITE, QUARANTINE, _quarantine, _slim
+from ledgerloom.registry.oracle import case, sql, text_list
+from ledgerloom.registry.quality import KEPT, SUITE, _slim
 from ledgerloom.registry.silver import FACT_ROWS, _clock
 from ledgerloom.session import new_location
 from ledgerloom.sources import readers, sinks, star, synthetic
@@ -141,9 +141,7 @@ def sink_merge_upsert(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_table(spark, new)
 
 
-@query("sink_delete_where", sql(f"""WITH {QUARANTINE}
-SELECT _batch_id AS batch_id, reason AS rejection_reason, transaction_id, CAST(quarantine_date AS VARCHAR) AS quarantine_date
-FROM quarantine WHERE quarantine_date >= DATE '2001-11-05' - 365""", "rejected"))
+@query("sink_delete_where", KEPT)
 def sink_delete_where(spark: SparkSession, d: str) -> DataFrame:
     old, new = new_location(spark, "delete-old"), new_location(spark, "delete-new")
     sinks.overwrite(_slim(spark, d), old, partition_by=["batch_id"])
@@ -429,11 +427,6 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
 # --- generated deliveries -------------------------------------------------------------------------
 
 
-def _sizes(spark: SparkSession, d: str) -> synthetic.Sizes:
-    """As many rows as the benchmark tables have; counts come from file footers."""
-    return synthetic.Sizes(*(star.table(spark, d, n).count() for n in ("customer", "orders", "supplier", "lineitem")))
-
-
 def _index(spark: SparkSession, d: str, name: str, key: str) -> DataFrame:
     return star.table(spark, d, name).select(F.col(key).alias("i"))
 
@@ -502,16 +495,70 @@ def gen_merchants(spark: SparkSession, d: str) -> DataFrame:
     return synthetic.gen_merchants(_index(spark, d, "supplier", "s_suppkey"))
 
 
-_BOUNDS = "floor(n * 0.005), floor(n * 0.008), floor(n * 0.010), floor(n * 0.011), floor(n * 0.012), floor(n * 0.014)"
-
-
-@query("gen_transactions")
+def _upper_bounds() -> str:
+    """Cumulated class sizes b1, b2, ... as columns."""
+    parts, columns = [], []
+    for k, percent in enumerate(ref.BAD_SHARE_PCT.values(), start=1):
+        parts.append(f"CAST(floor(n * {percent} / 100) AS BIGINT)")
+        columns.append(" + ".join(parts) + f" AS b{k}")
+    return ", ".join(columns)
+
+
+_BAD = "CASE " + " ".join(f"WHEN i < b{k} THEN '{c}'" for k, c in enumerate(ref.BAD_SHARE_PCT, start=1)) + " END"
+_PREFIX = case("bad", ref.BAD_MARKERS)
+_NULLED = picked(["customer_id", "amount", "currency", "transaction_type"], 1)
+_ORPHAN = picked(ref.ORPHAN_IDS, 1)
+
+
+def _unless_null(column: str, value: str) -> str:
+    return f"CASE WHEN bad = 'null' AND {_NULLED} = '{column}' THEN NULL ELSE {value} END"
+
+
+def _or_orphan(column: str, value: str) -> str:
+    return f"CASE WHEN bad = 'orphan_fk' AND {_ORPHAN} = '{column}' THEN '{ref.ORPHAN_IDS[column]}' ELSE {value} END"
+
+
+GENERATED = f"""
+WITH sizes AS (
+  SELECT (SELECT count(*) FROM orders) AS n, (SELECT count(*) FROM customer) AS nc, (SELECT count(*) FROM supplier) AS nm),
+bounds AS (SELECT *, {_upper_bounds()} FROM sizes),
+{digests('transaction', 'orders', 'o_orderkey')},
+k AS (
+  SELECT *, {_BAD} AS bad, {draw(0, 'nc')} AS c, {made_id('merch', draw(2, 'nm'), 'MERCH')} AS merchant,
+         strftime(DATE '2023-01-01' + CAST({draw(3, 731)} AS INTEGER), '%Y-%m-%d') AS day,
+         {cents_text(6, 1, 5000)} AS money, {picked(ref.COUNTRIES, 5)} AS country_code,
+         {picked(ref.TRANSACTION_TYPES, 7)} AS kind FROM g, bounds)
+SELECT CASE WHEN bad = 'duplicate' AND i > 0
+            THEN {made_id('txn', f"({draw(0, 'greatest((i + 999) // 1000, 1)')} * 1000)", 'TXN')}
+            ELSE coalesce({_PREFIX}, '') || {made_id('txn', 'i', 'TXN')} END AS transaction_id,
+       {_unless_null('customer_id', _or_orphan('customer_id', made_id('cust', 'c', 'CUST')))} AS customer_id,
+       {_or_orphan('account_id', made_id('acct', f"least(c + {draw(1, 'greatest(n // nc, 1)')} * nc, n - 1)", 'ACCT'))} AS account_id,
+       {_or_orphan('merchant_id', 'merchant')} AS merchant_id,
+       CASE WHEN bad = 'malformed_date' THEN {picked(ref.BAD_DATE_TEXTS, 1)} ELSE day END AS transaction_date,
+       day || ' ' || lpad(CAST({draw(4, 24)} AS VARCHAR), 2, '0') || ':'
+         || lpad(CAST({draw(4, 86_400)} % 60 AS VARCHAR), 2, '0') || ':00' AS transaction_timestamp,
+       {_unless_null('amount', "CASE WHEN bad = 'negative_amount' THEN '-' || money ELSE money END")} AS amount,
+       {_unless_null('currency', f"CASE WHEN bad = 'invalid_currency' THEN {picked(ref.BAD_CURRENCY_TEXTS, 1)} ELSE {case('country_code', HOME_CURRENCY)} END")} AS currency,
+       {_unless_null('transaction_type', 'kind')} AS transaction_type,
+       ([{text_list(ref.STATUSES)}])[{draw(7, 30)} % 5 + 1] AS status, {picked(ref.CHANNELS, 4)} AS channel, country_code,
+       kind || ' at ' || substr(merchant, 1, 8) || '...' AS description FROM k"""
+
+
+@query("gen_transactions", GENERATED)
 def gen_transactions(spark: SparkSession, d: str) -> DataFrame:
     """One generated transaction per order, numbered by its key."""
     sizes = synthetic.Sizes(*(star.table(spark, d, n).count() for n in ("customer", "orders", "supplier", "orders")))
     return synthetic.gen_transactions(_index(spark, d, "orders", "o_orderkey"), sizes)
 
 
-@query("gen_bad_marker_profile")
+MARKED = ", ".join(
+    f"count(*) FILTER (WHERE starts_with(transaction_id, '{prefix}')) AS {name}_rows"
+    for name, prefix in ref.BAD_MARKERS.items()
+)
+
+
+@query("gen_bad_marker_profile", f"""WITH generated AS ({GENERATED})
+SELECT {MARKED}, count(*) FILTER (WHERE starts_with(transaction_id, 'TEST_')) AS marked_rows,
+       count(*) FILTER (WHERE NOT starts_with(transaction_id, 'TEST_')) AS good_rows, count(*) AS total_rows FROM generated""")
 def gen_bad_marker_profile(spark: SparkSession, d: str) -> DataFrame:
     return ingest.bad_marker_profile(gen_transactions(spark, d))

@@ -172,34 +172,33 @@ def clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _damage(column: str, cases: dict[int, str]) -> str:
-    """Replace a value where the quantity is one of the given numbers."""
-    branches = " ".join(f"WHEN {n} THEN {value}" for n, value in cases.items())
-    return f"CASE q {branches} ELSE {column} END"
+def _swap(column: str, texts: dict[int, str | None]) -> str:
+    """SQL text that replaces a value by a fixed text at the given quantities. The texts sit
+    in a literal map, which keeps the generated code small."""
+    listed = ", ".join(str(n) for n in texts)
+    pairs = ", ".join(f"{n}, " + ("NULL" if v is None else f"'{v}'") for n, v in texts.items())
+    return f"CASE WHEN q IN ({listed}) THEN try_element_at(map({pairs}), q) ELSE {column} END"
 
 
-def _marked(*names: tuple[int, str]) -> dict[int, str]:
-    return {n: f"concat('{ref.BAD_MARKERS[name]}', transaction_id)" for n, name in names}
-
+_MARKER = {
+    1: "null", 2: "null", 3: "negative_amount", 5: "invalid_currency", 6: "invalid_currency", 7: "null",
+    8: "malformed_date", 9: "malformed_date", 14: "orphan_fk", 15: "orphan_fk", 16: "orphan_fk", 17: "duplicate",
+}
+_MARKERS = ", ".join(f"{n}, '{ref.BAD_MARKERS[name]}'" for n, name in _MARKER.items())
+_AMOUNT_TEXTS = {2: None, 4: "abc", 19: "0", 20: ".5", 21: "12.", 22: "1e3"}
 
 DAMAGE = {
-    "transaction_id": _damage("transaction_id", _marked(
-        (1, "null"), (2, "null"), (3, "negative_amount"), (5, "invalid_currency"), (6, "invalid_currency"),
-        (7, "null"), (8, "malformed_date"), (9, "malformed_date"), (14, "orphan_fk"), (15, "orphan_fk"),
-        (16, "orphan_fk"), (17, "duplicate"),
-    ) | {13: "NULL"}),
-    "customer_id": _damage("customer_id", {1: "NULL", 14: f"'{ref.ORPHAN_IDS['customer_id']}'"}),
-    "account_id": _damage("account_id", {15: f"'{ref.ORPHAN_IDS['account_id']}'"}),
-    "merchant_id": _damage("merchant_id", {16: f"'{ref.ORPHAN_IDS['merchant_id']}'"}),
-    "transaction_date": _damage("transaction_date", {8: "'not-a-date'", 9: "'2024-02-30'"}),
-    "amount": _damage("amount", {
-        2: "NULL", 3: "concat('-', amount)", 4: "'abc'", 18: "concat('-', amount)", 19: "'0'", 20: "'.5'",
-        21: "'12.'", 22: "'1e3'",
-    }),
-    "currency": _damage("currency", {5: "'XXX'", 6: "''", 7: "NULL", 18: "'INVALID'"}),
-    "status": _damage("status", {10: "'UNKNOWN'", 18: "'UNKNOWN'"}),
-    "transaction_type": _damage("transaction_type", {11: "'FEE'"}),
-    "channel": _damage("channel", {12: "'PHONE'"}),
+    "transaction_id": "CASE WHEN q <> 13 OR q IS NULL THEN "
+                      f"concat(coalesce(try_element_at(map({_MARKERS}), q), ''), transaction_id) END",
+    "customer_id": _swap("customer_id", {1: None, 14: ref.ORPHAN_IDS["customer_id"]}),
+    "account_id": _swap("account_id", {15: ref.ORPHAN_IDS["account_id"]}),
+    "merchant_id": _swap("merchant_id", {16: ref.ORPHAN_IDS["merchant_id"]}),
+    "transaction_date": _swap("transaction_date", {8: "not-a-date", 9: "2024-02-30"}),
+    "amount": f"concat(CASE WHEN q IN (3, 18) THEN '-' ELSE '' END, {_swap('amount', _AMOUNT_TEXTS)})",
+    "currency": _swap("currency", {5: "XXX", 6: "", 7: None, 18: "INVALID"}),
+    "status": _swap("status", {10: "UNKNOWN", 18: "UNKNOWN"}),
+    "transaction_type": _swap("transaction_type", {11: "FEE"}),
+    "channel": _swap("channel", {12: "PHONE"}),
 }
 
 
