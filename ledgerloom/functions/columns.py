@@ -72,10 +72,10 @@ def date_key_of(day: Column) -> Column:
 
 
 def sql_case(expression: str, mapping: dict[str, str]) -> str:
-    """SQL text of a value lookup; unknown values give NULL. Text, because one parsed
-    expression is far cheaper to build than a chain of when() calls."""
-    branches = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
-    return f"CASE {expression} {branches} END"
+    """SQL text of a value lookup; unknown values give NULL. A literal map keeps generated
+    code small, and one parsed expression is cheaper to build than a chain of when() calls."""
+    pairs = ", ".join(f"'{k}', '{v}'" for k, v in mapping.items())
+    return f"try_element_at(map({pairs}), {expression})"
 
 
 def sql_nth(values, index: str) -> str:

@@ -56,7 +56,7 @@ def with_business_keys(
 def foreign_key_counts(rows: DataFrame, column: str) -> DataFrame:
     """Rows per foreign-key value. Map-side combine collapses a hot value before the
     shuffle, so the anti joins below never move the fact rows."""
-    return rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def orphan_counts(
@@ -73,9 +73,9 @@ def orphan_counts(
     if not include_null:
         orphan = orphan & F.col(column).isNotNull()
     return flagged.agg(
-        F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).alias("orphan_rows"),
-        F.coalesce(F.sum(F.when(F.col(column).isNotNull(), F.col("n"))), F.lit(0)).alias("keyed_rows"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).alias("orphan_rows"),
+        F.coalesce(F.sum(F.when(F.col(column).isNotNull(), F.col("_n"))), F.lit(0)).alias("keyed_rows"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
     )
 
 

@@ -88,10 +88,10 @@ def _surplus(df: DataFrame, check: Check) -> DataFrame:
     rows = df.select(check.unique_on)
     if len(check.unique_on) == 1:
         rows = rows.filter(F.col(check.unique_on[0]).isNotNull())
-    groups = rows.groupBy(check.unique_on).agg(F.count(F.lit(1)).alias("n"))
+    groups = rows.groupBy(check.unique_on).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failed"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("failed"),
     )
 
 

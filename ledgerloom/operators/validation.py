@@ -25,8 +25,8 @@ def null_keys(fact: DataFrame, key: str) -> DataFrame:
 
 def duplicate_keys(fact: DataFrame, key: str, limit: float = 0.01) -> DataFrame:
     """Key values that occur more than once, relative to all rows."""
-    groups = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    counts = groups.agg(count_if(F.col("n") > 1).alias("bad"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    groups = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counts = groups.agg(count_if(F.col("_n") > 1).alias("bad"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
     return _verdict("dup_keys", counts, _share(F.col("bad"), F.col("n")), lambda a: a < limit)
 
 
