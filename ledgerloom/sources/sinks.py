@@ -31,11 +31,11 @@ def write_table(
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("mergeSchema", str(merge_schema).lower())
-    writer = writer.option("partitionOverwriteMode", "static")  # overwrite replaces everything
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if is_path(target):
-        writer.parquet(target)
+        # overwrite replaces everything, whatever the session's default is
+        writer.option("partitionOverwriteMode", "static").parquet(target)
     else:
         named = writer.format("parquet")
         (named.option("path", location) if location else named).saveAsTable(target)
@@ -64,14 +64,19 @@ def overwrite_partitions(
     Partitions that df does not mention are kept, so this is not a delete.
     """
     df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode("overwrite").partitionBy(*partition_by)
     if is_path(target):
-        writer.partitionBy(*partition_by).parquet(target)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(target)
     elif spark.catalog.tableExists(target):
-        ordered = df.select(spark.table(target).columns)
-        ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+        setting = "spark.sql.sources.partitionOverwriteMode"  # inserts take it from the session only
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, "dynamic")
+        try:
+            df.select(spark.table(target).columns).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(setting, before)
     else:
-        writer.format("parquet").partitionBy(*partition_by).saveAsTable(target)
+        writer.format("parquet").saveAsTable(target)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
