@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.sinks import latest_per_key
+from ledgerloom.sources.sinks import latest_per_key, same_key
 
 
 def with_neighbour(
@@ -46,10 +46,11 @@ def with_neighbour(
     across = W.partitionBy(*keys).orderBy(F.desc("_bucket") if following else F.asc("_bucket"))
     carried = edges.select(*keys, "_bucket", F.lag("_edge").over(across).alias("_far"))
 
-    return (
-        local.join(carried, [*keys, "_bucket"], "left")
-        .withColumn(name, F.coalesce("_near", "_far"))
-        .drop("_value", "_bucket", "_near", "_far")
+    joined = local.alias("l").join(
+        carried.alias("r"), same_key("l", "r", [*keys, "_bucket"], null_safe=True), "left"
+    )
+    return joined.select(
+        *[F.col(f"l.{c}") for c in df.columns], F.coalesce("l._near", "r._far").alias(name)
     )
 
 
@@ -85,9 +86,11 @@ def scd2_apply(
     out-of-order changes land in the right place. Versions alone would not be enough: they
     no longer hold the unchanged deliveries that a late change can turn into a version.
     """
-    touched = batch.select(keys).distinct()
-    rebuilt = scd2_history(log.join(touched, keys, "left_semi"), keys, order, attributes, bucket)
-    return history.join(touched, keys, "left_anti").unionByName(rebuilt.select(history.columns))
+    touched = batch.select(keys).distinct().alias("b")
+    on = same_key("a", "b", keys, null_safe=True)
+    rebuilt = scd2_history(log.alias("a").join(touched, on, "left_semi"), keys, order, attributes, bucket)
+    untouched = history.alias("a").join(touched, on, "left_anti")
+    return untouched.unionByName(rebuilt.select(history.columns))
 
 
 def current_rows(history: DataFrame) -> DataFrame:

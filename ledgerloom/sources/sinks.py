@@ -89,10 +89,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def _same_key(left: str, right: str, keys: list[str]) -> Column:
-    condition = F.lit(True)
+def same_key(left: str, right: str, keys: list[str], null_safe: bool = False) -> Column:
+    """Equality of all keys of two aliased frames; null-safe treats NULL as a value."""
+    condition = None
     for key in keys:
-        condition = condition & (F.col(f"{left}.{key}") == F.col(f"{right}.{key}"))
+        a, b = F.col(f"{left}.{key}"), F.col(f"{right}.{key}")
+        part = a.eqNullSafe(b) if null_safe else a == b
+        condition = part if condition is None else condition & part
     return condition
 
 
@@ -107,8 +110,9 @@ def merge_upsert(
     (default all non-key), unmatched source rows are inserted (columns left out are NULL).
 
     The source must have one row per key. NULL keys never match. The update is a left
-    join and the insert an anti join, both of which adaptive execution can split on a hot
-    key; a full outer join could not be split.
+    join and the insert a semi and an anti join: with a small source all of them broadcast
+    it and the target is not shuffled, with a large one adaptive execution can split a hot
+    key. A full outer join could do neither.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     updates = [c for c in (update_columns or source.columns) if c not in keys]
@@ -116,7 +120,7 @@ def merge_upsert(
     columns = target.columns + [c for c in source.columns if c not in target.columns]
 
     incoming = source.withColumn("_matched", F.lit(True)).alias("s")
-    joined = target.alias("t").join(incoming, _same_key("t", "s", keys), "left")
+    joined = target.alias("t").join(incoming, same_key("t", "s", keys), "left")
 
     def updated(name: str) -> Column:
         old = F.col(f"t.{name}") if name in target.columns else F.lit(None)
@@ -125,8 +129,10 @@ def merge_upsert(
         return old.alias(name)
 
     kept = joined.select([updated(c) for c in columns])
-    known = target.select(keys).distinct().alias("t")
-    new = source.alias("s").join(known, _same_key("t", "s", keys), "left_anti")
+    offered = source.select(keys).alias("s")
+    matched = target.select(keys).alias("t").join(offered, same_key("t", "s", keys), "left_semi")
+    known = matched.distinct().alias("t")
+    new = source.alias("s").join(known, same_key("t", "s", keys), "left_anti")
     inserted = new.select(
         [(F.col(c) if c in inserts else F.lit(None).cast(kept.schema[c].dataType)).alias(c)
          for c in columns]

@@ -1,6 +1,8 @@
 """Run registered queries next to their SQL in DuckDB and report differences.
 
     python tests/compare.py [sf_dir] [name ...]
+
+Doubles are compared to nine digits, or to the last bit with COMPARE_EXACT=1.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+EXACT = os.environ.get("COMPARE_EXACT") == "1"
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -29,7 +32,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.9g}"
+        if math.isnan(value):
+            return "nan"
+        return repr(value) if EXACT else f"{value:.9g}"
     if isinstance(value, bool) or value is None:
         return value
     if isinstance(value, int):
