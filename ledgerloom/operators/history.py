@@ -4,8 +4,9 @@ A version opens whenever the tracked attributes differ from the previous deliver
 same key, and closes when the next one opens.
 
 The previous delivery is found with two windows instead of one over the whole key: first
-inside (key, time bucket), then over the one-row-per-bucket tails of each key. A key that
-holds a third of all rows is spread over its buckets.
+inside (key, time bucket), then over the first and last rows of the buckets of each key. A
+key that holds a third of all rows is spread over its buckets. Both steps read the same
+exchange, so the deliveries are scanned and shuffled once.
 """
 
 from __future__ import annotations
@@ -37,21 +38,16 @@ def with_neighbour(
     sort = [F.desc(c) if following else F.asc(c) for c in order]
 
     inside = W.partitionBy(*keys, "_bucket").orderBy(*sort)
-    local = marked.withColumn("_near", F.lag("_value").over(inside))
-
-    # the row of each bucket that touches the neighbouring bucket
-    edge_order = F.struct(*order)
-    edge = F.min_by("_value", edge_order) if following else F.max_by("_value", edge_order)
-    edges = marked.groupBy(*keys, "_bucket").agg(edge.alias("_edge"))
-    across = W.partitionBy(*keys).orderBy(F.desc("_bucket") if following else F.asc("_bucket"))
-    carried = edges.select(*keys, "_bucket", F.lag("_edge").over(across).alias("_far"))
-
-    joined = local.alias("l").join(
-        carried.alias("r"), same_key("l", "r", [*keys, "_bucket"], null_safe=True), "left"
-    )
-    return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns], F.coalesce("l._near", "r._far").alias(name)
-    )
+    local = marked.withColumns({
+        "_near": F.lag("_value").over(inside), "_beyond": F.lead("_value").over(inside),
+    })
+    opens, closes = F.col("_near").isNull(), F.col("_beyond").isNull()
+    settled = local.filter(~opens).select(*df.columns, F.col("_near").alias(name))
+
+    # the rows at both ends of a bucket: the row before an opening one closes the bucket before
+    across = W.partitionBy(*keys).orderBy(*sort)
+    ends = local.filter(opens | closes).withColumn("_far", F.lag("_value").over(across))
+    return settled.unionByName(ends.filter(opens).select(*df.columns, F.col("_far").alias(name)))
 
 
 def scd2_history(

@@ -71,9 +71,7 @@ def scan_catalog_table(spark: SparkSession, d: str) -> DataFrame:
     name = f"orders_{uuid.uuid4().hex[:12]}"
     location = new_location(spark, "catalog")
     sinks.write_table(star.table(spark, d, "orders"), name, location=location)
-    rows = readers.read_table(spark, name)
-    spark.catalog.dropTempView(name)
-    return rows
+    return readers.read_table(spark, name)
 
 
 # --- sinks -----------------------------------------------------------------------------------
