@@ -406,7 +406,7 @@ def late_data(spark: SparkSession, d: str) -> DataFrame:
     events.repartition(3).write.parquet(landing)
     rows = bronze_stream.file_stream(spark, landing, events.schema, maxFilesPerTrigger=1)
     silver_stream.upsert_stream(rows, ["user_id"], ["ts", "event_id"], target, checkpoint).awaitTermination()
-    return silver_stream.current_rows(spark, target)
+    return silver_stream.current_rows(spark, target).drop("bucket")
 
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type FROM events")

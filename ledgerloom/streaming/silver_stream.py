@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.plans.silver import table_exists, transform
-from ledgerloom.sources.sinks import latest_per_key, merge_upsert, write_table
-from ledgerloom.sources.readers import read_table
+from ledgerloom.sources.sinks import latest_per_key, write_table
 from ledgerloom.streaming.bronze_stream import with_trigger
 
 
@@ -41,37 +40,34 @@ def fact_stream(
 
 def upsert_stream(
     rows: DataFrame, keys: list[str], order: list[str], target: str, checkpoint: str,
-    environment: str | None = None,
+    buckets: int = 64, environment: str | None = None,
 ) -> StreamingQuery:
     """Keep the newest row per key, whatever order the rows arrive in.
 
-    Epoch n reads version n-1 of the table and writes version n, so a repeated epoch gives
-    the same version. `current_rows` reads the newest one.
+    Keys are hashed into buckets, and an epoch rewrites only the buckets it touches, under
+    its own version. Reading stops before that version, so a repeated epoch writes the same
+    files again, and a reader never meets a file that is being replaced.
     """
 
     def process(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         newest = [F.desc_nulls_last(c) for c in order]
-        incoming = latest_per_key(batch, keys, newest)
-        previous = f"{target}/version={epoch - 1}"
-        if epoch > 0 and table_exists(spark, previous):
-            current = read_table(spark, previous)
-            # a late row must not replace a newer one
-            known = current.select(*keys, *[F.col(c).alias(f"_{c}") for c in order])
-            fresh = F.struct(*order) >= F.struct(*[F.col(f"_{c}") for c in order])
-            matched = incoming.join(known, keys, "left")
-            incoming = matched.filter(
-                F.col(f"_{order[0]}").isNull() | fresh
-            ).select(incoming.columns)
-            incoming = merge_upsert(current, incoming, keys)
-        write_table(incoming, f"{target}/version={epoch}", mode="overwrite")
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        latest = latest_per_key(batch, keys, newest).withColumn("bucket", bucket)
+        if epoch > 0 and table_exists(spark, target):
+            touched = F.broadcast(latest.select("bucket").distinct())  # at most `buckets` rows
+            current = current_rows(spark, target, before=epoch).join(touched, "bucket", "left_semi")
+            latest = latest_per_key(current.unionByName(latest), keys, newest)
+        write_table(latest, f"{target}/version={epoch}", mode="overwrite", partition_by=["bucket"])
 
     writer = rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return with_trigger(writer, environment).start()
 
 
-def current_rows(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of the newest version; only that partition is read."""
-    versions = spark.read.parquet(target)
-    newest = versions.select(F.max("version")).scalar()
-    return versions.filter(F.col("version") == newest).drop("version")
+def current_rows(spark: SparkSession, target: str, before: int | None = None) -> DataFrame:
+    """Rows of the newest version of each bucket, optionally as of before an epoch."""
+    stored = spark.read.parquet(target)
+    if before is not None:
+        stored = stored.filter(F.col("version") < before)
+    newest = stored.groupBy("bucket").agg(F.max("version").alias("version"))  # one row per bucket
+    return stored.join(F.broadcast(newest), ["bucket", "version"]).drop("version")
