@@ -71,7 +71,7 @@ def date_key_of(day: Column) -> Column:
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 
 
-def sql_case(expression: str, mapping: dict[str, str]) -> str:
+def sql_lookup(expression: str, mapping: dict[str, str]) -> str:
     """SQL text of a value lookup; unknown values give NULL. A literal map keeps generated
     code small, and one parsed expression is cheaper to build than a chain of when() calls."""
     pairs = ", ".join(f"'{k}', '{v}'" for k, v in mapping.items())
@@ -113,4 +113,4 @@ def moment(text: Column, fmt: str = ref.TIMESTAMP_FORMAT) -> Column:
 
 def region_of(country: str = "country_code") -> Column:
     """Region of a country code from the fixed country table; NULL when unknown."""
-    return F.expr(sql_case(country, {code: region for code, (region, _) in ref.COUNTRIES.items()}))
+    return F.expr(sql_lookup(country, {code: region for code, (region, _) in ref.COUNTRIES.items()}))

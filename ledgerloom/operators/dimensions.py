@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import day, key_of, moment, money
+from ledgerloom.operators.history import scd2_history
 from ledgerloom.operators.joins import accounts_with_customer
 from ledgerloom.sources.sinks import latest_per_key, merge_upsert
 
@@ -43,6 +44,28 @@ def dim_customer(raw: DataFrame, effective_from: Column | None = None) -> DataFr
     ), effective_from)
 
 
+def dim_customer_history(
+    raw: DataFrame,
+    tracked: tuple[str, ...] = ("first_name", "last_name", "email", "country_code"),
+    bucket: str = "month",
+) -> DataFrame:
+    """All versions of each customer: one opens whenever a tracked attribute changes between
+    deliveries, in order of their update (or creation) time."""
+    changed_at = moment(F.coalesce("updated_at", "created_at"))
+    order = list(dict.fromkeys(["email", "phone", *tracked]))  # ties of the time, so reruns agree
+    deliveries = raw.select("customer_id", *order, changed_at.alias("changed_at"))
+    order = ["changed_at", *order]
+    versions = scd2_history(deliveries, ["customer_id"], order, list(tracked), bucket)
+    return versions.select(
+        key_of(F.col("customer_id")).alias("customer_key"),
+        "customer_id",
+        *tracked,
+        F.col("valid_from").alias("_effective_from"),
+        F.col("valid_to").alias("_effective_to"),
+        F.col("is_current").alias("_is_current"),
+    )
+
+
 def dim_account(raw: DataFrame, effective_from: Column | None = None) -> DataFrame:
     """Latest delivery per account by opening day."""
     latest = latest_per_key(

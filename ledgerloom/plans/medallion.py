@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerloom.operators import reports, validation
 from ledgerloom.plans import bronze, gold, silver
@@ -117,7 +116,3 @@ def full_reprocess(
     build_gold(spark, rebuilt, as_of)
     tables = {t: read_table(spark, rebuilt.silver(t)) for t in ("fact_transactions", "quarantine", *DIMENSIONS)}
     return reports.layer_record_counts(tables)
-
-
-def reporting_day(fact: DataFrame) -> Column:
-    return fact.select(F.to_date(F.max("transaction_timestamp"))).scalar()

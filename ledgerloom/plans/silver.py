@@ -106,6 +106,11 @@ def build_all_dimensions(
     return {name: overwrite(table, targets[name]) for name, table in built.items()}
 
 
-def write_history(history: DataFrame, target: str) -> None:
-    """Versions split by currentness, so lookups of current rows skip the past."""
-    write_table(history, target, mode="overwrite", partition_by=["is_current"])
+def build_dim_customer(spark: SparkSession, raw_table: str, target: str, scd_type: int = 2) -> int:
+    """Write the customer dimension and return its row count: the latest record per customer
+    (type 1), or all versions (type 2), sorted by currentness so that lookups of current rows
+    skip the past."""
+    raw = read_table(spark, raw_table)
+    if scd_type == 1:
+        return overwrite(dimensions.dim_customer(raw), target)
+    return overwrite(dimensions.dim_customer_history(raw).sortWithinPartitions("_is_current"), target)

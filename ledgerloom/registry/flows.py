@@ -405,7 +405,8 @@ def late_data(spark: SparkSession, d: str) -> DataFrame:
     events = star.table(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
     events.repartition(3).write.parquet(landing)
     rows = bronze_stream.file_stream(spark, landing, events.schema, maxFilesPerTrigger=1)
-    silver_stream.upsert_stream(rows, ["user_id"], ["ts", "event_id"], target, checkpoint).awaitTermination()
+    upsert = silver_stream.upsert_stream(rows, ["user_id"], ["ts", "event_id"], target, checkpoint, buckets=8)
+    upsert.awaitTermination()
     return silver_stream.current_rows(spark, target).drop("bucket")
 
 

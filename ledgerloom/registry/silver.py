@@ -423,6 +423,20 @@ def dim_customer(spark: SparkSession, d: str) -> DataFrame:
     return built.drop("customer_key", "_effective_from", "_effective_to", "_created_timestamp")
 
 
+CUSTOMER_VERSIONS = sql("""WITH seen AS (
+  SELECT *, lag(email) OVER w AS before, row_number() OVER w AS place FROM customer_deliveries
+  WINDOW w AS (PARTITION BY customer_id ORDER BY created_at, email, phone)), opened AS (
+  SELECT * FROM seen WHERE place = 1 OR before IS DISTINCT FROM email)
+SELECT customer_id, first_name, last_name, email, country_code, created_at AS _effective_from,
+       lead(created_at) OVER w AS _effective_to, lead(created_at) OVER w IS NULL AS _is_current
+FROM opened WINDOW w AS (PARTITION BY customer_id ORDER BY created_at, email, phone)""", "customer_deliveries")
+
+
+@query("dim_customer_history", CUSTOMER_VERSIONS)
+def dim_customer_history(spark: SparkSession, d: str) -> DataFrame:
+    return dimensions.dim_customer_history(star.customer_deliveries(spark, d)).drop("customer_key")
+
+
 @query("win_dedup_latest", sql("""
 SELECT customer_id, created_at FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY created_at DESC, phone DESC) AS rn

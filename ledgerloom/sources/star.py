@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import reference_data as ref
-from ledgerloom.functions.columns import sql_case, sql_nth, sql_usd
+from ledgerloom.functions.columns import sql_lookup, sql_nth, sql_usd
 from ledgerloom.operators.dimensions import calendar_days, dim_date
 from ledgerloom.session import new_location
 from ledgerloom.sources.sinks import write_table
@@ -48,12 +48,12 @@ TABLES = {
 }
 
 CATEGORY = sql_nth(ref.MERCHANT_CATEGORIES, "s_nationkey")
-MCC = sql_case(CATEGORY, ref.MCC_CODES)
+MCC = sql_lookup(CATEGORY, ref.MCC_CODES)
 SHOP_COUNTRY = sql_nth(ref.COUNTRIES, "s_nationkey")
-CURRENCY = sql_case("r_name", REGION_CURRENCY)
-STATUS = f"CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' ELSE {sql_case('o_orderstatus', ORDER_STATUS)} END"
-KIND = sql_case("l_returnflag", FLAG_TYPE)
-CHANNEL = sql_case("o_orderpriority", PRIORITY_CHANNEL)
+CURRENCY = sql_lookup("r_name", REGION_CURRENCY)
+STATUS = f"CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' ELSE {sql_lookup('o_orderstatus', ORDER_STATUS)} END"
+KIND = sql_lookup("l_returnflag", FLAG_TYPE)
+CHANNEL = sql_lookup("o_orderpriority", PRIORITY_CHANNEL)
 LINE_ID = "concat_ws('-', l_orderkey, l_linenumber)"
 TEXT_TIME = "date_format({}, 'yyyy-MM-dd HH:mm:ss')"
 DATE_KEY = "year({0}) * 10000 + month({0}) * 100 + day({0})"
@@ -181,7 +181,7 @@ def order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{DATE_KEY.format('o_orderdate')} AS date_key",
         "o_orderdate AS transaction_timestamp",
         f"{amount} AS amount_usd",
-        f"{sql_case('o_orderstatus', ORDER_STATUS)} AS status",
+        f"{sql_lookup('o_orderstatus', ORDER_STATUS)} AS status",
         f"{CHANNEL} AS channel",
         f"coalesce({amount} > 400000, FALSE) AS is_fraud",
     )
@@ -283,7 +283,7 @@ def account_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{sql_nth(ref.ACCOUNT_TYPES, 'l_linenumber')} AS account_type",
         "lpad(CAST(l_partkey AS STRING), 16, '0') AS account_number",
         "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS balance",
-        f"{sql_case('l_returnflag', {'A': 'USD', 'N': 'EUR', 'R': 'GBP'})} AS currency",
+        f"{sql_lookup('l_returnflag', {'A': 'USD', 'N': 'EUR', 'R': 'GBP'})} AS currency",
         "CASE WHEN l_linestatus = 'O' THEN 'ACTIVE' ELSE 'CLOSED' END AS status",
         "CAST(CAST(l_shipdate AS DATE) AS STRING) AS opened_date",
         "CASE WHEN l_linestatus = 'F' THEN 'not-a-date' END AS closed_date",

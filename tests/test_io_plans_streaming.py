@@ -34,7 +34,7 @@ def test_csv_and_json_loads(spark, transactions, location):
     assert raw.filter("amount IS NULL").count() == 2
     assert raw.filter("_source_file IS NULL").count() == 0
     assert bronze.record_count(spark, location("raw")) == 4
-    assert readers.as_of(raw, up_to_batch="B1").count() == 2
+    assert readers.read_as_of(spark, location("raw"), up_to_batch="B1").count() == 2
     assert readers.as_of(raw, timestamp="1999-01-01").count() == 0
 
 
