@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.functions import reference_data as ref
 from ledgerloom.operators import ingest
-from ledgerloom.plans import bronze, gold as gold_plan, medallion, silver
+from ledgerloom.plans import bronze, gold as gold_plan, layers, silver
 from ledgerloom.registry.base import query
 from ledgerloom.registry.oracle import case, sql, text_list
 from ledgerloom.registry.quality import KEPT, SUITE, _slim
@@ -289,7 +289,7 @@ def build_all_dimensions(spark: SparkSession, d: str) -> DataFrame:
         sinks.write_table(rows, f"{root}/{name}_raw", mode="overwrite")
     return _count_rows(spark, silver.build_all_dimensions(
         spark, {n: f"{root}/{n}_raw" for n in sources},
-        {t: f"{root}/{t}" for t in medallion.DIMENSIONS}, 1995, 2001,
+        {t: f"{root}/{t}" for t in layers.DIMENSIONS}, 1995, 2001,
     ))
 
 
@@ -359,15 +359,15 @@ ALL_COUNTS = " UNION ALL ".join([
 @query("run_all_layers", sql(ALL_COUNTS, "typed", "rejected"))
 def run_all_layers(spark: SparkSession, d: str) -> DataFrame:
     """Deliveries to gold in one run; rows per table of every layer."""
-    layout = medallion.Layout(new_location(spark, "run"))
-    return medallion.run(spark, _deliveries(spark, d), layout, "B1", years=(1995, 2001), at=_clock())
+    layout = layers.Layout(new_location(spark, "run"))
+    return layers.run(spark, _deliveries(spark, d), layout, "B1", years=(1995, 2001), at=_clock())
 
 
 @query("full_reprocess", sql(SILVER_COUNTS, "typed", "rejected"))
 def full_reprocess(spark: SparkSession, d: str) -> DataFrame:
-    layout, rebuilt = medallion.Layout(new_location(spark, "run")), medallion.Layout(new_location(spark, "again"))
-    medallion.ingest(_deliveries(spark, d), layout, "B1", _clock())
-    return medallion.full_reprocess(spark, layout, rebuilt, years=(1995, 2001), at=_clock())
+    layout, rebuilt = layers.Layout(new_location(spark, "run")), layers.Layout(new_location(spark, "again"))
+    layers.ingest(_deliveries(spark, d), layout, "B1", _clock())
+    return layers.full_reprocess(spark, layout, rebuilt, years=(1995, 2001), at=_clock())
 
 
 # --- streams ---------------------------------------------------------------------------------

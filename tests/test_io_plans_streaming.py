@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators import ingest, rules
-from ledgerloom.plans import bronze, medallion, silver
+from ledgerloom.plans import bronze, layers, silver
 from ledgerloom.session import new_location, shared_root
 from ledgerloom.sources import readers, sinks, synthetic
 
@@ -120,12 +120,12 @@ def test_generated_run_end_to_end(spark, location):
     clean = synthetic.gen_transactions(spark.range(500).toDF("i"), sizes, include_bad_data=False)
     assert rules.rule_split(clean)[1].count() == 0
 
-    layout = medallion.Layout(location("lake"))
-    counts = {r.table_name: r.records for r in medallion.run(spark, made, layout, "B1").collect()}
+    layout = layers.Layout(location("lake"))
+    counts = {r.table_name: r.records for r in layers.run(spark, made, layout, "B1").collect()}
     assert counts["transactions_raw"] == 2000 and counts["executive_summary"] == 1
     records = readers.read_table(spark, layout.silver("quarantine")).select("original_record").distinct().count()
     assert counts["fact_transactions"] + records == 2000
-    checks = {r.check_name: r.passed for r in medallion.validate(spark, layout).collect()}
+    checks = {r.check_name: r.passed for r in layers.validate(spark, layout).collect()}
     assert all(checks.values()), checks
 
 
