@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import simhash_dedup
+from ledgerloom.llm import simhash_dedup, substring_dedup
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +22,14 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 @query
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        "doc_id",
+        F.col("words").alias("n_words"),
+        F.col("removed").alias("n_removed"),
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
