@@ -35,6 +35,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """The frame with more columns, each computed once per row.
+
+    A generator stands between them and their readers. Without it the optimizer copies the expressions
+    into filters and lambdas that name them, and a lambda over words would split its text once per word.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have."""
     taken = {c.lower() for c in df.columns}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import simhash_dedup, substring_dedup
+from ledgerloom.llm import quality_cascade, simhash_dedup, substring_dedup
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,8 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("removed").alias("n_removed"),
         F.sha2("kept_text", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cascade.judged(table(spark, sf_dir, "documents"))
