@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import quality_cascade, simhash_dedup, substring_dedup
+from ledgerloom.llm import decontamination, quality_cascade, simhash_dedup, substring_dedup
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,16 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.judged(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
