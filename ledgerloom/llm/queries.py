@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import byte_bpe, decontamination, quality_cascade, simhash_dedup, substring_dedup
+from ledgerloom.llm import byte_bpe, decontamination, line_dedup, quality_cascade, simhash_dedup, substring_dedup
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return byte_bpe.digests(byte_bpe.decode(ids, ranks), ranks)
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.col("lines").alias("n_lines"),
+        F.col("removed").alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
