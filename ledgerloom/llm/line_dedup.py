@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import computed, row_key, stored, text_of, words_of
+from ledgerloom.llm.common import computed, once, row_key, stored, text_of, words_of
 
 MIN_WORDS = 8
 
@@ -143,20 +143,19 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     sort before all others; rows that agree in id and text are one document and get the same
     result. An empty table gives no rows. The two columns replace columns of the same names.
     """
-    key, whole = "__row", "__whole"
-    packed = docs.select(F.struct(*docs.columns).alias(whole), F.col(id).alias("id"), row_key(id, text).alias(key), F.col(text).cast("string").alias("text"))
-    slim = packed.select("id", F.col(key).alias("row"), text_of("text").alias("text"))
+    others = {f"kept_{i}": c for i, c in enumerate(docs.columns) if c not in (text, "lines", "removed")}
+    named = docs.select(*[F.col(c).alias(k) for k, c in others.items()], F.col(id).alias("id"), row_key(id, text).alias("row"), F.col(text).cast("string").alias("text"))
+    slim = named.select("id", "row", text_of("text").alias("text"))
     gone = _removed(slim)
-    both = packed.join(gone, (packed[key] == gone["row"]) & packed["id"].eqNullSafe(gone["id"]), "left").select(
-        whole, packed["text"], "gone")
-    marks = F.array_sort(F.coalesce("gone", F.array().cast("array<int>")))
-    cut = computed(both, {"parts": F.split("text", "\n", -1), "marks": marks})
+    both = named.join(gone, (named["row"] == gone["row"]) & named["id"].eqNullSafe(gone["id"]), "left").select(
+        *others, named["text"], F.array_sort(F.coalesce("gone", F.array().cast("array<int>"))).alias("gone"))
+    cut = computed(both, {"parts": F.split("text", "\n", -1), "marks": F.col("gone")})
     # the marked lines, in order, leave spans between them: each is cut out once, whatever their number
     edges = F.concat(F.array(F.lit(-1)), F.col("marks"), F.array(F.size("parts")))
-    spans = F.transform(F.sequence(F.lit(1), F.size("marks") + 1), lambda i: F.slice(
-        "parts", F.get(edges, i - 1) + 2, F.get(edges, i) - F.get(edges, i - 1) - 1))
-    kept = F.when(F.size("marks") == 0, F.col("text")).otherwise(F.array_join(F.flatten(spans), "\n"))
-    lines = F.coalesce(F.size("parts"), F.lit(0)).cast("bigint")
-    out = computed(cut, {"kept": F.when(F.col("text").isNotNull(), kept)})
-    rest = [F.col("kept").alias(c) if c == text else F.col(f"{whole}.`{c}`") for c in docs.columns if c not in ("lines", "removed")]
-    return out.select(*rest, F.when(F.col("text").isNull(), F.lit(0)).otherwise(lines).cast("bigint").alias("lines"), F.size("marks").cast("bigint").alias("removed"))
+    span = lambda e: F.transform(F.sequence(F.lit(1), F.size(e) - 1), lambda i: F.slice(
+        "parts", F.get(e, i - 1) + 2, F.get(e, i) - F.get(e, i - 1) - 1))
+    kept = F.when(F.size("marks") == 0, F.col("text")).otherwise(F.array_join(F.flatten(once(edges, span)), "\n"))
+    lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("parts"))
+    out = computed(cut, {"kept": kept, "lines": lines.cast("bigint"), "removed": F.size("marks").cast("bigint")})
+    names = {c: k for k, c in others.items()} | {text: "kept"}
+    return out.select(*[F.col(names[c]).alias(c) for c in docs.columns if c in names], "lines", "removed")

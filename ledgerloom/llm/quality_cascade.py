@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import computed, stored, text_of, unused, words_of
+from ledgerloom.llm.common import computed, once, stored, text_of, words_of
 
 #: documents in the sample on which costs and selectivities are estimated
 SAMPLE = 2000
@@ -28,11 +28,6 @@ MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 
 
-def once(value: Column, use) -> Column:
-    """use(value) with the value computed once, however often `use` names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """Words inside runs of `window` words that the same text has twice or more, the first run included.
 
@@ -97,9 +92,9 @@ RULES = (
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, text, words, base metrics, *keep), names of the cascade's own scope."""
-    scope = docs.select(F.col(id).alias("id"), text_of(text).alias("text"), *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)])
+def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: dict[str, str] | None = None) -> DataFrame:
+    """(id, text, words, base metrics) in the names of the cascade's own scope, and the columns of `keep` under its keys."""
+    scope = docs.select(F.col(id).alias("id"), text_of(text).alias("text"), *[F.col(c).alias(k) for k, c in (keep or {}).items()])
     scope = computed(scope, {"words": words_of("text")})
     return computed(scope, base_metrics(F.col("text"), F.col("words")))
 
@@ -135,25 +130,24 @@ def cascade(rules: tuple[Rule, ...]) -> Column:
     return verdict.otherwise(F.lit(False))
 
 
-def judged(docs: DataFrame, id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, base metrics, base_failed, kept) for every row, then the columns named in `keep`.
+def _verdicts(docs: DataFrame, id: str, text: str, rules: tuple[Rule, ...], sample: int, keep: dict[str, str] | None = None) -> DataFrame:
+    order = ordered(profile(docs, rules, id, text, sample))
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
+    verdict = F.when(F.col("base_failed"), F.lit(False)).otherwise(~cascade(order))
+    return measured(docs, id, text, keep).withColumn("base_failed", failed).withColumn("kept", verdict)
+
+
+def judged(docs: DataFrame, id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE) -> DataFrame:
+    """(id, base metrics, base_failed, kept) for every row of `docs`.
 
     NULL and blank texts have no words and fail. Repeated rows are judged alike, each on its own; a NULL
-    id stays NULL; a text of any length is judged whole. An empty table gives no rows. Other columns of `docs` are not read.
+    id stays NULL; a text of any length is judged whole. An empty table gives no rows. Other columns are not read.
     """
-    order = ordered(profile(docs, rules, id, text, sample))
-    metrics = measured(docs, id, text, keep)
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
-    return metrics.withColumn("base_failed", failed).select(
-        F.col("id").alias(id), *BASE, "base_failed",
-        F.when(F.col("base_failed"), F.lit(False)).otherwise(~cascade(order)).alias("kept"),
-        *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)],
-    )
+    return _verdicts(docs, id, text, rules, sample).select(F.col("id").alias(id), *BASE, "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame, id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE) -> DataFrame:
     """The rows of `docs` that the cascade keeps, unchanged; see `judged` for odd rows."""
-    whole, own = unused(docs, "whole"), unused(docs, "own")
-    packed = docs.select(F.col(id).alias(own), F.struct(*docs.columns).alias(whole), F.col(text).alias("text"))
-    found = judged(packed, own, "text", rules, sample, (whole,))
-    return found.filter("kept").select(f"{whole}.*")
+    keep = {f"kept_{i}": c for i, c in enumerate(docs.columns)}
+    found = _verdicts(docs, id, text, rules, sample, keep)
+    return found.filter("kept").select(*[F.col(k).alias(c) for k, c in keep.items()])
