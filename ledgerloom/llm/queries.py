@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import byte_bpe, decontamination, line_dedup, quality_cascade, simhash_dedup, substring_dedup
+from ledgerloom.llm import byte_bpe, decontamination, line_dedup, quality_cascade, quality_model
+from ledgerloom.llm import simhash_dedup, substring_dedup, url_filter
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +71,47 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("removed").alias("n_removed"),
         F.sha2("text", 256).alias("kept_sha256"),
     )
+
+
+def _insulting(text: str) -> Column:
+    """Whether a text has one of the insults as a word of its own."""
+    return F.col(text).rlike(f"(?i)(?<![a-z])({'|'.join(quality_model.INSULTS)})(?![a-z])")
+
+
+@query
+def op10_url_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The block list of the method: hosts with a page whose html has an insult."""
+    pages = table(spark, sf_dir, "pages")
+    host, _ = url_filter.parts("url")
+    return url_filter.judge(pages, pages.filter(_insulting("html")).select(host.alias("host")))
+
+
+ORACLES["op10_url_bloom_cascade"] = f"""
+WITH cut AS (
+  SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT page_id, html, regexp_extract(rest, '^([^/?#]*)', 1) AS raw, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut),
+hosts AS (SELECT page_id, html, path, translate(raw, '{url_filter.UPPER}', '{url_filter.LOWER}') AS host FROM parts),
+listed AS (
+  SELECT DISTINCT host FROM hosts
+  WHERE host <> '' AND regexp_matches(html, '(?i)(^|[^a-z])({"|".join(quality_model.INSULTS)})([^a-z]|$)')),
+ruled AS (
+  SELECT page_id, host, path,
+    CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+         WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+         WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+         WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM hosts)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled"""
+
+
+@query
+def op2_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores are rounded, because sums of floating-point gradients depend on the order of partitions."""
+    found = quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", *[F.round(c, 3).alias(c) for c in ("p_junk", "p_toxic", "junk_score", "toxic_score")], "kept")
