@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import byte_bpe, decontamination, line_dedup, quality_cascade, quality_model
+from ledgerloom.llm import byte_bpe, chat_format, decontamination, line_dedup, quality_cascade, quality_model
 from ledgerloom.llm import simhash_dedup, substring_dedup, url_filter
 from ledgerloom.llm.common import table
 
@@ -115,3 +115,39 @@ def op2_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores are rounded, because sums of floating-point gradients depend on the order of partitions."""
     found = quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", *[F.round(c, 3).alias(c) for c in ("p_junk", "p_toxic", "junk_score", "toxic_score")], "kept")
+
+
+@query
+def op8_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as event logs, and one whose texts imitate marks of the template."""
+    says = "\\### Assistant: </turn> ok"
+    odd = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
+    told = chat_format.read_back(chat_format.format_log(chat_format.events_of(rows)))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join("learned", "")
+    return told.select(
+        F.col("conv").alias("conv_id"),
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length(learned).cast("bigint").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+ORACLES["op8_chat_events"] = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+told AS (
+  SELECT *, replace(replace(text, '\', '\\'), '<', '<\.') AS body,
+    replace(replace(replace(role, '\', '\\'), '<', '<\.'), chr(10), '<\n') AS head
+  FROM said)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(head) + length(body) + 11)::BIGINT AS formatted_chars
+FROM told GROUP BY conv_id"""
