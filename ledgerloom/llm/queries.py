@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import byte_bpe, chat_format, decontamination, line_dedup, quality_cascade, quality_model
-from ledgerloom.llm import simhash_dedup, substring_dedup, url_filter
+from ledgerloom.llm import simhash_dedup, substring_dedup, url_filter, warc_revisits
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,65 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(length(head) + length(body) + 11)::BIGINT AS formatted_chars
 FROM told GROUP BY conv_id"""
+
+
+def _captures(pages: DataFrame) -> DataFrame:
+    """An archive of the pages: a full response for each, and later or, for every fifth, earlier a revisit.
+
+    Revisits name the URL in another form. Every seventh tells another entity tag and every eleventh no validator.
+    """
+    second = F.col("page_id") * 60
+    digest = F.concat(F.lit("sha256:"), F.sha2("html", 256))
+    tag = F.concat(F.lit('"'), F.substring(F.md5("html"), 1, 16), F.lit('"'))
+    full = pages.select(
+        F.concat(F.lit("r"), "page_id").alias("record_id"), "url", F.timestamp_seconds(F.lit(1704067200) + second).alias("at"), F.lit("response").alias("kind"),
+        digest.alias("digest"), F.create_map(
+            F.lit("ETag"), tag, F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), F.length("html").cast("string"),
+            F.lit("Server"), F.concat(F.lit("s"), (F.col("page_id") % 3).cast("string"))).alias("headers"),
+        F.col("html").alias("payload"))
+    late = F.when(F.col("page_id") % 5 == 0, F.lit(-1)).otherwise(F.lit(30 * 86400) + F.col("page_id") % 60)
+    form = F.concat(F.regexp_replace(F.col("url"), "#.*$", ""), F.when(F.col("url").contains("?"), "&").otherwise("?"), F.lit("utm_source=archive"))
+    silent, other = F.col("page_id") % 11 == 4, F.col("page_id") % 7 == 3
+    shown = F.when(other, F.lit('"changed"')).otherwise(F.concat(F.lit("W/"), tag))
+    plain = [F.lit("content-length"), F.lit("0"), F.lit("server"), F.lit("edge"), F.lit("Age"), F.lit("7")]
+    again = pages.select(
+        F.concat(F.lit("v"), "page_id").alias("record_id"), form.alias("url"), F.timestamp_seconds(F.lit(1704067200) + second + late).alias("at"),
+        F.lit("revisit").alias("kind"), F.lit(None).cast("string").alias("digest"),
+        F.when(silent, F.create_map(*plain)).otherwise(F.create_map(*plain, F.lit("etag"), shown)).alias("headers"), F.lit(None).cast("string").alias("payload"))
+    return full.unionByName(again)
+
+
+@query
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_revisits.resolve(_captures(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    pairs = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.select("record_id", "url_key", "base_id", "verdict", F.array_join(pairs, ";").alias("headers"), F.sha2("payload", 256).alias("payload_sha256"))
+
+
+ORACLES["op3_warc_revisits"] = r"""
+WITH base AS (
+  SELECT page_id, url, html, '"' || substr(md5(html), 1, 16) || '"' AS tag,
+    page_id * 60 AS at, page_id * 60 + CASE WHEN page_id % 5 = 0 THEN -1 ELSE 30 * 86400 + page_id % 60 END AS asked,
+    regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare0, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme
+  FROM pages),
+cut AS (SELECT *, regexp_replace(bare0, '#.*$', '') AS bare FROM base),
+named AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*', 0)), '^[^@]*@', ''), '^www[0-9]*\.', '') AS host0,
+    regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/$', '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(bare, '^[^?]*\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref)='))) AS params
+  FROM cut),
+keyed AS (
+  SELECT *, CASE scheme WHEN 'http' THEN regexp_replace(host0, ':80$', '') WHEN 'https' THEN regexp_replace(host0, ':443$', '') ELSE host0 END || path ||
+    CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS url_key
+  FROM named),
+joined AS (
+  SELECT v.page_id, v.url_key, v.tag AS own_tag, r.page_id AS base_id, r.tag, r.html
+  FROM keyed v ASOF LEFT JOIN keyed r ON v.url_key = r.url_key AND v.asked > r.at),
+judged AS (
+  SELECT *, CASE WHEN base_id IS NULL THEN 'orphan' WHEN page_id % 11 = 4 THEN 'unproven'
+    WHEN page_id % 7 = 3 OR own_tag <> tag THEN 'mismatch' ELSE 'resolved' END AS verdict
+  FROM joined)
+SELECT 'v' || page_id AS record_id, url_key, 'r' || base_id AS base_id, verdict,
+  CASE WHEN verdict = 'resolved' THEN 'age=7;content-length=' || length(html) || ';content-type=text/html;etag=W/' || own_tag || ';server=edge' END AS headers,
+  CASE WHEN verdict = 'resolved' THEN sha256(html) END AS payload_sha256
+FROM judged"""
