@@ -52,6 +52,7 @@ def typed(rows: DataFrame) -> DataFrame:
         "country_code",
         "description",
         "_batch_id",
+        *[c for c in ("load",) if c in rows.columns],
     )
 
 
@@ -83,7 +84,8 @@ def with_audit(rows: DataFrame, created_at: Column | None = None, keep_batch: bo
     """Final fact columns. The batch id is kept by default because incremental runs need it."""
     now = created_at if created_at is not None else F.current_timestamp()
     stamped = rows.withColumns({"_created_timestamp": now, "_updated_timestamp": now})
-    return stamped.select(*schemas.FACT.names, *(["_batch_id"] if keep_batch else []))
+    tags = [c for c in ("_batch_id", "load") if keep_batch and c in stamped.columns]
+    return stamped.select(*schemas.FACT.names, *tags)
 
 
 def build_fact(valid: DataFrame, created_at: Column | None = None) -> DataFrame:

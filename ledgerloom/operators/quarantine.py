@@ -21,7 +21,8 @@ def to_quarantine(
 ) -> DataFrame:
     """Quarantine rows. The batch id defaults to the row's own `_batch_id`, where it has one."""
     now = at if at is not None else F.current_timestamp()
-    record = [c for c in rejected.columns if c not in (reason_column, REASONS)]
+    record = [c for c in rejected.columns if c not in (reason_column, REASONS, "_load", "load")]
+    load = [F.col("load")] if "load" in rejected.columns else []
     if batch_id is not None or "_batch_id" not in record:
         batch = F.lit(batch_id).cast("string")
     else:
@@ -34,6 +35,7 @@ def to_quarantine(
         batch.alias("batch_id"),
         F.to_date(now).alias("quarantine_date"),
         F.to_json(F.struct(*record)).alias("original_record"),
+        *load,
     )
 
 
@@ -84,9 +86,9 @@ def lookup(
     source_table: str | None = None,
     reason: str | None = None,
     batch_id: str | None = None,
-    limit: int | None = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Quarantined rows by optional filters; limit=None returns all of them."""
+    """Quarantined rows by optional filters; a limit is for looking at a few of them."""
     for column, value in (
         ("source_table", source_table), ("rejection_reason", reason), ("batch_id", batch_id)
     ):

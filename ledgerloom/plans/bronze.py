@@ -7,10 +7,18 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators.ingest import to_raw
-from ledgerloom.sources.readers import read_csv, read_json, read_table
-from ledgerloom.sources.sinks import append
+from ledgerloom.sources.readers import read_csv_by_name, read_json, read_table
+from ledgerloom.sources.sinks import overwrite_partitions
 
-PARTITION = ["_load_date"]
+PARTITION = ["_load"]
+
+
+def _store(spark: SparkSession, rows: DataFrame, target: str) -> int:
+    """Each load (a batch and a source file) is a partition of its own and replaces it: a retry
+    of the same load changes nothing, and a further file of a known batch is a further load."""
+    file = F.substring(F.md5(F.coalesce("_source_file", F.lit(""))), 1, 12)
+    load = F.concat(F.lit("load_"), F.coalesce("_batch_id", F.lit("")), F.lit("_"), file)
+    return overwrite_partitions(spark, rows.withColumn("_load", load), target, PARTITION)
 
 
 def load_dataframe(
@@ -22,18 +30,18 @@ def load_dataframe(
     source_system: str = "dataframe",
     ingested_at: Column | None = None,
 ) -> int:
-    """Append a delivery to the raw table of a source (transactions, customers, accounts,
-    merchants)."""
+    """Add a delivery to the raw table of a source (transactions, customers, accounts,
+    merchants). A delivery of the same batch and source file replaces the one before."""
     rows = to_raw(df, source, source_file, source_system, batch_id, ingested_at)
-    return append(rows, target, partition_by=PARTITION)
+    return _store(df.sparkSession, rows, target)
 
 
 def load_csv(
     spark: SparkSession, path: str, source: str, target: str, batch_id: str,
     source_system: str = "file_ingest", ingested_at: Column | None = None, **options,
 ) -> int:
-    """CSV with header; columns are matched by name and kept as text."""
-    delivery = read_csv(spark, path, infer_schema=False, **options)
+    """CSV with header; columns are matched by name, file by file, and kept as text."""
+    delivery = read_csv_by_name(spark, path, **options)
     return _load_files(delivery, source, target, batch_id, source_system, ingested_at)
 
 
@@ -43,13 +51,13 @@ def load_json(
 ) -> int:
     """JSON with the declared text schema, so the files are read once."""
     delivery = read_json(spark, path, schema=schemas.delivered(source), **options)
-    return _load_files(delivery, source, target, batch_id, source_system, ingested_at)
+    named = delivery.select("*", F.col("_metadata.file_path").alias("_path"))
+    return _load_files(named, source, target, batch_id, source_system, ingested_at)
 
 
-def _load_files(delivery, source, target, batch_id, source_system, ingested_at) -> int:
-    named = delivery.select("*", F.col("_metadata.file_path").alias("_path"))
+def _load_files(named, source, target, batch_id, source_system, ingested_at) -> int:
     rows = to_raw(named, source, F.col("_path"), source_system, batch_id, ingested_at)
-    return append(rows, target, partition_by=PARTITION)
+    return _store(named.sparkSession, rows, target)
 
 
 def record_count(spark: SparkSession, target: str) -> int:

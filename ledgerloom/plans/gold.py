@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ledgerloom.operators import gold, kpis
-from ledgerloom.sources.sinks import append, overwrite
+from ledgerloom.sources.sinks import overwrite, overwrite_partitions
 
 
 def analytics_tables(
@@ -29,10 +30,15 @@ def kpi_tables(fact: DataFrame, dim_date: DataFrame, report_date: Column | None
     }
 
 
-def write_all(tables: dict[str, DataFrame], root: str) -> dict[str, int]:
-    """Overwrite each table below the root, except the executive summary, which grows by a
-    row per run. Counts come from the write itself."""
-    return {
-        name: (append if name == "executive_summary" else overwrite)(table, f"{root}/{name}")
-        for name, table in tables.items()
-    }
+def write_all(tables: dict[str, DataFrame], root: str, at: Column | None = None) -> dict[str, int]:
+    """Overwrite each table below the root, and of the executive summary, which grows by a day, only
+    the report's own day: a rerun replaces its row. Counts come from the write itself. Every table says
+    when it was made."""
+    counts = {}
+    for name, table in tables.items():
+        stamped = table.withColumn("_created_timestamp", at if at is not None else F.current_timestamp())
+        if name == "executive_summary":
+            counts[name] = overwrite_partitions(table.sparkSession, stamped, f"{root}/{name}", ["report_date"])
+        else:
+            counts[name] = overwrite(stamped, f"{root}/{name}")
+    return counts

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import dimensions, facts, quality, quarantine, rules
+from ledgerloom.session import new_location
 from ledgerloom.sources.readers import is_path, read_table
-from ledgerloom.sources.sinks import overwrite, overwrite_partitions, write_table
+from ledgerloom.sources.sinks import drop_partitions, overwrite, overwrite_partitions, write_table
 
 
 def transform(
@@ -19,11 +20,20 @@ def transform(
     return facts.build_fact(valid, created_at=at), quarantine.to_quarantine(rejected, "transactions_raw", at=at)
 
 
-def placed(rows: DataFrame, **extra: Column) -> DataFrame:
-    """Add the partition columns: the batch a row came with, and what the caller names."""
-    batch = "_batch_id" if "_batch_id" in rows.columns else "batch_id"
-    # prefixed, so that a numeric batch id is not read back as a number
-    return rows.withColumns({"load": F.concat(F.lit("batch_"), F.col(batch)), **extra})
+def with_load(raw: DataFrame) -> DataFrame:
+    """Name each row's load: the partition it was loaded into, or else its batch. Never NULL."""
+    if "_load" in raw.columns:
+        name = F.coalesce(F.col("_load"), F.lit("load"))
+    else:
+        # prefixed, so that a numeric batch id is not read back as a number
+        name = F.concat(F.lit("batch"), F.coalesce(F.concat(F.lit("_"), F.col("_batch_id")), F.lit("")))
+    return raw.withColumn("load", name)
+
+
+def load_states(raw: DataFrame) -> DataFrame:
+    """(load, n, latest): a load changes when rows join it or it is loaded again."""
+    latest = F.max("_ingestion_timestamp") if "_ingestion_timestamp" in raw.columns else F.lit(None).cast("timestamp")
+    return raw.groupBy("load").agg(F.count(F.lit(1)).alias("n"), latest.alias("latest"))
 
 
 def month_key() -> Column:
@@ -41,45 +51,52 @@ def transform_transactions(
     gate: str | None = None,
     at: Column | None = None,
 ) -> DataFrame:
-    """Process new batches and return the quality report, one row per check.
-
-    Incremental runs take the batches from `since_batch_id` on, or those not yet logged as
-    processed. Each batch has its own partitions, which are overwritten, and is logged only
-    after both writes: a run that died half-way is simply run again. Full runs overwrite
-    everything. With a `gate` environment the run stops before writing when a threshold is
-    breached and the environment demands it.
+    """Process new or changed loads and return the quality report, one row per check.
+
+    A load is a partition of the raw table, or a batch where the raw table has none; a NULL batch
+    is a load like any other. Incremental runs take the batches from `since_batch_id` on, or the
+    loads whose state (row count, newest row) the log does not hold. Each load has its own partitions,
+    which are replaced, and its state is logged only after both writes: a run that died
+    half-way is simply run again, on whatever day. Full runs overwrite everything. With a `gate`
+    environment the run stops before writing when a threshold is breached and the environment
+    demands it.
     """
-    raw = read_table(spark, raw_table)
-    log = f"{fact_table}_batches"
-    if incremental and since_batch_id is not None:
-        raw = facts.since_batch(raw, since_batch_id)
-    elif incremental and table_exists(spark, log):
-        raw = facts.unprocessed_batches(raw, read_table(spark, log))
-    # one short text per new batch; pins the selection and prunes row groups
-    batches = [row[0] for row in raw.select("_batch_id").distinct().collect()]
-    raw = read_table(spark, raw_table)
+    raw = with_load(read_table(spark, raw_table))
+    log = f"{fact_table}_loads"
+    logged = incremental and table_exists(spark, log)
+    picked = facts.since_batch(raw, since_batch_id) if incremental and since_batch_id is not None else raw
+    states = load_states(raw.join(picked.select("load").distinct(), "load", "left_semi") if picked is not raw else raw)
+    if logged and since_batch_id is None:
+        known = read_table(spark, log).select("load", "n", F.col("latest").alias("at"))
+        same = (states["load"] == known["load"]) & (states["n"] == known["n"]) & states["latest"].eqNullSafe(known["at"])
+        states = states.join(known, same, "left_anti")
+    # pins the selection; the raw files themselves were listed above
+    pending = new_location(spark, "pending_loads")
+    write_table(states.coalesce(1), pending, mode="overwrite")
+    todo = spark.read.schema(states.schema).parquet(pending)
     if incremental:
-        raw = raw.filter(F.col("_batch_id").isin(batches))
+        raw = raw.join(todo.select("load"), "load", "left_semi")
 
-    report = quality.run_checks(raw, quality.transaction_suite())
-    if incremental and not batches:
+    report = quality.run_checks(raw.drop("load"), quality.transaction_suite())
+    if incremental and todo.isEmpty():
         return report
     if gate is not None:
         quality.enforce_gate(quality.threshold_gate(report, gate))
 
     fact, rejected = transform(raw, at=at)
-    fact, rejected = placed(fact, month_key=month_key()), placed(rejected)
-    for rows, table, parts in (
-        (rejected, quarantine_table, ["quarantine_date", "load"]),
-        (fact, fact_table, ["load", "month_key"]),
-    ):
+    fact = fact.withColumn("month_key", month_key())
+    if logged:
+        # a load that is done again may have left months or rejects that it no longer has
+        before = read_table(spark, log).select("load")
+        again = [r.load for r in todo.join(before, "load", "left_semi").select("load").distinct().toLocalIterator()]
+        for table in (quarantine_table, fact_table):
+            drop_partitions(spark, table, "load", again)
+    for rows, table, parts in ((rejected, quarantine_table, ["load"]), (fact, fact_table, ["load", "month_key"])):
         if incremental:
             overwrite_partitions(spark, rows, table, parts)
         else:
             overwrite(rows, table, partition_by=parts)
-    if batches:  # a full run over an empty table has nothing to log
-        done = spark.createDataFrame([(b,) for b in batches], "_batch_id string")
-        write_table(done.coalesce(1), log, mode="append" if incremental else "overwrite")
+    write_table(todo.coalesce(1), log, mode="append" if incremental else "overwrite")
     return report
 
 

@@ -393,7 +393,7 @@ def stream_silver_foreach(spark: SparkSession, d: str) -> DataFrame:
     star.raw_transactions(spark, d).repartition(4).write.parquet(landing)
     raw = bronze_stream.file_stream(spark, landing, schemas.raw("transactions"), maxFilesPerTrigger=2)
     silver_stream.fact_stream(raw, fact, rejects, checkpoint, at=_clock()).awaitTermination()
-    return readers.read_table(spark, fact).drop(*HASHED, "epoch")
+    return readers.read_table(spark, fact).drop(*HASHED, "load", "month_key")
 
 
 @query("late_data", """

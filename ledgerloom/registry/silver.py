@@ -225,10 +225,11 @@ def rule_split_records(spark: SparkSession, d: str) -> DataFrame:
     return rejected.select("transaction_id", "amount", F.size(rules.REASONS).alias("fired"))
 
 
-RULES = (
-    "null_transaction_id null_amount invalid_amount negative_amount invalid_currency "
-    "invalid_status invalid_transaction_type invalid_channel invalid_date"
-).split()
+# fixed values: names of the nine rules
+RULES = [
+    "null_transaction_id", "null_amount", "invalid_amount", "negative_amount", "invalid_currency",
+    "invalid_status", "invalid_transaction_type", "invalid_channel", "invalid_date",
+]
 
 
 @query("rule_counts", sql(
@@ -343,9 +344,14 @@ def date_key(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("sequence_surrogate_keys")
+@query("sequence_surrogate_keys", "SELECT count(*) AS n, count(*) AS n_keys, 0 AS n_null FROM customer")
 def sequence_surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
-    return facts.with_sequence_key(star.customers(spark, d).drop("customer_key"), "customer_key")
+    """The keys differ from run to run; what holds of them is that each row has its own."""
+    keyed = facts.with_sequence_key(star.customers(spark, d).drop("customer_key"), "customer_key")
+    return keyed.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("customer_key").alias("n_keys"),
+        F.count(F.when(F.col("customer_key").isNull(), 1)).cast("int").alias("n_null"),
+    )
 
 
 @query("lookup_surrogate_keys", sql("""

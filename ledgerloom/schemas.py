@@ -16,20 +16,20 @@ INGESTION_COLUMNS = [
 
 # fixed values: business columns of each source, in delivery order
 BUSINESS_COLUMNS = {
-    "transactions": (
-        "transaction_id customer_id account_id merchant_id transaction_date "
-        "transaction_timestamp amount currency transaction_type status channel "
-        "country_code description"
-    ).split(),
-    "customers": (
-        "customer_id first_name last_name email phone date_of_birth country_code "
-        "created_at updated_at"
-    ).split(),
-    "accounts": (
-        "account_id customer_id account_type account_number balance currency status "
-        "opened_date closed_date"
-    ).split(),
-    "merchants": "merchant_id merchant_name category country_code city mcc_code".split(),
+    "transactions": [
+        "transaction_id", "customer_id", "account_id", "merchant_id", "transaction_date",
+        "transaction_timestamp", "amount", "currency", "transaction_type", "status", "channel",
+        "country_code", "description",
+    ],
+    "customers": [
+        "customer_id", "first_name", "last_name", "email", "phone", "date_of_birth",
+        "country_code", "created_at", "updated_at",
+    ],
+    "accounts": [
+        "account_id", "customer_id", "account_type", "account_number", "balance", "currency",
+        "status", "opened_date", "closed_date",
+    ],
+    "merchants": ["merchant_id", "merchant_name", "category", "country_code", "city", "mcc_code"],
 }
 BUSINESS_KEY = {
     "transactions": "transaction_id",

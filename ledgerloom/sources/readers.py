@@ -26,6 +26,27 @@ def read_csv(
     return reader.csv(path, inferSchema=infer_schema)
 
 
+def read_csv_by_name(spark: SparkSession, path: str, **options) -> DataFrame:
+    """CSV files with headers that may differ in order or columns, as text, matched by name.
+
+    One look at the first lines groups the files by header; each group is read by its own
+    header, and a column that a file lacks is NULL. Rows keep `_metadata.file_path` as `_path`.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"), "value")
+    headers = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
+    merged = None
+    for group in groups:
+        files = spark.read.options(**{"header": True, "inferSchema": False} | options).csv(sorted(group.files))
+        named = files.select("*", F.col("_metadata.file_path").alias("_path"))
+        merged = named if merged is None else merged.unionByName(named, allowMissingColumns=True)
+    if merged is None:
+        raise ValueError(f"no CSV file with a header at {path}")
+    return merged
+
+
 def read_json(
     spark: SparkSession,
     path: str,
@@ -43,8 +64,14 @@ def read_parquet(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def read_table(spark: SparkSession, reference: str) -> DataFrame:
-    """A layer table by catalog name or by path."""
-    return spark.read.parquet(reference) if is_path(reference) else spark.table(reference)
+    """A layer table by catalog name or by path.
+
+    Files of a path may differ in columns, because appends may add some: their schemas are
+    merged, and a column with two types that do not fit is an error.
+    """
+    if is_path(reference):
+        return spark.read.option("mergeSchema", True).parquet(reference)
+    return spark.table(reference)
 
 
 def as_of(

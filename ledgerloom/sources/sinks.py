@@ -18,7 +18,6 @@ def write_table(
     target: str,
     mode: str = "append",
     partition_by: list[str] | None = None,
-    merge_schema: bool = True,
     rebalance: bool = True,
     location: str | None = None,
 ) -> None:
@@ -30,7 +29,7 @@ def write_table(
     """
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode).option("mergeSchema", str(merge_schema).lower())
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if is_path(target):
@@ -41,10 +40,17 @@ def write_table(
         (named.option("path", location) if location else named).saveAsTable(target)
 
 
-def write_counted(df: DataFrame, target: str, **options) -> int:
-    """Write and return the number of rows, counted while writing (no second pass)."""
+def write_counted(df: DataFrame, target: str, partition_by: list[str] | None = None, **options) -> int:
+    """Write and return the number of rows, counted in the writing stage itself.
+
+    Counting before the exchange of the rebalance would count again what a lost executor's
+    map tasks repeat.
+    """
     seen = Observation()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), target, **options)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    write_table(counted, target, partition_by=partition_by, rebalance=False, **options)
     return seen.get["rows"]
 
 
@@ -56,14 +62,34 @@ def overwrite(df: DataFrame, target: str, **options) -> int:
     return write_counted(df, target, mode="overwrite", **options)
 
 
+def drop_partitions(spark: SparkSession, target: str, column: str, values: list[str]) -> None:
+    """Remove whole partitions by the values of the first partition column."""
+    if is_path(target):
+        jvm = spark._jvm
+        for value in values:
+            path = jvm.org.apache.hadoop.fs.Path(target, f"{column}={_escaped(spark, value)}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    elif spark.catalog.tableExists(target):
+        for value in values:
+            quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({column} = '{quoted}')")
+
+
+def _escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it into a directory name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
 def overwrite_partitions(
     spark: SparkSession, df: DataFrame, target: str, partition_by: list[str]
-) -> None:
-    """Replace only the partitions present in df; a rerun of the same batch changes nothing.
+) -> int:
+    """Replace only the partitions present in df and return its row count; a rerun of the
+    same batch changes nothing.
 
     Partitions that df does not mention are kept, so this is not a delete.
     """
-    df = df.hint("rebalance", *partition_by)
+    seen = Observation()
+    df = df.hint("rebalance", *partition_by).observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = df.write.mode("overwrite").partitionBy(*partition_by)
     if is_path(target):
         writer.option("partitionOverwriteMode", "dynamic").parquet(target)
@@ -77,6 +103,7 @@ def overwrite_partitions(
             spark.conf.set(setting, before)
     else:
         writer.format("parquet").saveAsTable(target)
+    return seen.get["rows"]
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -99,6 +126,12 @@ def same_key(left: str, right: str, keys: list[str], null_safe: bool = False) ->
     return condition
 
 
+def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys without NULL that occur more than once, with their row count `n`."""
+    whole = source.dropna(subset=keys)
+    return whole.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
 def merge_upsert(
     target: DataFrame,
     source: DataFrame,
@@ -109,7 +142,8 @@ def merge_upsert(
     """Contents of the target after an upsert: matched rows take the update columns
     (default all non-key), unmatched source rows are inserted (columns left out are NULL).
 
-    The source must have one row per key. NULL keys never match. The update is a left
+    The source must have one row per key: a repeated one is an error, found by a look at the
+    keys before the join is built. NULL keys never match and may repeat. The update is a left
     join and the insert a semi and an anti join: with a small source all of them broadcast
     it and the target is not shuffled, with a large one adaptive execution can split a hot
     key. A full outer join could do neither.
@@ -118,6 +152,9 @@ def merge_upsert(
     updates = [c for c in (update_columns or source.columns) if c not in keys]
     inserts = insert_columns or source.columns
     columns = target.columns + [c for c in source.columns if c not in target.columns]
+    repeated = duplicate_keys(source, keys).limit(5).collect()
+    if repeated:
+        raise ValueError(f"upsert source repeats keys, for example {[tuple(r)[:-1] for r in repeated]}")
 
     incoming = source.withColumn("_matched", F.lit(True)).alias("s")
     joined = target.alias("t").join(incoming, same_key("t", "s", keys), "left")
