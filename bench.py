@@ -37,7 +37,9 @@ HEADLINE = [
     "dim_account",
     "scd2_history",
     "sink_merge_upsert",
-    "gen_transactions",
+    "transform_transactions",
+    "run_all_layers",
+    "late_data",
 ]
 
 

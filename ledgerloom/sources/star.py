@@ -122,8 +122,8 @@ def _layer(spark: SparkSession, sf_dir: str, name: str, build, order: str) -> Da
     """A layer table, as a lakehouse has it: derived once per application, stored in the
     shared folder, and then scanned like any table.
 
-    Rows are spread by id, so no file grows with a hot batch or day, and sorted by the
-    column they are filtered on, so row-group statistics skip.
+    Rows are spread evenly without a key, so no file grows with a hot id, batch or day, and
+    sorted by the column they are filtered on, so row-group statistics skip.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key in _stored:
@@ -132,7 +132,7 @@ def _layer(spark: SparkSession, sf_dir: str, name: str, build, order: str) -> Da
         except AnalysisException:  # somebody cleaned the folder: derive it again
             del _stored[key]
     path = new_location(spark, name)
-    rows = build(spark, sf_dir).repartition("transaction_id").sortWithinPartitions(order)
+    rows = build(spark, sf_dir).hint("rebalance").sortWithinPartitions(order)
     write_table(rows, path, mode="overwrite")
     _stored[key] = path
     return spark.read.parquet(path)
