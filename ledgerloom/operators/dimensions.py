@@ -88,6 +88,29 @@ def dim_account(raw: DataFrame, effective_from: Column | None = None) -> DataFra
     ), effective_from)
 
 
+def dim_account_history(
+    raw: DataFrame,
+    tracked: tuple[str, ...] = ("account_type", "currency", "status"),
+    bucket: str = "month",
+) -> DataFrame:
+    """All versions of each account: one opens whenever a tracked attribute changes between
+    deliveries, in order of the opening day."""
+    columns = [c for c in raw.columns if c in ("account_number", "customer_id", *tracked)]
+    opened = day(F.col("opened_date")).cast("timestamp")
+    deliveries = raw.select("account_id", *columns, opened.alias("changed_at"))
+    order = ["changed_at", *sorted(columns)]
+    tracked = tuple(c for c in tracked if c in columns)
+    versions = scd2_history(deliveries, ["account_id"], order, list(tracked), bucket)
+    return versions.select(
+        key_of(F.col("account_id")).alias("account_key"),
+        "account_id",
+        *tracked,
+        F.col("valid_from").alias("_effective_from"),
+        F.col("valid_to").alias("_effective_to"),
+        F.col("is_current").alias("_is_current"),
+    )
+
+
 def dim_merchant(raw: DataFrame) -> DataFrame:
     """Newest delivery per merchant (no history)."""
     latest = latest_per_key(

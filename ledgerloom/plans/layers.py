@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from ledgerloom.operators import reports, validation
 from ledgerloom.plans import bronze, gold, silver
 from ledgerloom.sources.readers import read_table
+from ledgerloom.sources.sinks import overwrite
 
 SOURCES = ["transactions", "customers", "accounts", "merchants"]
 DIMENSIONS = ["dim_customer", "dim_account", "dim_merchant", "dim_date"]
@@ -30,6 +31,10 @@ class Layout:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def validation(self) -> str:
+        return f"{self.gold}/validation_report"
+
 
 def ingest(deliveries: dict[str, DataFrame], layout: Layout, batch_id: str, at: Column | None = None) -> dict[str, int]:
     return {
@@ -38,10 +43,13 @@ def ingest(deliveries: dict[str, DataFrame], layout: Layout, batch_id: str, at:
     }
 
 
-def build_silver(spark: SparkSession, layout: Layout, incremental: bool, years: tuple[int, int], at: Column | None = None) -> None:
+def build_silver(
+    spark: SparkSession, layout: Layout, incremental: bool, years: tuple[int, int], at: Column | None = None,
+    gate: str | None = None,
+) -> None:
     silver.transform_transactions(
         spark, layout.raw("transactions"), layout.silver("fact_transactions"), layout.silver("quarantine"),
-        incremental=incremental, at=at,
+        incremental=incremental, at=at, gate=gate,
     )
     silver.build_all_dimensions(
         spark, {s: layout.raw(s) for s in SOURCES[1:]}, {d: layout.silver(d) for d in DIMENSIONS}, *years
@@ -90,14 +98,30 @@ def layer_counts(spark: SparkSession, layout: Layout) -> DataFrame:
     return reports.layer_record_counts(tables)
 
 
+class ValidationError(RuntimeError):
+    """A finished run broke a validation that its caller demands."""
+
+
 def run(
     spark: SparkSession, deliveries: dict[str, DataFrame], layout: Layout, batch_id: str,
     years: tuple[int, int] = (2020, 2030), at: Column | None = None, as_of: Column | None = None,
+    gate: str | None = None, strict: bool = False,
 ) -> DataFrame:
-    """Ingest a batch, bring silver and gold up to date, and return the rows per table."""
+    """Ingest a batch, bring silver, its histories and gold up to date, validate, and return the
+    rows per table.
+
+    `gate` stops the silver step as in `transform_transactions`. The validation report is
+    written to the gold layer; with `strict` a failed check is an error.
+    """
     ingest(deliveries, layout, batch_id, at)
-    build_silver(spark, layout, incremental=True, years=years, at=at)
+    build_silver(spark, layout, incremental=True, years=years, at=at, gate=gate)
+    silver.build_dim_customer(spark, layout.raw("customers"), layout.silver("dim_customer_history"))
+    silver.build_dim_account(spark, layout.raw("accounts"), layout.silver("dim_account_history"))
     build_gold(spark, layout, as_of)
+    overwrite(validate(spark, layout), layout.validation)
+    failed = read_table(spark, layout.validation).filter("NOT coalesce(passed, false)")
+    if strict and not failed.isEmpty():
+        raise ValidationError(", ".join(r.check_name for r in failed.select("check_name").collect()))
     return layer_counts(spark, layout)
 
 

@@ -123,6 +123,14 @@ def build_all_dimensions(
     return {name: overwrite(table, targets[name]) for name, table in built.items()}
 
 
+def build_dim_account(spark: SparkSession, raw_table: str, target: str, scd_type: int = 2) -> int:
+    """Write the account dimension and return its row count; types as for customers."""
+    raw = read_table(spark, raw_table)
+    if scd_type == 1:
+        return overwrite(dimensions.dim_account(raw), target)
+    return overwrite(dimensions.dim_account_history(raw).sortWithinPartitions("_is_current"), target)
+
+
 def build_dim_customer(spark: SparkSession, raw_table: str, target: str, scd_type: int = 2) -> int:
     """Write the customer dimension and return its row count: the latest record per customer
     (type 1), or all versions (type 2), sorted by currentness so that lookups of current rows

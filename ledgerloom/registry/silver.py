@@ -443,6 +443,23 @@ def dim_customer_history(spark: SparkSession, d: str) -> DataFrame:
     return dimensions.dim_customer_history(star.customer_deliveries(spark, d)).drop("customer_key")
 
 
+@query("dim_account_history", """
+WITH delivered AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS account_id, CAST(o_custkey AS VARCHAR) AS customer_id, lpad(CAST(l_partkey AS VARCHAR), 16, '0') AS account_number,
+         CASE l_returnflag WHEN 'A' THEN 'USD' WHEN 'N' THEN 'EUR' WHEN 'R' THEN 'GBP' END AS currency,
+         CASE WHEN l_linestatus = 'O' THEN 'ACTIVE' ELSE 'CLOSED' END AS status, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS opened
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey),
+marked AS (
+  SELECT *, lag(currency || '|' || status) OVER w AS before FROM delivered
+  WINDOW w AS (PARTITION BY account_id ORDER BY opened, account_number, currency, customer_id, status)),
+opened AS (SELECT * FROM marked WHERE before IS NULL OR before <> currency || '|' || status)
+SELECT account_id, currency, status, strftime(opened, '%Y-%m-%d %H:%M:%S') AS _effective_from,
+       strftime(lead(opened) OVER w, '%Y-%m-%d %H:%M:%S') AS _effective_to, lead(opened) OVER w IS NULL AS _is_current
+FROM opened WINDOW w AS (PARTITION BY account_id ORDER BY opened, account_number, currency, customer_id, status)""")
+def dim_account_history(spark: SparkSession, d: str) -> DataFrame:
+    return dimensions.dim_account_history(star.account_deliveries(spark, d), ("currency", "status")).drop("account_key")
+
+
 @query("win_dedup_latest", sql("""
 SELECT customer_id, created_at FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY created_at DESC, phone DESC) AS rn
