@@ -57,5 +57,14 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: rows of a few numbers that may be broadcast, about 30 MB in a task
+HELD = 1_000_000
+
+
+def held(df: DataFrame, most: int = HELD) -> DataFrame:
+    """A stored frame of a few numbers a row, to be broadcast if its count allows, else joined by shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

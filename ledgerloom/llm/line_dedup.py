@@ -8,7 +8,7 @@ Variants are made in two steps, so that long lines do not emit one variant per w
 
 1. Block variants. With blocks of s words (a power of two, a half to a quarter of the line) every pair within one edit
    agrees in a prefix of a*s and a suffix of b*s words for some a, b whose deleted middle has fewer than 2s words.
-   Each line emits the hash of every such prefix and suffix, at most eight. Keys of one line only are dropped.
+   Each line emits the hash of every such prefix and suffix, five or seven. Keys of one line only are dropped.
 2. Word variants. Two lines that share a block key are compared directly. A larger group emits, for each
    word of the middle, the line without that word. In a group of equal variants with equal place all lines are
    one replacement apart, and a whole line is one deletion from every line that lost a word: so
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import computed, once, row_key, stored, text_of, words_of
+from ledgerloom.llm.common import SPACES, computed, held, once, row_key, stored, text_of, words_of
 
 MIN_WORDS = 8
 
@@ -30,36 +30,43 @@ MIN_WORDS = 8
 def _lines(slim: DataFrame) -> DataFrame:
     """(id, row, line, h, g, text) of every line with a word; h and g are two hashes of its words."""
     cut = slim.select("id", "row", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
-    # equal words give equal text once white space is trimmed and squeezed; most lines have none to squeeze
-    squeezed = F.trim(F.regexp_replace("text", "[\\x20\\x09-\\x0D]+", " "))
+    # equal words give equal text once white space is trimmed and squeezed; most lines need neither
+    text = F.col("text")
+    odd = text.startswith(" ") | text.endswith(" ")
+    for c in ("  ", "\t", "\r", "\v", "\f"):
+        odd = odd | text.contains(c)
+    squeezed = F.when(~odd, text).otherwise(F.trim(F.regexp_replace("text", SPACES, " ")))
     told = computed(cut.select("id", "row", "line", squeezed.alias("text")).filter("text != ''"), {
         "h": F.xxhash64("text"), "g": F.xxhash64(F.lit(1), F.col("text"))})
     return told.select("id", "row", "line", "h", "g", "text")
 
 
-def _block_keys(words: Column) -> Column:
-    """Array of (key, head, tail): hashes of a prefix of `head` and a suffix of `tail` words, and their lengths."""
-    n = F.size(words)
-    # of the binary numeral, because a rounded logarithm may fall below a power of two
-    exponent = F.length(F.bin(n)) - 1
+def _block_keys(lines: DataFrame) -> DataFrame:
+    """(h, key, head, tail) for lines of (h, text) with MIN_WORDS or more.
 
-    def keys(block: Column) -> Column:
-        def at(i: Column) -> Column:
-            head = i * block
-            tails = F.array(*[F.floor((n - head) / block).cast("int") * block - (block if late else F.lit(0)) for late in (False, True)])
-            return F.transform(
-                F.filter(tails, lambda t: (t >= 0) & (head + t >= block) & (n - head - t < 2 * block)),
-                lambda t: F.struct(
-                    F.xxhash64(block, head, t, F.array_join(F.slice(words, 1, head), " "), F.array_join(F.slice(words, n - t + 1, t), " ")).alias("key"),
-                    head.alias("head"), t.alias("tail")))
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.floor(n / block).cast("int")), at))
-
-    power = lambda e: F.pow(F.lit(2), e).cast("int")
-    own = keys(power(exponent - 1))
+    A key is the hash of a prefix of `head` and a suffix of `tail` words. Prefixes and suffixes are
+    hashed once each and then paired; all of it is generated code over the text itself.
+    """
+    counted = computed(lines, {"n": F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" "), F.lit(""))) + 1})
+    # the length of the binary numeral, because a rounded logarithm may fall below a power of two
+    half = F.pow(F.lit(2), F.length(F.bin("n")) - 2).cast("int")
     # the shorter of two neighbours in length may belong to the class below
-    edge = (power(exponent) == n) & (n > MIN_WORDS)
-    return F.when(edge, F.concat(own, keys(power(exponent - 2)))).otherwise(own)
+    edge = (2 * F.col("half") == F.col("n")) & (F.col("n") > MIN_WORDS)
+    sized = computed(counted.filter(F.col("n") >= MIN_WORDS), {"half": half})
+    sizes = F.when(edge, F.array("half", (F.col("half") / 2).cast("int"))).otherwise(F.array("half"))
+    blocks = sized.select("h", "text", "n", F.explode(sizes).alias("s"))
+    most = 4
+    hashes = {f"{side}{i}": F.xxhash64(F.expr(f"substring_index(text, ' ', s * {sign * i})"))
+              for side, sign in (("p", 1), ("q", -1)) for i in range(1, most + 1)}
+    hashed = computed(blocks, {"whole": F.floor(F.col("n") / F.col("s")).cast("int")} | hashes | {"p0": F.lit(0), "q0": F.lit(0)})
+    keys = []
+    for i in range(most + 1):
+        for j in range(max(0, 1 - i), most + 1 - i):
+            fits = F.col("whole").isin(i + j, i + j + 1)
+            keys.append(F.when(fits, F.struct(
+                F.xxhash64("s", F.lit(i), F.lit(j), f"p{i}", f"q{j}").alias("key"),
+                (F.col("s") * i).alias("head"), (F.col("s") * j).alias("tail"))))
+    return hashed.select("h", F.explode(F.array(*keys)).alias("k")).filter("k IS NOT NULL").select("h", "k.*")
 
 
 def _within_one(a: str, b: str) -> Column:
@@ -94,13 +101,12 @@ def beaten_lines(lines: DataFrame, first: DataFrame, again: DataFrame) -> DataFr
     `lines` are all lines, `first` (h, g, first) the earliest place of each distinct one; `again` are all
     lines once more, for the second look at the few that have a partner.
     """
-    split = computed(lines.select("h", "text"), {"words": words_of("text")}).filter(F.size("words") >= MIN_WORDS)
-    keyed = split.select("h", F.inline(_block_keys(F.col("words"))))
+    keyed = stored(_block_keys(lines.select("h", "text")), "block_keys")
     shared = keyed.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo != hi").select("key")
-    members = stored(keyed.join(shared, "key", "left_semi").distinct(), "line_groups")
+    members = stored(keyed.join(held(stored(shared, "shared_keys")), "key", "left_semi").distinct(), "line_groups")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("a"), F.max("h").alias("b"))
 
-    wanted = members.select("h").distinct()
+    wanted = held(stored(members.select("h").distinct(), "partner_hashes"))
     known = again.join(wanted, "h", "left_semi").groupBy("h", "g").agg(F.min("text").alias("text"))
     known = stored(known.join(first, ["h", "g"]).select("h", "g", "first", words_of("text").alias("words")), "partner_lines")
 
@@ -126,10 +132,11 @@ def beaten_lines(lines: DataFrame, first: DataFrame, again: DataFrame) -> DataFr
 def _removed(slim: DataFrame) -> DataFrame:
     """(id, row, gone): the places of the lines to remove, by document."""
     lines = _lines(slim)
-    first = stored(lines.groupBy("h", "g").agg(F.min(F.struct("id", "line")).alias("first")), "first_lines")
+    places = stored(lines.drop("text"), "line_places")
+    first = stored(places.groupBy("h", "g").agg(F.min(F.struct("id", "line")).alias("first")), "first_lines")
     beaten = beaten_lines(lines, first, lines).withColumn("beaten", F.lit(True))
     verdict = first.join(beaten, ["h", "g"], "left")
-    gone = lines.select("h", "g", "id", "row", "line").join(verdict, ["h", "g"]).filter(
+    gone = places.join(verdict, ["h", "g"]).filter(
         F.coalesce("beaten", F.lit(False)) | ~F.struct("id", "line").eqNullSafe(F.col("first")))
     return gone.groupBy("id", "row").agg(F.collect_set("line").alias("gone"))
 
