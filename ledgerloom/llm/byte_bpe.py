@@ -3,15 +3,17 @@
 1. Texts are cut by the pattern and counted; equal pre-tokens meet in one shuffle after a count per task.
 2. Each distinct pre-token is merged once, by rank.
 3. The ids go back to their places. The most frequent pre-tokens, up to a fixed number, go to every task
-   as a table of bounded size. Occurrences of the others are exploded with their place, joined by
-   the pre-token, and put in at their places: hot keys never enter that shuffle.
+   as a table of bounded size, about 30 bytes each. Occurrences of the others are exploded with their
+   place, joined by the pre-token, and put in at their places: hot keys never enter that shuffle.
 4. Decoding looks each id up in the table of token bytes, whose size is the vocabulary's.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,15 +21,18 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import row_key, stored
 
-#: pre-tokens in the table that every task holds
-FREQUENT = 500_000
+#: pre-tokens in the table that every task holds, at most 130 MB
+FREQUENT = 4_000_000
+#: of those, pre-tokens that a task keeps at hand
+AT_HAND = 300_000
 #: distinct pre-tokens that a counting task holds before it hands them on
-COUNTED = 200_000
+COUNTED = 100_000
 
 
 @lru_cache(maxsize=4)
@@ -117,6 +122,45 @@ def _frequent(pieces: DataFrame, most: int) -> int:
     return least
 
 
+class _Held(dict):
+    """Ids of frequent pre-tokens by 128-bit hash, in sorted arrays; the dict keeps those seen first, mostly the commonest, at hand."""
+
+    def __init__(self, high: np.ndarray, low: np.ndarray, first: np.ndarray, ids: bytes):
+        super().__init__()
+        # views, because they give plain numbers
+        self.arrays = memoryview(high), memoryview(low), memoryview(first), ids
+
+    def __missing__(self, piece: str) -> bytes | None:
+        high, low, first, ids = self.arrays
+        digest = xxhash.xxh3_128_intdigest(piece)
+        upper, found = digest >> 64, None
+        i = bisect_left(high, upper)
+        while found is None and i < len(high) and high[i] == upper:
+            if low[i] == digest & 0xFFFFFFFFFFFFFFFF:
+                found = ids[first[i] : first[i + 1]]
+            i += 1
+        if len(self) < AT_HAND:
+            self[piece] = found
+        return found
+
+
+def _table(pieces: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """The arrays of `_Held` for pre-tokens of bounded number; only hashes and ids reach the driver."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = [xxhash.xxh3_128_intdigest(p.as_py()) for p in batch.column(0)]
+            halves = np.array([(d >> 64, d & 0xFFFFFFFFFFFFFFFF) for d in digests], dtype=np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1]), batch.column(1)], ["high", "low", "ids"])
+
+    got = pieces.select("piece", "ids").mapInArrow(of, "high bigint, low bigint, ids binary").toArrow()
+    high, low = (got.column(c).to_numpy().view(np.uint64) for c in ("high", "low"))
+    order = np.argsort(high, kind="stable")
+    ids = got.column("ids").take(pa.array(order)).to_pylist()
+    first = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]).astype(np.int64)
+    return high[order], low[order], first, b"".join(ids)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """(id, ids) for every row: the token ids of the whole text, as little-endian numbers in one binary.
 
@@ -128,18 +172,17 @@ def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: s
     pieces = stored(encoded_pieces(slim.select("text"), path, pattern), "pieces")
     step = F.floor(F.log2("uses") * 4)
     least = _frequent(pieces, frequent)
-    held = pieces.filter(step >= least).select("piece", "ids").toArrow()
-    known = docs.sparkSession.sparkContext.broadcast(dict(zip(held.column(0).to_pylist(), held.column(1).to_pylist())))
+    known = docs.sparkSession.sparkContext.broadcast(_table(pieces.filter(step >= least)))
     rare = pieces.filter(step < least).select("piece", "ids")
     kind = slim.schema["id"].dataType.simpleString()
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, table = regex.compile(pattern), known.value
+        cut, table = regex.compile(pattern), _Held(*known.value)
         for batch in batches:
             row, place, piece = [], [], []
             for i, t in enumerate(batch.column(2)):
                 for j, p in enumerate(cut.findall(t.as_py() or "")):
-                    if p not in table:
+                    if table[p] is None:
                         row.append(i)
                         place.append(j)
                         piece.append(p)
@@ -149,11 +192,11 @@ def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: s
                 ["id", "row", "place", "piece"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, table = regex.compile(pattern), known.value
+        cut, table = regex.compile(pattern), _Held(*known.value)
         for batch in batches:
             ids = []
             for t, late in zip(batch.column(1), batch.column(2)):
-                parts = list(map(table.get, cut.findall(t.as_py() or "")))
+                parts = list(map(table.__getitem__, cut.findall(t.as_py() or "")))
                 for x in late.as_py() or ():
                     parts[x["place"]] = x["ids"]
                 ids.append(b"".join(parts))
@@ -174,36 +217,50 @@ def ids_of(packed: bytes | None, size: int) -> np.ndarray:
     return np.frombuffer(packed or b"", _packed(size))
 
 
+def _decoder(path: str):
+    """(size of the vocabulary, function from packed ids to (ids, bytes))."""
+    table = ranks(path)
+    size = max(table.values()) + 1
+    tokens = [b""] * size
+    for token, rank in table.items():
+        tokens[rank] = token
+
+    def of(packed: bytes | None) -> tuple[list[int], bytes]:
+        ids = ids_of(packed, size).tolist()
+        return ids, b"".join([tokens[i] for i in ids])
+
+    return size, of
+
+
 def decode(encoded: DataFrame, path: str, id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(id, ids, bytes): the bytes that the ids of every row stand for. NULL ids are none; an unknown id is an error."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ranks(path)
-        size = max(table.values()) + 1
-        tokens = [b""] * size
-        for token, rank in table.items():
-            tokens[rank] = token
+        _, decoded = _decoder(path)
         for batch in batches:
-            found = [b"".join([tokens[i] for i in ids_of(x.as_py(), size).tolist()]) for x in batch.column(1)]
+            found = [decoded(x.as_py())[1] for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [id, ids, "bytes"])
 
     kind = encoded.schema[id].dataType.simpleString()
     return encoded.select(id, ids).mapInArrow(of, f"`{id}` {kind}, `{ids}` binary, bytes binary")
 
 
-def digests(decoded: DataFrame, path: str, id: str = "doc_id") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of what `decode` returns."""
+def digests(encoded: DataFrame, path: str, id: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of what `encode` returns, decoded row by row: no text leaves its task."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = max(ranks(path).values()) + 1
+        size, decoded = _decoder(path)
         names = [str(i) for i in range(size)]
         for batch in batches:
-            found = [ids_of(x.as_py(), size).tolist() for x in batch.column(1)]
+            n, told, back = [], [], []
+            for x in batch.column(1):
+                numbers, raw = decoded(x.as_py())
+                n.append(len(numbers))
+                told.append(hashlib.sha256(" ".join([names[i] for i in numbers]).encode()).hexdigest())
+                back.append(hashlib.sha256(raw).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(len, found), pa.int64()),
-                 pa.array([" ".join([names[i] for i in x]) for x in found], pa.string()), batch.column(2)],
-                [id, "n_tokens", "told", "bytes"])
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(told, pa.string()), pa.array(back, pa.string())],
+                [id, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    kind = decoded.schema[id].dataType.simpleString()
-    told = decoded.mapInArrow(of, f"`{id}` {kind}, n_tokens bigint, told string, bytes binary")
-    return told.select(id, "n_tokens", F.sha2("told", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+    kind = encoded.schema[id].dataType.simpleString()
+    return encoded.select(id, ids).mapInArrow(of, f"`{id}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

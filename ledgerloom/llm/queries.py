@@ -59,7 +59,7 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.decode(ids, ranks), ranks)
+    return byte_bpe.digests(ids, ranks)
 
 
 @query
