@@ -73,7 +73,8 @@ def lexicon(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     known = labels.filter(F.col(toxic).isNotNull() & F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(toxic).cast("int").alias("toxic"))
     picked = known.orderBy(F.xxhash64("id"), "toxic").limit(labelled)
     texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    rows = picked.join(texts, "id").select("toxic", F.explode(terms_of("text")).alias("term"))
+    # at most `labelled` rows of two numbers
+    rows = texts.join(F.broadcast(picked), "id").select("toxic", F.explode(terms_of("text")).alias("term"))
     sizes = dict(picked.groupBy("toxic").count().collect())
     yes, no = F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)
     lift = (F.col("yes") / max(1, sizes.get(1, 0))) / ((F.col("no") + 1) / max(1, sizes.get(0, 0)))
@@ -90,8 +91,8 @@ def measured(docs: DataFrame, words: list[str], id: str = "doc_id", text: str =
         "n_symbols": F.regexp_count("text", F.lit("[#*$%&|<>]")),
         "n_symbol_runs": F.regexp_count("text", F.lit("[#*$%&|<>]{3}")),
         "n_shouts": F.regexp_count("text", F.lit("!!")),
-        "n_capitals": F.regexp_count("text", F.lit("\\p{Lu}")),
-        "n_letters": F.regexp_count("text", F.lit("\\p{L}")),
+        "n_capitals": F.length(F.regexp_replace("text", "\\P{Lu}+", "")),
+        "n_letters": F.length(F.regexp_replace("text", "\\P{L}+", "")),
         "n_stutters": F.regexp_count("text", F.lit(r"(?<!\S)(\S+)\s+(?=\1(?!\S))")),
         "n_lines": F.size("lines"),
         "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
