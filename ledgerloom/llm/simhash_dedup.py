@@ -189,13 +189,13 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     )
 
 
-def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The rows of `docs` that lead their near-duplicate component, all columns kept.
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", near=near_duplicates, **settings) -> DataFrame:
+    """The rows of `docs` that lead their near-duplicate component, all columns kept. `near` gives the components.
 
     Of several rows with the leading id the one with the least text stays (a NULL text counts as
     least), and of equal ones any. Rows without an id cannot be told apart by it and all stay.
     """
-    found = near_duplicates(docs, id, text, **settings)
+    found = near(docs, id, text, **settings)
     lead = found.filter(F.col(id) == F.col("component_id")).select(F.col(id).alias("lead")).distinct()
     rank = unused(docs, "rank")
     best = Window.partitionBy(id).orderBy(F.col(text).asc_nulls_first())
