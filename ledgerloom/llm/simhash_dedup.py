@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored, unused
+from ledgerloom.llm.common import row_key, stored, unused
 from ledgerloom.llm.components import roots
 
 SEED = 42
@@ -190,14 +190,17 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", near=near_duplicates, **settings) -> DataFrame:
-    """The rows of `docs` that lead their near-duplicate component, all columns kept. `near` gives the components.
+    """One row of `docs` for each near-duplicate component, all columns kept. `near` gives the components.
 
-    Of several rows with the leading id the one with the least text stays (a NULL text counts as
-    least), and of equal ones any. Rows without an id cannot be told apart by it and all stay.
+    It is the row of the least id, rows without an id coming last, and of several such rows the one whose hash of id and text
+    is least. Of rows that agree in id and text any stays.
     """
-    found = near(docs, id, text, **settings)
-    lead = found.filter(F.col(id) == F.col("component_id")).select(F.col(id).alias("lead")).distinct()
-    rank = unused(docs, "rank")
-    best = Window.partitionBy(id).orderBy(F.col(text).asc_nulls_first())
-    picked = docs.join(lead, docs[id] == lead["lead"], "left_semi").withColumn(rank, F.row_number().over(best))
-    return picked.filter(F.col(rank) == 1).drop(rank).unionByName(docs.filter(F.col(id).isNull()))
+    # a row is told by its content, because an id may stand on several texts or on none
+    own = F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), row_key(id, text).alias("row"))
+    found = near(docs.select(own.alias("own"), F.col(text).alias("text")), "own", "text", **settings)
+    lead = found.filter(F.col("own") == F.col("component_id")).select("own.id", "own.row").distinct()
+    key, rank = unused(docs, "row_key"), unused(docs, "rank")
+    keyed = docs.withColumn(key, row_key(id, text))
+    picked = keyed.join(lead, (keyed[key] == lead["row"]) & keyed[id].eqNullSafe(lead["id"]), "left_semi")
+    one = Window.partitionBy(key, id).orderBy(key)
+    return picked.withColumn(rank, F.row_number().over(one)).filter(F.col(rank) == 1).drop(key, rank)

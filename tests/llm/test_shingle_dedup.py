@@ -5,7 +5,7 @@ import random
 import corpus_pipeline
 import pytest
 
-from ledgerloom.llm import shingle_dedup
+from ledgerloom.llm import shingle_dedup, simhash_dedup
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 NEAR = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
@@ -72,3 +72,16 @@ def test_stage_takes_copies_between_08_and_095_and_leaves_others(spark):
     want = sorted({c for _, c in expected(rows)})
     assert len(want) == 45
     assert sorted(r.doc_id for r in NEAR(spark, df, "").collect()) == want
+
+
+def test_one_row_of_each_component_whatever_the_ids(spark):
+    rng = random.Random(10)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4)]
+    # one id on two texts, the lesser of them also under a lesser id; copies without an id, alone and beside an id
+    rows = [(5, min(texts[:2])), (5, max(texts[:2])), (4, min(texts[:2])), (None, texts[2]), (None, texts[2]), (None, texts[3]), (9, texts[3])]
+    df = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA)
+    want = {(5, max(texts[:2])), (4, min(texts[:2])), (None, texts[2]), (9, texts[3])}
+    for near in (shingle_dedup.near_duplicates, simhash_dedup.near_duplicates):
+        kept = simhash_dedup.one_of_each(df, near=near)
+        got = [(r.doc_id, r.text) for r in kept.collect()]
+        assert len(got) == 4 and set(got) == want and kept.columns == df.columns
