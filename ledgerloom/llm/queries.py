@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import byte_bpe, chat_format, decontamination, line_dedup, quality_cascade, quality_model
+from ledgerloom.llm import byte_bpe, chat_format, decontamination, embedding_whitening, line_dedup, quality_cascade, quality_model
 from ledgerloom.llm import simhash_dedup, substring_dedup, url_filter, warc_revisits
 from ledgerloom.llm.common import table
 
@@ -213,3 +213,9 @@ SELECT 'v' || page_id AS record_id, url_key, 'r' || base_id AS base_id, verdict,
   CASE WHEN verdict = 'resolved' THEN 'age=7;content-length=' || length(html) || ';content-type=text/html;etag=W/' || own_tag || ';server=edge' END AS headers,
   CASE WHEN verdict = 'resolved' THEN sha256(html) END AS payload_sha256
 FROM judged"""
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
