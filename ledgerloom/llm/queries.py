@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import byte_bpe, chat_format, decontamination, embedding_whitening, line_dedup, quality_cascade, quality_model
-from ledgerloom.llm import simhash_dedup, substring_dedup, url_filter, warc_revisits
+from ledgerloom.llm import byte_bpe, chat_format, decontamination, embedding_whitening, fill_in_middle
+from ledgerloom.llm import language_id, line_dedup, quality_cascade, quality_model, simhash_dedup, substring_dedup, url_filter, warc_revisits
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,37 @@ FROM judged"""
 def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
     return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    output = fill_in_middle.digested(fill_in_middle.transform(table(spark, sf_dir, "documents")), "output_sha256")
+    found = fill_in_middle.digested(fill_in_middle.restored(output), "restored_sha256")
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+ORACLES["op12_fill_in_middle"] = """
+WITH told AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS c2,
+    ('0x' || substr(h, 17, 8))::BIGINT % 100 AS h3, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS h4
+  FROM told),
+formed AS (
+  SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+         WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+cut AS (
+  SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut"""
+
+
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
