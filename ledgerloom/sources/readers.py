@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerloom.sources import versions
+
 
 def is_path(reference: str) -> bool:
     return "/" in reference
@@ -66,12 +68,14 @@ def read_parquet(spark: SparkSession, path: str, **options) -> DataFrame:
 def read_table(spark: SparkSession, reference: str) -> DataFrame:
     """A layer table by catalog name or by path.
 
-    Files of a path may differ in columns, because appends may add some: their schemas are
+    A path that holds commits, or links to a table of such a store, is read as its newest version. Files of any other path may differ in columns, because appends may add some: their schemas are
     merged, and a column with two types that do not fit is an error.
     """
-    if is_path(reference):
-        return spark.read.option("mergeSchema", True).parquet(reference)
-    return spark.table(reference)
+    if not is_path(reference):
+        return spark.table(reference)
+    if (found := versions.resolve(spark, reference)) is not None:
+        return versions.read(spark, versions.version(spark, found[0]), found[1])
+    return spark.read.option("mergeSchema", True).parquet(reference)
 
 
 def as_of(

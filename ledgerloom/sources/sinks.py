@@ -1,7 +1,7 @@
 """Writers, and the row-level changes (upsert, delete, archive, retention, layout).
 
-Parquet has no row-level updates, so a change is a DataFrame of the new contents that
-is written to a new location; a path is never overwritten while it is being read.
+Parquet has no row-level updates. Changes of rows go to tables with commits (`versions`): files that hold
+a changed row are written anew beside the old ones, and a commit names the new set.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.readers import is_path, read_table
+from ledgerloom.sources import versions
+from ledgerloom.sources.readers import is_path
 
 
 def write_table(
@@ -178,10 +179,14 @@ def merge_upsert(
 
 
 def upsert_to(
-    spark: SparkSession, target: str, source: DataFrame, keys: str | list[str], new_target: str, **columns
-) -> int:
-    """Write the upserted contents of a table to a new location and return its row count."""
-    return overwrite(merge_upsert(read_table(spark, target), source, keys, **columns), new_target)
+    spark: SparkSession, target: str, source: DataFrame, keys: str | list[str],
+    update_columns: list[str] | None = None, insert_columns: list[str] | None = None,
+) -> versions.Version:
+    """Upsert into a table with commits: only files that hold a key of the source are written anew."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    root, table = versions.resolve(spark, target) or (target, versions.MAIN)
+    return versions.merge(
+        spark, root, source, keys, lambda old, new: merge_upsert(old, new, keys, update_columns, insert_columns), table)
 
 
 def removal_condition(
@@ -212,28 +217,34 @@ def delete_where(df: DataFrame, condition: Column | None) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
-def delete_to(
-    spark: SparkSession,
-    target: str,
-    condition: Column | None,
-    new_target: str,
-    partition_by: list[str] | None = None,
-) -> int:
-    """Write the survivors to a new location in one pass and return how many rows went."""
+def delete_from(spark: SparkSession, target: str, condition: Column | None, archive: str | None = None) -> int:
+    """Delete from a table with commits, or move to its archive, which `archive` then means; how many rows went.
+
+    No condition deletes nothing. Files without a doomed row are not touched.
+    """
     if condition is None:
         return 0
-    doomed = F.coalesce(condition, F.lit(False))
-    seen = Observation()
-    counted = read_table(spark, target).observe(
-        seen, F.count(F.when(doomed, F.lit(1))).alias("deleted")
-    )
-    write_table(counted.filter(~doomed), new_target, mode="overwrite", partition_by=partition_by)
-    return seen.get["deleted"]
+    root, table = versions.resolve(spark, target) or (target, versions.MAIN)
+    into = None if archive is None else f"{table}_archive"
+    gone = versions.remove(spark, root, condition, table, into)
+    if gone and archive is not None:
+        versions.link(spark, archive, root, into)
+    return gone
+
+
+def older_than(day_column: str, days: int, as_of: Column) -> Column:
+    """Whether a row is past its days; one without a day is not."""
+    return F.coalesce(F.col(day_column) < F.date_sub(as_of, days), F.lit(False))
+
+
+def prune(spark: SparkSession, targets: dict[str, tuple[str, str, int]], as_of: Column) -> dict[str, int]:
+    """Delete from every table (path, day column, days to keep) what is past its days; rows deleted by name."""
+    return {name: delete_from(spark, path, older_than(column, days, as_of)) for name, (path, column, days) in targets.items()}
 
 
 def archive_split(df: DataFrame, day_column: str, days: int, as_of: Column) -> tuple[DataFrame, DataFrame]:
     """(rows to archive, rows to keep) by age; a row without a day is kept."""
-    old = F.coalesce(F.col(day_column) < F.date_sub(as_of, days), F.lit(False))
+    old = older_than(day_column, days, as_of)
     return df.filter(old), df.filter(~old)
 
 

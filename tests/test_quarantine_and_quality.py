@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import quality, quarantine, rules
-from ledgerloom.sources import sinks
+from ledgerloom.sources import readers, sinks, versions
 
 AT = "2024-02-01 00:00:00"
 
@@ -43,10 +43,10 @@ def test_delete_needs_a_condition(spark, transactions, location):
     rows = rejected(transactions, {"amount": None}, {"amount": None, "_batch_id": "B2"})
     assert sinks.removal_condition() is None
     assert sinks.delete_where(rows, None).count() == 2
-    sinks.overwrite(rows, location("q"))
-    assert sinks.delete_to(spark, location("q"), None, location("q1")) == 0
-    assert sinks.delete_to(spark, location("q"), sinks.removal_condition(batch_id="B2"), location("q2")) == 1
-    assert [r.batch_id for r in spark.read.parquet(location("q2")).collect()] == ["B1"]
+    versions.overwrite(spark, location("q"), rows)
+    assert sinks.delete_from(spark, location("q"), None) == 0
+    assert sinks.delete_from(spark, location("q"), sinks.removal_condition(batch_id="B2")) == 1
+    assert [r.batch_id for r in readers.read_table(spark, location("q")).collect()] == ["B1"]
     old = sinks.removal_condition(older_than_days=30, as_of=F.lit("2024-03-03").cast("date"))
     assert sinks.delete_where(rows, old).count() == 0
 
