@@ -84,21 +84,11 @@ BAD_MARKERS = {
     "negative_amount": "TEST_NEG_",
     "malformed_date": "TEST_BADDATE_",
 }
-BAD_CURRENCY_TEXTS = ["XXX", "INVALID", "123", ""]
-BAD_DATE_TEXTS = ["not-a-date", "2024/13/45", "32-01-2024", "", "2024-02-30"]
 ORPHAN_IDS = {
     "customer_id": "ORPHAN_CUST_12345",
     "account_id": "ORPHAN_ACCT_12345",
     "merchant_id": "ORPHAN_MERCH_12345",
 }
-BAD_SHARE_PCT = {
-    "null": 0.5,
-    "duplicate": 0.3,
-    "invalid_currency": 0.2,
-    "orphan_fk": 0.1,
-    "negative_amount": 0.1,
-    "malformed_date": 0.2,
-}
 
 # --- fixed values: formats, patterns --------------------------------------------------
 DATE_FORMAT = "yyyy-MM-dd"

@@ -1,4 +1,8 @@
-"""Raw-layer loads: delivery to append-only table in one pass, returning the row count."""
+"""Raw-layer loads: a delivery becomes a load of the raw table in one commit, returning the row count.
+
+A load is a batch and a named delivery (a source file). It replaces itself, so a retry changes nothing and a corrected file
+takes the place of the wrong one. Its fingerprint, kept with its files, tells a correction from a retry.
+"""
 
 from __future__ import annotations
 
@@ -7,18 +11,30 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators.ingest import to_raw
-from ledgerloom.sources.readers import read_csv_by_name, read_json, read_table
+from ledgerloom.sources import versions
+from ledgerloom.sources.readers import is_path, read_csv_by_name, read_json, read_table
 from ledgerloom.sources.sinks import overwrite_partitions
 
 PARTITION = ["_load"]
 
 
+def contents(columns: list[str]) -> list[str]:
+    """Columns that make up what was delivered: all but the clock of the load."""
+    return [c for c in columns if c not in ("_ingestion_timestamp", "_load_date", "_source_file", *PARTITION)]
+
+
+def load_change(rows: DataFrame) -> versions.Change:
+    """The loads of raw rows with `_load`, each in the place of its earlier self."""
+    return versions.Change(rows, partition_by=tuple(PARTITION), fingerprint=tuple(contents(rows.columns)), replace=PARTITION[0])
+
+
 def _store(spark: SparkSession, rows: DataFrame, target: str) -> int:
-    """Each load (a batch and a source file) is a partition of its own and replaces it: a retry
-    of the same load changes nothing, and a further file of a known batch is a further load."""
     file = F.substring(F.md5(F.coalesce("_source_file", F.lit(""))), 1, 12)
     load = F.concat(F.lit("load_"), F.coalesce("_batch_id", F.lit("")), F.lit("_"), file)
-    return overwrite_partitions(spark, rows.withColumn("_load", load), target, PARTITION)
+    rows = rows.withColumn("_load", load)
+    if not is_path(target):
+        return overwrite_partitions(spark, rows, target, PARTITION)
+    return versions.publish(spark, target, {versions.MAIN: load_change(rows)})[1][versions.MAIN]
 
 
 def load_dataframe(
@@ -26,12 +42,19 @@ def load_dataframe(
     source: str,
     target: str,
     batch_id: str,
-    source_file: str | Column = "dataframe",
+    source_file: str | Column | None = None,
     source_system: str = "dataframe",
     ingested_at: Column | None = None,
 ) -> int:
-    """Add a delivery to the raw table of a source (transactions, customers, accounts,
-    merchants). A delivery of the same batch and source file replaces the one before."""
+    """Add a delivery to the raw table of a source (transactions, customers, accounts, merchants).
+
+    A delivery of the same batch and source file replaces the one before. A delivery without a name is
+    named by its contents, at the price of one more pass over it: the same one again changes nothing, and a different one
+    is a further load, never a silent replacement.
+    """
+    if source_file is None:
+        h1, h2 = df.agg(*versions.fingerprints(sorted(df.columns))).first()
+        source_file = f"dataframe:{h1}:{h2}"
     rows = to_raw(df, source, source_file, source_system, batch_id, ingested_at)
     return _store(df.sparkSession, rows, target)
 

@@ -7,9 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import dimensions, facts, quality, quarantine, rules
+from ledgerloom.plans.bronze import contents
 from ledgerloom.session import new_location
+from ledgerloom.sources import versions
 from ledgerloom.sources.readers import is_path, read_table
-from ledgerloom.sources.sinks import drop_partitions, overwrite, overwrite_partitions, write_table
+from ledgerloom.sources.sinks import write_table
 
 
 def transform(
@@ -31,9 +33,8 @@ def with_load(raw: DataFrame) -> DataFrame:
 
 
 def load_states(raw: DataFrame) -> DataFrame:
-    """(load, n, latest): a load changes when rows join it or it is loaded again."""
-    latest = F.max("_ingestion_timestamp") if "_ingestion_timestamp" in raw.columns else F.lit(None).cast("timestamp")
-    return raw.groupBy("load").agg(F.count(F.lit(1)).alias("n"), latest.alias("latest"))
+    """(load, n, h1, h2): a load changes when its contents do, whatever their order and its clock."""
+    return raw.groupBy("load").agg(F.count(F.lit(1)).alias("n"), *versions.fingerprints(contents([c for c in raw.columns if c != "load"])))
 
 
 def month_key() -> Column:
@@ -41,6 +42,43 @@ def month_key() -> Column:
     return F.floor(F.col("date_key") / 100).cast("int")
 
 
+QUARANTINE, LOADS = "quarantine", "loads"
+
+
+def _opened(spark: SparkSession, raw_table: str):
+    """(states, rows of loads): of a raw table with commits the states come from its entries, and rows are read load by load.
+
+    Both are pinned to the version that is newest now.
+    """
+    found = versions.resolve(spark, raw_table) if is_path(raw_table) else None
+    if found is None:
+        raw = with_load(read_table(spark, raw_table))
+        return load_states(raw), lambda loads: raw if loads is None else raw.join(loads, "load", "left_semi")
+    at, table = versions.version(spark, found[0]), found[1]
+    sums = [F.sum(c).cast("decimal(38,0)").alias(c) for c in ("h1", "h2")]
+    states = versions.entries(spark, at, table).groupBy(F.coalesce("part__load", F.lit("load")).alias("load")).agg(F.sum("rows").alias("n"), *sums)
+
+    def rows(loads: DataFrame | None) -> DataFrame:
+        name = F.coalesce(F.col("part__load"), F.lit("load"))
+        of = None if loads is None else lambda listed: listed.join(loads, name == loads["load"], "left_semi")
+        return with_load(versions.read(spark, at, table, of))
+
+    return states, rows
+
+
+def fact_changes(fact: DataFrame, rejected: DataFrame, done: DataFrame | None) -> dict[str, versions.Change]:
+    """Fact and quarantine rows as one commit, in the place of what they held of the loads `done`; of everything if None."""
+
+    def keep(listed: DataFrame) -> DataFrame:
+        return listed.join(done, listed["part_load"] == done["load"], "left_anti")
+
+    stays = None if done is None else keep
+    return {
+        versions.MAIN: versions.Change(fact.withColumn("month_key", month_key()), stays, ("load", "month_key"), ("date_key", "transaction_timestamp")),
+        QUARANTINE: versions.Change(rejected, stays, ("load",), ("quarantine_date",)),
+    }
+
+
 def transform_transactions(
     spark: SparkSession,
     raw_table: str,
@@ -55,27 +93,28 @@ def transform_transactions(
 
     A load is a partition of the raw table, or a batch where the raw table has none; a NULL batch
     is a load like any other. Incremental runs take the batches from `since_batch_id` on, or the
-    loads whose state (row count, newest row) the log does not hold. Each load has its own partitions,
-    which are replaced, and its state is logged only after both writes: a run that died
-    half-way is simply run again, on whatever day. Full runs overwrite everything. With a `gate`
-    environment the run stops before writing when a threshold is breached and the environment
-    demands it.
+    loads whose state (row count and fingerprint of the contents) is not the one last processed, also if it was known
+    once before. Fact, quarantine and processed states change in one commit: a reader sees all of a run or nothing, and a run
+    that died is simply run again, on whatever day. Full runs replace everything. The quarantine lives in the
+    fact's store; its own path leads there. With a `gate` environment the run stops before writing when
+    a threshold is breached and the environment demands it.
     """
-    raw = with_load(read_table(spark, raw_table))
-    log = f"{fact_table}_loads"
-    logged = incremental and table_exists(spark, log)
-    picked = facts.since_batch(raw, since_batch_id) if incremental and since_batch_id is not None else raw
-    states = load_states(raw.join(picked.select("load").distinct(), "load", "left_semi") if picked is not raw else raw)
-    if logged and since_batch_id is None:
-        known = read_table(spark, log).select("load", "n", F.col("latest").alias("at"))
-        same = (states["load"] == known["load"]) & (states["n"] == known["n"]) & states["latest"].eqNullSafe(known["at"])
-        states = states.join(known, same, "left_anti")
-    # pins the selection; the raw files themselves were listed above
+    if not is_path(fact_table):
+        raise ValueError("fact and quarantine are tables with commits: give paths")
+    states, rows_of = _opened(spark, raw_table)
+    known = versions.version(spark, fact_table)
+    logged = known is not None and LOADS in known.tables
+    processed = versions.read(spark, known, LOADS) if logged else None
+    todo = states
+    if incremental and since_batch_id is not None:
+        todo = states.join(facts.since_batch(rows_of(None), since_batch_id).select("load").distinct(), "load", "left_semi")
+    elif incremental and logged:
+        todo = states.join(processed, ["load", "n", "h1", "h2"], "left_anti")
     pending = new_location(spark, "pending_loads")
-    write_table(states.coalesce(1), pending, mode="overwrite")
-    todo = spark.read.schema(states.schema).parquet(pending)
-    if incremental:
-        raw = raw.join(todo.select("load"), "load", "left_semi")
+    # one row a load
+    write_table(todo.hint("rebalance"), pending, mode="overwrite")
+    todo = spark.read.schema(todo.schema).parquet(pending)
+    raw = rows_of(todo.select("load") if incremental else None)
 
     report = quality.run_checks(raw.drop("load"), quality.transaction_suite())
     if incremental and todo.isEmpty():
@@ -84,25 +123,19 @@ def transform_transactions(
         quality.enforce_gate(quality.threshold_gate(report, gate))
 
     fact, rejected = transform(raw, at=at)
-    fact = fact.withColumn("month_key", month_key())
-    if logged:
-        # a load that is done again may have left months or rejects that it no longer has
-        before = read_table(spark, log).select("load")
-        again = [r.load for r in todo.join(before, "load", "left_semi").select("load").distinct().toLocalIterator()]
-        for table in (quarantine_table, fact_table):
-            drop_partitions(spark, table, "load", again)
-    for rows, table, parts in ((rejected, quarantine_table, ["load"]), (fact, fact_table, ["load", "month_key"])):
-        if incremental:
-            overwrite_partitions(spark, rows, table, parts)
-        else:
-            overwrite(rows, table, partition_by=parts)
-    write_table(todo.coalesce(1), log, mode="append" if incremental else "overwrite")
+    done = todo.select("load") if incremental else None
+    others = processed.join(todo.select("load"), "load", "left_anti") if incremental and logged else None
+    log = todo if others is None else others.unionByName(todo)
+    versions.link(spark, quarantine_table, fact_table, QUARANTINE)
+    versions.publish(spark, fact_table, fact_changes(fact, rejected, done) | {LOADS: versions.Change(log.coalesce(1))})
     return report
 
 
 def table_exists(spark: SparkSession, reference: str) -> bool:
     if not is_path(reference):
         return spark.catalog.tableExists(reference)
+    if (found := versions.resolve(spark, reference)) is not None:
+        return (now := versions.version(spark, found[0])) is not None and found[1] in now.tables
     try:
         return bool(spark.read.parquet(reference).columns)
     except AnalysisException:
@@ -113,22 +146,22 @@ def build_all_dimensions(
     spark: SparkSession, raw_tables: dict[str, str], targets: dict[str, str],
     start_year: int = 2020, end_year: int = 2030,
 ) -> dict[str, int]:
-    """Write the four dimensions and return their row counts."""
+    """Write the four dimensions, each in one commit, and return their row counts."""
     built = {
         "dim_customer": dimensions.dim_customer(read_table(spark, raw_tables["customers"])),
         "dim_account": dimensions.dim_account(read_table(spark, raw_tables["accounts"])),
         "dim_merchant": dimensions.dim_merchant(read_table(spark, raw_tables["merchants"])),
         "dim_date": dimensions.dim_date(dimensions.calendar_days(spark, start_year, end_year)),
     }
-    return {name: overwrite(table, targets[name]) for name, table in built.items()}
+    return {name: versions.overwrite(spark, targets[name], table) for name, table in built.items()}
 
 
 def build_dim_account(spark: SparkSession, raw_table: str, target: str, scd_type: int = 2) -> int:
     """Write the account dimension and return its row count; types as for customers."""
     raw = read_table(spark, raw_table)
     if scd_type == 1:
-        return overwrite(dimensions.dim_account(raw), target)
-    return overwrite(dimensions.dim_account_history(raw).sortWithinPartitions("_is_current"), target)
+        return versions.overwrite(spark, target, dimensions.dim_account(raw))
+    return versions.overwrite(spark, target, dimensions.dim_account_history(raw).sortWithinPartitions("_is_current"))
 
 
 def build_dim_customer(spark: SparkSession, raw_table: str, target: str, scd_type: int = 2) -> int:
@@ -137,5 +170,5 @@ def build_dim_customer(spark: SparkSession, raw_table: str, target: str, scd_typ
     skip the past."""
     raw = read_table(spark, raw_table)
     if scd_type == 1:
-        return overwrite(dimensions.dim_customer(raw), target)
-    return overwrite(dimensions.dim_customer_history(raw).sortWithinPartitions("_is_current"), target)
+        return versions.overwrite(spark, target, dimensions.dim_customer(raw))
+    return versions.overwrite(spark, target, dimensions.dim_customer_history(raw).sortWithinPartitions("_is_current"))

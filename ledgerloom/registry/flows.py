@@ -11,15 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
-from ledgerloom.functions import reference_data as ref
-from ledgerloom.operators import ingest
 from ledgerloom.plans import bronze, gold as gold_plan, layers, silver
 from ledgerloom.registry.base import query
-from ledgerloom.registry.oracle import case, sql, text_list
+from ledgerloom.registry.oracle import sql
 from ledgerloom.registry.quality import KEPT, SUITE, _slim
 from ledgerloom.registry.silver import FACT_ROWS, _clock
 from ledgerloom.session import new_location
-from ledgerloom.sources import readers, sinks, star, synthetic
+from ledgerloom.sources import readers, sinks, star, versions
 from ledgerloom.streaming import bronze_stream, silver_stream
 
 BUSINESS = schemas.BUSINESS_COLUMNS
@@ -126,34 +124,34 @@ FROM lineitem t LEFT JOIN source s ON t.l_orderkey = s.l_orderkey AND t.l_linenu
 UNION ALL SELECT l_orderkey, l_linenumber, l_quantity FROM source WHERE l_orderkey < 0""")
 def sink_merge_upsert(spark: SparkSession, d: str) -> DataFrame:
     """Upsert on a two-column key; the target holds repeated keys, all of which change."""
-    old, new = new_location(spark, "upsert-old"), new_location(spark, "upsert-new")
+    path = new_location(spark, "upsert")
     target = star.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    sinks.overwrite(target, old)
+    versions.overwrite(spark, path, target.repartitionByRange("l_orderkey"), zones=["l_orderkey", "l_linenumber"])
     nine = F.lit(9.0).alias("l_quantity")
     returned = star.table(spark, d, "lineitem").filter("l_returnflag = 'R'")
     changed = returned.select("l_orderkey", "l_linenumber", nine).distinct()
     added = star.table(spark, d, "orders").select(
         (-F.col("o_orderkey") - 1).alias("l_orderkey"), F.lit(1).alias("l_linenumber"), nine
     )
-    sinks.upsert_to(spark, old, changed.unionByName(added), ["l_orderkey", "l_linenumber"], new)
-    return readers.read_table(spark, new)
+    sinks.upsert_to(spark, path, changed.unionByName(added), ["l_orderkey", "l_linenumber"])
+    return readers.read_table(spark, path)
 
 
 @query("sink_delete_where", KEPT)
 def sink_delete_where(spark: SparkSession, d: str) -> DataFrame:
-    old, new = new_location(spark, "delete-old"), new_location(spark, "delete-new")
-    sinks.overwrite(_slim(spark, d), old, partition_by=["batch_id"])
+    path = new_location(spark, "delete")
+    versions.overwrite(spark, path, _slim(spark, d), partition_by=["batch_id"])
     doomed = sinks.removal_condition("transactions_raw", older_than_days=365, as_of=F.lit("2001-11-05").cast("date"))
-    sinks.delete_to(spark, old, doomed, new)
-    return readers.read_table(spark, new).drop("source_table")
+    sinks.delete_from(spark, path, doomed)
+    return readers.read_table(spark, path).drop("source_table")
 
 
 @query("drop_and_rebuild", "SELECT c_custkey, c_name FROM customer")
 def drop_and_rebuild(spark: SparkSession, d: str) -> DataFrame:
     """A table is replaced as a whole, whatever schema it had before."""
     path = new_location(spark, "rebuild")
-    sinks.overwrite(star.table(spark, d, "supplier"), path)
-    sinks.overwrite(star.table(spark, d, "customer").select("c_custkey", "c_name"), path)
+    versions.overwrite(spark, path, star.table(spark, d, "supplier"))
+    versions.overwrite(spark, path, star.table(spark, d, "customer").select("c_custkey", "c_name"))
     return readers.read_table(spark, path)
 
 
@@ -382,7 +380,7 @@ def stream_bronze_ingest(spark: SparkSession, d: str) -> DataFrame:
     star.accounts(spark, d).repartition(5).write.parquet(landing)
     delivery = bronze_stream.file_stream(spark, landing, schemas.delivered("accounts"), maxFilesPerTrigger=2)
     rows = bronze_stream.raw_stream(delivery, "accounts", "core", "S1", _clock())
-    bronze_stream.append_stream(rows, target, checkpoint, ["_load_date"]).awaitTermination()
+    bronze_stream.ingest_stream(rows, target, checkpoint).awaitTermination()
     return _loaded(readers.read_table(spark, target), "accounts")
 
 
@@ -405,9 +403,9 @@ def late_data(spark: SparkSession, d: str) -> DataFrame:
     events = star.table(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
     events.repartition(3).write.parquet(landing)
     rows = bronze_stream.file_stream(spark, landing, events.schema, maxFilesPerTrigger=1)
-    upsert = silver_stream.upsert_stream(rows, ["user_id"], ["ts", "event_id"], target, checkpoint, buckets=8)
+    upsert = silver_stream.upsert_stream(rows, ["user_id"], ["ts", "event_id"], target, checkpoint)
     upsert.awaitTermination()
-    return silver_stream.current_rows(spark, target).drop("bucket")
+    return silver_stream.current_rows(spark, target)
 
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
@@ -421,143 +419,3 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     unique = bronze_stream.deduplicated(rows, ["event_id"], "ts", "60 days")
     bronze_stream.append_stream(unique, target, checkpoint).awaitTermination()
     return readers.read_table(spark, target).drop("ts")
-
-
-# --- generated deliveries -------------------------------------------------------------------------
-
-
-def _index(spark: SparkSession, d: str, name: str, key: str) -> DataFrame:
-    return star.table(spark, d, name).select(F.col(key).alias("i"))
-
-
-def draw(n: int, modulus) -> str:
-    source, place = ("a", n) if n < 4 else ("b", n - 4)
-    return f"(CAST('0x' || substr({source}, {place * 7 + 1}, 7) AS BIGINT) % ({modulus}))"
-
-
-def made_id(kind: str, index: str, prefix: str) -> str:
-    return f"'{prefix}' || upper(substr(md5('{kind}_' || {index}), 1, 12))"
-
-
-def digests(kind: str, table: str, key: str) -> str:
-    return (
-        f"g AS (SELECT {key} AS i, md5('42_{kind}_a_' || {key}) AS a, md5('42_{kind}_b_' || {key}) AS b FROM {table})"
-    )
-
-
-def picked(values, n: int) -> str:
-    return f"([{text_list(values)}])[{draw(n, len(values))} + 1]"
-
-
-HOME_CURRENCY = {code: currency for code, (_, currency) in ref.COUNTRIES.items()}
-
-
-def cents_text(n: int, low: int, high: int) -> str:
-    return f"CAST(CAST(({draw(n, (high - low) * 100)} + {low * 100}) / 100 AS DECIMAL(18,2)) AS VARCHAR)"
-
-
-@query("gen_customers", f"""
-WITH {digests('customer', 'customer', 'c_custkey')}, h AS (
-  SELECT *, 'Given' || lpad(CAST({draw(0, 56)} AS VARCHAR), 3, '0') AS first_name,
-         'Family' || lpad(CAST({draw(1, 56)} AS VARCHAR), 3, '0') AS last_name,
-         strftime(DATE '2022-01-01' + CAST({draw(2, 365)} AS INTEGER), '%Y-%m-%d') || ' 00:00:00' AS created_at FROM g)
-SELECT {made_id('cust', 'i', 'CUST')} AS customer_id, first_name, last_name,
-       lower(first_name) || '.' || lower(last_name) || ({draw(3, 999)} + 1) || '@'
-         || {picked(['gmail.com', 'yahoo.com', 'outlook.com', 'company.com'], 4)} AS email,
-       '+1' || ({draw(5, 100_000_000)} + 2000000000) AS phone,
-       strftime(DATE '1950-01-01' + CAST({draw(6, 18_628)} AS INTEGER), '%Y-%m-%d') AS date_of_birth,
-       {picked(ref.COUNTRIES, 7)} AS country_code, created_at, created_at AS updated_at FROM h""")
-def gen_customers(spark: SparkSession, d: str) -> DataFrame:
-    return synthetic.gen_customers(_index(spark, d, "customer", "c_custkey"))
-
-
-@query("gen_accounts", f"""
-WITH {digests('account', 'orders', 'o_orderkey')}
-SELECT {made_id('acct', 'i', 'ACCT')} AS account_id,
-       {made_id('cust', '(i % (SELECT count(*) FROM customer))', 'CUST')} AS customer_id,
-       {picked(ref.ACCOUNT_TYPES, 3)} AS account_type,
-       lpad(CAST({draw(1, 100_000_000)} AS VARCHAR), 8, '0') || lpad(CAST({draw(2, 100_000_000)} AS VARCHAR), 8, '0') AS account_number,
-       {cents_text(4, 100, 100_000)} AS balance, {case(picked(ref.COUNTRIES, 5), HOME_CURRENCY)} AS currency,
-       'ACTIVE' AS status, strftime(DATE '2021-01-01' + CAST({draw(0, 730)} AS INTEGER), '%Y-%m-%d') AS opened_date,
-       CAST(NULL AS VARCHAR) AS closed_date FROM g""")
-def gen_accounts(spark: SparkSession, d: str) -> DataFrame:
-    return synthetic.gen_accounts(_index(spark, d, "orders", "o_orderkey"), star.table(spark, d, "customer").count())
-
-
-@query("gen_merchants", f"""
-WITH {digests('merchant', 'supplier', 's_suppkey')}
-SELECT {made_id('merch', 'i', 'MERCH')} AS merchant_id,
-       'Shop' || {draw(2, 46)} || ' - CITY' || {draw(1, 10)} || ' #' || ({draw(3, 999)} + 1) AS merchant_name,
-       {picked(ref.MERCHANT_CATEGORIES, 0)} AS category, {picked(ref.COUNTRIES, 4)} AS country_code,
-       'CITY' || {draw(1, 10)} AS city, {case(picked(ref.MERCHANT_CATEGORIES, 0), ref.MCC_CODES)} AS mcc_code FROM g""")
-def gen_merchants(spark: SparkSession, d: str) -> DataFrame:
-    return synthetic.gen_merchants(_index(spark, d, "supplier", "s_suppkey"))
-
-
-def _upper_bounds() -> str:
-    """Cumulated class sizes b1, b2, ... as columns."""
-    parts, columns = [], []
-    for k, percent in enumerate(ref.BAD_SHARE_PCT.values(), start=1):
-        parts.append(f"CAST(floor(n * {percent} / 100) AS BIGINT)")
-        columns.append(" + ".join(parts) + f" AS b{k}")
-    return ", ".join(columns)
-
-
-_BAD = "CASE " + " ".join(f"WHEN i < b{k} THEN '{c}'" for k, c in enumerate(ref.BAD_SHARE_PCT, start=1)) + " END"
-_PREFIX = case("bad", ref.BAD_MARKERS)
-_NULLED = picked(["customer_id", "amount", "currency", "transaction_type"], 1)
-_ORPHAN = picked(ref.ORPHAN_IDS, 1)
-
-
-def _unless_null(column: str, value: str) -> str:
-    return f"CASE WHEN bad = 'null' AND {_NULLED} = '{column}' THEN NULL ELSE {value} END"
-
-
-def _or_orphan(column: str, value: str) -> str:
-    return f"CASE WHEN bad = 'orphan_fk' AND {_ORPHAN} = '{column}' THEN '{ref.ORPHAN_IDS[column]}' ELSE {value} END"
-
-
-GENERATED = f"""
-WITH sizes AS (
-  SELECT (SELECT count(*) FROM orders) AS n, (SELECT count(*) FROM customer) AS nc, (SELECT count(*) FROM supplier) AS nm),
-bounds AS (SELECT *, {_upper_bounds()} FROM sizes),
-{digests('transaction', 'orders', 'o_orderkey')},
-k AS (
-  SELECT *, {_BAD} AS bad, {draw(0, 'nc')} AS c, {made_id('merch', draw(2, 'nm'), 'MERCH')} AS merchant,
-         strftime(DATE '2023-01-01' + CAST({draw(3, 731)} AS INTEGER), '%Y-%m-%d') AS day,
-         {cents_text(6, 1, 5000)} AS money, {picked(ref.COUNTRIES, 5)} AS country_code,
-         {picked(ref.TRANSACTION_TYPES, 7)} AS kind FROM g, bounds)
-SELECT CASE WHEN bad = 'duplicate' AND i > 0
-            THEN {made_id('txn', f"({draw(0, 'greatest((i + 999) // 1000, 1)')} * 1000)", 'TXN')}
-            ELSE coalesce({_PREFIX}, '') || {made_id('txn', 'i', 'TXN')} END AS transaction_id,
-       {_unless_null('customer_id', _or_orphan('customer_id', made_id('cust', 'c', 'CUST')))} AS customer_id,
-       {_or_orphan('account_id', made_id('acct', f"least(c + {draw(1, 'greatest(n // nc, 1)')} * nc, n - 1)", 'ACCT'))} AS account_id,
-       {_or_orphan('merchant_id', 'merchant')} AS merchant_id,
-       CASE WHEN bad = 'malformed_date' THEN {picked(ref.BAD_DATE_TEXTS, 1)} ELSE day END AS transaction_date,
-       day || ' ' || lpad(CAST({draw(4, 24)} AS VARCHAR), 2, '0') || ':'
-         || lpad(CAST({draw(4, 86_400)} % 60 AS VARCHAR), 2, '0') || ':00' AS transaction_timestamp,
-       {_unless_null('amount', "CASE WHEN bad = 'negative_amount' THEN '-' || money ELSE money END")} AS amount,
-       {_unless_null('currency', f"CASE WHEN bad = 'invalid_currency' THEN {picked(ref.BAD_CURRENCY_TEXTS, 1)} ELSE {case('country_code', HOME_CURRENCY)} END")} AS currency,
-       {_unless_null('transaction_type', 'kind')} AS transaction_type,
-       ([{text_list(ref.STATUSES)}])[{draw(7, 30)} % 5 + 1] AS status, {picked(ref.CHANNELS, 4)} AS channel, country_code,
-       kind || ' at ' || substr(merchant, 1, 8) || '...' AS description FROM k"""
-
-
-@query("gen_transactions", GENERATED)
-def gen_transactions(spark: SparkSession, d: str) -> DataFrame:
-    """One generated transaction per order, numbered by its key."""
-    sizes = synthetic.Sizes(*(star.table(spark, d, n).count() for n in ("customer", "orders", "supplier", "orders")))
-    return synthetic.gen_transactions(_index(spark, d, "orders", "o_orderkey"), sizes)
-
-
-MARKED = ", ".join(
-    f"count(*) FILTER (WHERE starts_with(transaction_id, '{prefix}')) AS {name}_rows"
-    for name, prefix in ref.BAD_MARKERS.items()
-)
-
-
-@query("gen_bad_marker_profile", f"""WITH generated AS ({GENERATED})
-SELECT {MARKED}, count(*) FILTER (WHERE starts_with(transaction_id, 'TEST_')) AS marked_rows,
-       count(*) FILTER (WHERE NOT starts_with(transaction_id, 'TEST_')) AS good_rows, count(*) AS total_rows FROM generated""")
-def gen_bad_marker_profile(spark: SparkSession, d: str) -> DataFrame:
-    return ingest.bad_marker_profile(gen_transactions(spark, d))

@@ -244,8 +244,8 @@ def quarantine_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 @query("limit_records", sql("SELECT least(count(*), 1000) AS returned FROM rejected", "rejected"))
 def limit_records(spark: SparkSession, d: str) -> DataFrame:
-    """The lookup returns a thousand records unless told otherwise; which ones is open."""
-    return quarantine.lookup(_quarantine(spark, d)).agg(F.count(F.lit(1)).alias("returned"))
+    """The lookup by hand asks for a thousand records; which ones is open."""
+    return quarantine.lookup(_quarantine(spark, d), limit=1000).agg(F.count(F.lit(1)).alias("returned"))
 
 
 FIRST_REASON = "CASE " + " ".join(f"WHEN {r} THEN '{r}'" for r in (

@@ -11,7 +11,7 @@ from ledgerloom.functions.columns import count_if, date_key_of, day
 from ledgerloom.operators import dimensions, facts, history, ingest, joins, rules
 from ledgerloom.registry.base import query
 from ledgerloom.registry.oracle import dbl, sql, ts
-from ledgerloom.sources import star, synthetic
+from ledgerloom.sources import star
 from ledgerloom.sources.sinks import merge_upsert
 
 BUSINESS = ", ".join(schemas.BUSINESS_COLUMNS["transactions"])
@@ -651,9 +651,8 @@ def functions_math(spark: SparkSession, d: str) -> DataFrame:
 @query("functions_hash", """
 SELECT upper(substr(md5('cust_' || c_custkey), 1, 12)) AS id, c_custkey FROM customer""")
 def functions_hash(spark: SparkSession, d: str) -> DataFrame:
-    return star.table(spark, d, "customer").select(
-        synthetic.make_id("cust", F.col("c_custkey"), "").alias("id"), "c_custkey"
-    )
+    digest = F.md5(F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).cast("binary"))
+    return star.table(spark, d, "customer").select(F.upper(F.substring(digest, 1, 12)).alias("id"), "c_custkey")
 
 
 @query("functions_conditional", sql("""

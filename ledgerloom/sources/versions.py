@@ -64,6 +64,8 @@ class Change:
     partition_by: tuple[str, ...] = ()
     zones: tuple[str, ...] = ()
     fingerprint: tuple[str, ...] = ()
+    #: partition column: files of a value that the new rows have too are replaced, the others stay
+    replace: str | None = None
     #: entries taken over from another table of the store, without touching their files
     adopted: DataFrame | None = None
     #: what the table looks like if neither rows nor a version before tell
@@ -239,8 +241,14 @@ def publish(
 def _next(spark: SparkSession, root: str, now: Version | None, name: str, change: Change, fresh: str | None) -> Table:
     """A table as it is after a change."""
     old = now.tables.get(name) if now else None
-    stays = old is not None and change.keep is not None
-    parts = [change.keep(entries(spark, now, name))] if stays else []
+    stays = old is not None and (change.keep is not None or change.replace is not None)
+    parts = []
+    if stays and change.keep is not None:
+        parts.append(change.keep(entries(spark, now, name)))
+    elif stays:
+        value = f"part_{change.replace}"
+        given = spark.read.parquet(fresh).select(F.col(value).alias("_value")).distinct()
+        parts.append(entries(spark, now, name).join(given, F.col(value).eqNullSafe(F.col("_value")), "left_anti"))
     parts += [change.adopted] if change.adopted is not None else []
     if parts or fresh is None:
         parts += [spark.read.parquet(fresh)] if fresh is not None else []

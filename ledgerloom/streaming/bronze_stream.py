@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,6 +11,8 @@ from pyspark.sql.types import StructType
 
 from ledgerloom.functions import reference_data as ref
 from ledgerloom.operators.ingest import to_raw
+from ledgerloom.plans.bronze import PARTITION, load_change
+from ledgerloom.sources import versions
 
 
 def file_stream(
@@ -52,6 +56,26 @@ def append_stream(
     return with_trigger(writer, environment).start(target)
 
 
+def run_name(checkpoint: str) -> str:
+    """Short name of a query's run, told by its checkpoint: epochs count from zero in each."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def ingest_stream(rows: DataFrame, target: str, checkpoint: str, environment: str | None = None) -> StreamingQuery:
+    """Each micro-batch becomes a load of the raw table, beside those of the batch runs, in one commit.
+
+    A repeated epoch replaces its own load, and only new loads are work for the next silver run.
+    """
+    run = run_name(checkpoint)
+
+    def process(batch: DataFrame, epoch: int) -> None:
+        load = batch.withColumn(PARTITION[0], F.lit(f"stream_{run}_{epoch}"))
+        versions.publish(batch.sparkSession, target, {versions.MAIN: load_change(load)})
+
+    writer = rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    return with_trigger(writer, environment).start()
+
+
 def deduplicated(rows: DataFrame, keys: list[str], time_column: str, delay: str) -> DataFrame:
     """Drop repeated keys that arrive within the watermark delay; state is bounded by it."""
     return rows.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(keys)

@@ -1,43 +1,39 @@
 """Raw stream to fact and quarantine, and late data by upsert.
 
-foreachBatch may run an epoch again after a failure, so each epoch of each run writes to its
-own partition and overwrites it: a repeat leaves the same files.
+foreachBatch may run an epoch again after a failure. An epoch of the fact is a load that replaces itself; an epoch of
+an upsert is entered in the same commit as its rows, and a repeat that finds its entry does nothing.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.plans.silver import month_key, table_exists, transform
-from ledgerloom.sources.sinks import latest_per_key, write_table
-from ledgerloom.streaming.bronze_stream import with_trigger
-
+from ledgerloom.plans.silver import QUARANTINE, fact_changes, transform
+from ledgerloom.sources import versions
+from ledgerloom.sources.sinks import latest_per_key
+from ledgerloom.streaming.bronze_stream import run_name, with_trigger
 
-def run_name(checkpoint: str) -> str:
-    """Short name of a query's run, told by its checkpoint: epochs count from zero in each."""
-    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+EPOCHS = "epochs"
 
 
 def fact_stream(
     raw: DataFrame, fact_target: str, quarantine_target: str, checkpoint: str,
     at: Column | None = None, environment: str | None = None,
 ) -> StreamingQuery:
-    """Split, type and key each micro-batch, which is a load like those of the batch runs:
-    the same directories, `load` and for facts `month_key`. The batch is kept for its two writes.
+    """Split, type and key each micro-batch, which is a load like those of the batch runs, and commit both sides
+    together. The batch is kept for its two writes.
     """
     run = run_name(checkpoint)
 
     def process(batch: DataFrame, epoch: int) -> None:
+        spark, load = batch.sparkSession, f"stream_{run}_{epoch}"
         batch.persist()
         try:
-            fact, rejected = transform(batch, at=at)
-            load = f"load=stream_{run}_{epoch}"
-            write_table(fact.withColumn("month_key", month_key()), f"{fact_target}/{load}", mode="overwrite", partition_by=["month_key"])
-            write_table(rejected, f"{quarantine_target}/{load}", mode="overwrite")
+            fact, rejected = transform(batch.withColumn("load", F.lit(load)), at=at)
+            versions.link(spark, quarantine_target, fact_target, QUARANTINE)
+            versions.publish(spark, fact_target, fact_changes(fact, rejected, spark.range(1).select(F.lit(load).alias("load"))))
         finally:
             batch.unpersist()
 
@@ -45,75 +41,48 @@ def fact_stream(
     return with_trigger(writer, environment).start()
 
 
-# a directory that readers of the table do not list
-MANIFEST = "_manifest"
-
-
-def manifest(spark: SparkSession, target: str) -> DataFrame | None:
-    """(bucket, buckets, version, run, epoch) of every bucket that an epoch wrote."""
-    path = f"{target}/{MANIFEST}"
-    return spark.read.parquet(path) if table_exists(spark, path) else None
-
-
-def newest_versions(spark: SparkSession, target: str, before: int | None = None) -> list[tuple[int, int]]:
-    """(bucket, version) as a reader needs them: one pair per bucket, their number is the table's setting."""
-    known = manifest(spark, target)
-    if known is None:
-        return []
-    if before is not None:
-        known = known.filter(F.col("version") < before)
-    return [(r.bucket, r.version) for r in known.groupBy("bucket").agg(F.max("version").alias("version")).collect()]
-
-
 def upsert_stream(
     rows: DataFrame, keys: list[str], order: list[str], target: str, checkpoint: str,
-    buckets: int = 64, environment: str | None = None,
+    environment: str | None = None, keep_versions: int = 3,
 ) -> StreamingQuery:
     """Keep the newest row per key, whatever order the rows arrive in.
 
-    Keys are hashed into buckets, and an epoch rewrites only the buckets it touches, under
-    the table's next version, and then enters them in the manifest with its run and epoch. A repeated
-    epoch finds its entry and writes the same version again from the state before it; a new
-    checkpoint over an existing table is another run and goes on from the newest version. The
-    number of buckets is the one the table was made with.
+    An epoch writes anew only the files that hold one of its keys, and in the same commit enters its run and number,
+    which a repeat finds. A new checkpoint over an existing table is another run and goes on from the newest version. Versions
+    beyond `keep_versions` are removed with the files that only they name, so the table does not grow with its epochs.
     """
-    run = run_name(checkpoint)
+    run, newest = run_name(checkpoint), [F.desc_nulls_last(c) for c in order]
 
     def process(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        known, width, version = manifest(spark, target), buckets, 0
-        if known is not None:
-            own = (F.col("run") == run) & (F.col("epoch") == epoch)
-            width, last, again = known.agg(F.max("buckets"), F.max("version"), F.max(F.when(own, F.col("version")))).first()
-            version = last + 1 if again is None else again
-        newest = [F.desc_nulls_last(c) for c in order]
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(width)).cast("int")
-        latest = latest_per_key(batch, keys, newest).withColumn("bucket", bucket)
-        touched = {r.bucket for r in latest.select("bucket").distinct().collect()}  # at most `width`
-        if not touched:
-            return
-        current = read_buckets(spark, target, [p for p in newest_versions(spark, target, version) if p[0] in touched])
-        if current is not None:
-            latest = latest_per_key(current.unionByName(latest), keys, newest)
-        write_table(latest, f"{target}/version={version}", mode="overwrite", partition_by=["bucket"])
-        entry = spark.createDataFrame([(b, width, run, epoch) for b in sorted(touched)], "bucket int, buckets int, run string, epoch bigint")
-        write_table(entry.coalesce(1), f"{target}/{MANIFEST}/version={version}", mode="overwrite")
+        latest = latest_per_key(batch, keys, newest).persist()
+        try:
+            now = versions.version(spark, target)
+            if now is not None and not versions.read(spark, now, EPOCHS).filter((F.col("run") == run) & (F.col("epoch") == epoch)).isEmpty():
+                return
+            # of each run the last epoch: a repeat is never of an earlier one
+            entry = spark.range(1).select(F.lit(run).alias("run"), F.lit(epoch).cast("bigint").alias("epoch"))
+            if now is not None:
+                entry = versions.read(spark, now, EPOCHS).filter(F.col("run") != run).unionByName(entry)
+            also = {EPOCHS: versions.Change(entry.coalesce(1))}
+            if now is None:
+                order_of = [*[F.col(k) for k in keys], F.xxhash64(*latest.columns)]
+                spread = latest.repartitionByRange(*order_of).sortWithinPartitions(*keys)
+                versions.publish(spark, target, {versions.MAIN: versions.Change(spread, zones=tuple(keys))} | also)
+            elif not latest.isEmpty():
+                versions.merge(spark, target, latest, keys, lambda old, new: latest_per_key(old.unionByName(new), keys, newest), also=also)
+            if keep_versions:
+                versions.vacuum(spark, target, keep_versions)
+        finally:
+            latest.unpersist()
 
     writer = rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return with_trigger(writer, environment).start()
 
 
-def read_buckets(spark: SparkSession, target: str, versions: list[tuple[int, int]]) -> DataFrame | None:
-    """The rows of the given (bucket, version) directories; no other is listed or opened."""
-    if not versions:
-        return None
-    paths = [f"{target}/version={v}/bucket={b}" for b, v in sorted(versions)]
-    return spark.read.option("basePath", target).parquet(*paths).drop("version")
-
-
 def current_rows(spark: SparkSession, target: str, before: int | None = None) -> DataFrame:
-    """Rows of the newest version of each bucket, optionally as of before a version."""
-    found = read_buckets(spark, target, newest_versions(spark, target, before))
-    if found is None:
+    """The newest row per key, optionally as of before a version."""
+    known = [n for n in versions.numbers(spark, target) if before is None or n < before]
+    if not known:
         raise ValueError(f"no upserted rows at {target}")
-    return found
+    return versions.read(spark, versions.version(spark, target, known[-1]))
