@@ -1,11 +1,11 @@
-"""Byte-level BPE: every distinct pre-token of the corpus is encoded once.
-
-1. Texts are cut by the pattern and counted; equal pre-tokens meet in one shuffle after a count per task.
-2. Each distinct pre-token is merged once, by rank.
-3. The ids go back to their places. The most frequent pre-tokens, up to a fixed number, go to every task
-   as a table of bounded size, about 30 bytes each. Occurrences of the others are exploded with their
-   place, joined by the pre-token, and put in at their places: hot keys never enter that shuffle.
-4. Decoding looks each id up in the table of token bytes, whose size is the vocabulary's.
+"""Byte-level BPE: every distinct pre-token outside a small hot set is encoded once, where its occurrences meet.
+
+1. A sample of documents tells which pre-tokens are hot. As many as fit a few megabytes, most used first, go to
+   every task with their ids. This set changes the cost, never the ids.
+2. Texts are cut by the pattern. Every other pre-token is exploded with its places, one row for each text that has it.
+3. One shuffle brings equal pre-tokens together; each is merged once, by rank.
+4. The ids go back to their texts and are put in at their places, between those of hot pre-tokens.
+5. Decoding looks each id up in the table of token bytes, which every task holds: its size is the vocabulary's.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,16 +20,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import row_key, stored
 
-#: pre-tokens in the table that every task holds, at most 130 MB
-FREQUENT = 4_000_000
-#: of those, pre-tokens that a task keeps at hand
-AT_HAND = 300_000
+#: bytes of hot pre-tokens and their ids
+HOT = 4 << 20
+#: documents that are counted for them
+SAMPLE = 20_000
 #: distinct pre-tokens that a counting task holds before it hands them on
 COUNTED = 100_000
 
@@ -93,75 +91,51 @@ def _counted(texts: DataFrame, pattern: str) -> DataFrame:
     return texts.mapInArrow(of, "piece string, uses bigint").groupBy("piece").agg(F.sum("uses").alias("uses"))
 
 
-def _packed(size: int) -> str:
-    return "<u2" if size <= 1 << 16 else "<u4"
+def _kind(path: str) -> str:
+    return "<u2" if max(ranks(path).values()) < 1 << 16 else "<u4"
 
 
-def encoded_pieces(texts: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(piece, uses, ids): every distinct pre-token with its ids, little-endian numbers in one binary."""
+def _merged(pieces: DataFrame, path: str, column: str = "piece") -> DataFrame:
+    """The rows with `ids`, little-endian numbers in one binary; equal pieces that follow each other are merged once."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ranks(path)
-        kind = _packed(max(table.values()) + 1)
+        table, kind, last, packed = ranks(path), _kind(path), None, b""
         for batch in batches:
-            ids = [np.array(merge(p.as_py(), table), kind).tobytes() for p in batch.column(0).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], ["piece", "uses", "ids"])
-
-    return _counted(texts, pattern).mapInArrow(of, "piece string, uses bigint, ids binary")
-
-
-def _frequent(pieces: DataFrame, most: int) -> int:
-    """Least number of uses such that at most `most` pre-tokens have as many."""
-    steps = pieces.groupBy(F.floor(F.log2("uses") * 4).alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect()
-    least, total = 1 << 62, 0
-    for step, n in steps:
-        total += n
-        if total > most:
+            ids = []
+            for p in batch.column(batch.schema.names.index(column)).cast(pa.binary()).to_pylist():
+                if p != last:
+                    last, packed = p, np.array(merge(p, table), kind).tobytes()
+                ids.append(packed)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [*batch.schema.names, "ids"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
+    return pieces.mapInArrow(of, f"{fields}, ids binary")
+
+
+def hot_pieces(texts: DataFrame, path: str, pattern: str, hot: int = HOT, sample: int = SAMPLE) -> dict[str, bytes]:
+    """The most used pre-tokens of a sample with their ids, at most `hot` bytes; pre-tokens used once are left out."""
+    total = texts.count()
+    if not total or not hot:
+        return {}
+    some = texts.filter(F.pmod(F.xxhash64("text", F.lit("hot")), F.lit(1 << 30)) < int(min(1.0, sample / total) * (1 << 30)))
+    counted = _merged(stored(_counted(some, pattern).filter("uses > 1"), "hot_pieces"), path)
+    size = F.octet_length("piece") + F.octet_length("ids")
+    pieces = stored(counted.withColumns({"size": size, "step": F.floor(F.log2("uses") * 8)}), "hot_encoded")
+    least, room = None, hot
+    # one row for each eighth of a power of two
+    for step, n in pieces.groupBy("step").agg(F.sum("size").alias("n")).orderBy(F.desc("step")).collect():
+        if (room := room - n) < 0:
             break
         least = step
-    return least
-
-
-class _Held(dict):
-    """Ids of frequent pre-tokens by 128-bit hash, in sorted arrays; the dict keeps those seen first, mostly the commonest, at hand."""
-
-    def __init__(self, high: np.ndarray, low: np.ndarray, first: np.ndarray, ids: bytes):
-        super().__init__()
-        # views, because they give plain numbers
-        self.arrays = memoryview(high), memoryview(low), memoryview(first), ids
-
-    def __missing__(self, piece: str) -> bytes | None:
-        high, low, first, ids = self.arrays
-        digest = xxhash.xxh3_128_intdigest(piece)
-        upper, found = digest >> 64, None
-        i = bisect_left(high, upper)
-        while found is None and i < len(high) and high[i] == upper:
-            if low[i] == digest & 0xFFFFFFFFFFFFFFFF:
-                found = ids[first[i] : first[i + 1]]
-            i += 1
-        if len(self) < AT_HAND:
-            self[piece] = found
-        return found
-
+    if least is None:
+        return {}
+    found = pieces.filter(F.col("step") >= least).select("piece", "ids").toArrow()
+    return dict(zip(found["piece"].to_pylist(), found["ids"].to_pylist()))
 
-def _table(pieces: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
-    """The arrays of `_Held` for pre-tokens of bounded number; only hashes and ids reach the driver."""
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests = [xxhash.xxh3_128_intdigest(p.as_py()) for p in batch.column(0)]
-            halves = np.array([(d >> 64, d & 0xFFFFFFFFFFFFFFFF) for d in digests], dtype=np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1]), batch.column(1)], ["high", "low", "ids"])
-
-    got = pieces.select("piece", "ids").mapInArrow(of, "high bigint, low bigint, ids binary").toArrow()
-    high, low = (got.column(c).to_numpy().view(np.uint64) for c in ("high", "low"))
-    order = np.argsort(high, kind="stable")
-    ids = got.column("ids").take(pa.array(order)).to_pylist()
-    first = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]).astype(np.int64)
-    return high[order], low[order], first, b"".join(ids)
-
-
-def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text", frequent: int = FREQUENT) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text", hot: int = HOT, sample: int = SAMPLE,
+) -> DataFrame:
     """(id, ids) for every row: the token ids of the whole text, as little-endian numbers in one binary.
 
     `ids_of` makes an array of them. A NULL text is empty and has no ids. Special tokens are ordinary text.
@@ -169,76 +143,68 @@ def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: s
     Other columns are not read. The numbers have two bytes if the vocabulary allows, else four.
     """
     slim = docs.select(F.col(id).alias("id"), row_key(id, text).alias("row"), F.col(text).cast("string").alias("text"))
-    pieces = stored(encoded_pieces(slim.select("text"), path, pattern), "pieces")
-    step = F.floor(F.log2("uses") * 4)
-    least = _frequent(pieces, frequent)
-    known = docs.sparkSession.sparkContext.broadcast(_table(pieces.filter(step >= least)))
-    rare = pieces.filter(step < least).select("piece", "ids")
+    known = docs.sparkSession.sparkContext.broadcast(hot_pieces(slim.select("text"), path, pattern, hot, sample))
     kind = slim.schema["id"].dataType.simpleString()
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, table = regex.compile(pattern), _Held(*known.value)
+        cut, table = regex.compile(pattern), known.value
         for batch in batches:
-            row, place, piece = [], [], []
+            row, piece, places = [], [], []
             for i, t in enumerate(batch.column(2)):
+                late: dict[str, list[int]] = {}
                 for j, p in enumerate(cut.findall(t.as_py() or "")):
-                    if table[p] is None:
-                        row.append(i)
-                        place.append(j)
-                        piece.append(p)
+                    if p not in table:
+                        late.setdefault(p, []).append(j)
+                row += [i] * len(late)
+                piece += late
+                places += late.values()
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(place, pa.int32()), pa.array(piece, pa.string())],
-                ["id", "row", "place", "piece"])
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(piece, pa.string()), pa.array(places, pa.list_(pa.int32()))],
+                ["id", "row", "piece", "places"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, table = regex.compile(pattern), _Held(*known.value)
+        cut, table = regex.compile(pattern), known.value
         for batch in batches:
             ids = []
             for t, late in zip(batch.column(1), batch.column(2)):
-                parts = list(map(table.__getitem__, cut.findall(t.as_py() or "")))
+                parts = list(map(table.get, cut.findall(t.as_py() or "")))
                 for x in late.as_py() or ():
-                    parts[x["place"]] = x["ids"]
+                    for place in x["places"]:
+                        parts[place] = x["ids"]
                 ids.append(b"".join(parts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
 
-    schema = f"id {kind}, ids binary"
-    if rare.isEmpty():
-        alone = slim.select("id", "text", F.lit(None).cast("array<struct<place:int,ids:binary>>").alias("late"))
-        return alone.mapInArrow(whole, schema).withColumnRenamed("id", id)
-    exploded = slim.mapInArrow(rest, f"id {kind}, row bigint, place int, piece string")
+    exploded = slim.mapInArrow(rest, f"id {kind}, row bigint, piece string, places array<int>")
+    # equal pre-tokens are neighbours of one task, so each is merged once
+    met = _merged(exploded.repartition("piece").sortWithinPartitions("piece"), path).drop("piece")
     # a set, because repeated rows tell each place twice
-    late = exploded.join(rare, "piece").groupBy("id", "row").agg(F.collect_set(F.struct("place", "ids")).alias("late"))
+    late = met.groupBy("id", "row").agg(F.collect_set(F.struct("places", "ids")).alias("late"))
     both = slim.join(late, (slim["row"] == late["row"]) & slim["id"].eqNullSafe(late["id"]), "left")
-    return both.select(slim["id"], "text", "late").mapInArrow(whole, schema).withColumnRenamed("id", id)
+    return both.select(slim["id"], "text", "late").mapInArrow(whole, f"id {kind}, ids binary").withColumnRenamed("id", id)
 
 
-def ids_of(packed: bytes | None, size: int) -> np.ndarray:
-    return np.frombuffer(packed or b"", _packed(size))
+def ids_of(packed: bytes | None, path: str) -> np.ndarray:
+    return np.frombuffer(packed or b"", _kind(path))
 
 
-def _decoder(path: str):
-    """(size of the vocabulary, function from packed ids to (ids, bytes))."""
+@lru_cache(maxsize=4)
+def _tokens(path: str) -> np.ndarray:
+    """Token bytes by id."""
     table = ranks(path)
-    size = max(table.values()) + 1
-    tokens = [b""] * size
+    tokens = np.full(max(table.values()) + 1, b"", dtype=object)
     for token, rank in table.items():
         tokens[rank] = token
-
-    def of(packed: bytes | None) -> tuple[list[int], bytes]:
-        ids = ids_of(packed, size).tolist()
-        return ids, b"".join([tokens[i] for i in ids])
-
-    return size, of
+    return tokens
 
 
 def decode(encoded: DataFrame, path: str, id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(id, ids, bytes): the bytes that the ids of every row stand for. NULL ids are none; an unknown id is an error."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, decoded = _decoder(path)
+        tokens = _tokens(path)
         for batch in batches:
-            found = [decoded(x.as_py())[1] for x in batch.column(1)]
+            found = [b"".join(tokens[ids_of(x.as_py(), path)].tolist()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [id, ids, "bytes"])
 
     kind = encoded.schema[id].dataType.simpleString()
@@ -249,15 +215,16 @@ def digests(encoded: DataFrame, path: str, id: str = "doc_id", ids: str = "ids")
     """(id, n_tokens, ids_sha256, decoded_sha256) of what `encode` returns, decoded row by row: no text leaves its task."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, decoded = _decoder(path)
-        names = [str(i) for i in range(size)]
+        tokens = _tokens(path)
+        # numerals with a blank, all of one width: bytes that are looked up without a loop
+        numerals = np.array([f"{i} " for i in range(len(tokens))], dtype="S")
         for batch in batches:
             n, told, back = [], [], []
             for x in batch.column(1):
-                numbers, raw = decoded(x.as_py())
-                n.append(len(numbers))
-                told.append(hashlib.sha256(" ".join([names[i] for i in numbers]).encode()).hexdigest())
-                back.append(hashlib.sha256(raw).hexdigest())
+                ids = ids_of(x.as_py(), path)
+                n.append(len(ids))
+                told.append(hashlib.sha256(numerals[ids].tobytes().replace(b"\0", b"")[:-1]).hexdigest())
+                back.append(hashlib.sha256(b"".join(tokens[ids].tolist())).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(told, pa.string()), pa.array(back, pa.string())],
                 [id, "n_tokens", "ids_sha256", "decoded_sha256"])

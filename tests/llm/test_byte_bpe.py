@@ -33,15 +33,25 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("frequent", [0, 20, 10**6])
-def test_equals_the_library(spark, values, frequent):
+@pytest.mark.parametrize("hot", [0, 20, byte_bpe.HOT])
+def test_equals_the_library(spark, values, hot):
     df = spark.createDataFrame([(*r, 1, 2) for r in ROWS], SCHEMA)
-    ids = byte_bpe.encode(df, PATH, PATTERN, frequent=frequent)
+    ids = byte_bpe.encode(df, PATH, PATTERN, hot=hot)
     assert values(byte_bpe.digests(ids, PATH)) == expected(ROWS)
     back = byte_bpe.decode(ids, PATH)
     assert sorted((bytes(r.bytes) for r in back.collect())) == sorted((t or "").encode() for _, t in ROWS)
 
 
+def test_hot_pieces_are_bounded_in_bytes_and_most_used(spark):
+    texts = spark.createDataFrame([(f"often twice {i} once{i}",) for i in range(50)] + [("twice sum",), ("sum",)], "text string")
+    all_of = byte_bpe.hot_pieces(texts, PATH, PATTERN)
+    assert " twice" in all_of and "often" in all_of and " once" in all_of and " 7" not in all_of
+    assert all(byte_bpe.ids_of(v, PATH).tolist() == REAL.encode_ordinary(k) for k, v in all_of.items())
+    few = byte_bpe.hot_pieces(texts, PATH, PATTERN, hot=20)
+    assert sum(len(k.encode()) + len(v) for k, v in few.items()) <= 20 and few.keys() < all_of.keys()
+    assert byte_bpe.hot_pieces(texts, PATH, PATTERN, hot=0) == {} == byte_bpe.hot_pieces(texts.limit(0), PATH, PATTERN)
+
+
 def test_empty_table(spark):
     ids = byte_bpe.encode(spark.createDataFrame([], SCHEMA), PATH, PATTERN)
     assert byte_bpe.digests(ids, PATH).count() == 0
