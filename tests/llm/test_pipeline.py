@@ -5,7 +5,7 @@ import public_tokenizers
 import tiktoken
 from test_decontamination import expected as contaminated
 from test_line_dedup import expected as deduped
-from test_simhash_dedup import expected as components
+from test_shingle_dedup import expected as components
 
 from ledgerloom.llm import byte_bpe, quality_cascade
 
@@ -20,7 +20,7 @@ def test_stages_equal_brute_force(spark):
     verdicts = {r.doc_id: r.kept for r in quality_cascade.judged(docs).collect()}
     rows = [(r.doc_id, r.text) for r in docs.collect() if verdicts[r.doc_id]]
     rows = [(i, t) for i, t, _, _ in deduped(rows)]
-    leads = {c for _, _, c in components(rows)}
+    leads = {c for _, c in components(rows)}
     rows = [r for r in rows if r[0] in leads]
     clean = {i for i, _, hit, _ in contaminated(rows, items) if not hit}
     rows = [r for r in rows if r[0] in clean]

@@ -8,7 +8,7 @@ import pytest
 from ledgerloom.llm import shingle_dedup, simhash_dedup
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-NEAR = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+NEAR = dict(corpus_pipeline.STAGES)["near_dedup"]
 
 
 def grams(text):
