@@ -1,10 +1,12 @@
-"""Byte-level BPE: every distinct pre-token outside a small hot set is encoded once, where its occurrences meet.
+"""Byte-level BPE: every distinct pre-token outside a small hot set is encoded where its occurrences meet.
 
 1. A sample of documents tells which pre-tokens are hot. As many as fit a few megabytes, most used first, go to
    every task with their ids. This set changes the cost, never the ids.
-2. Texts are cut by the pattern. Every other pre-token is exploded with its places, one row for each text that has it.
-3. One shuffle brings equal pre-tokens together; each is merged once, by rank.
-4. The ids go back to their texts and are put in at their places, between those of hot pre-tokens.
+2. Texts are cut by the pattern, once. A slab of texts is kept as a compressed stream of numbers, one a place: that of a hot
+   pre-token, or a number of its own for each other pre-token of the slab. Those are exploded with their numbers, the
+   ones of a slab that go the same way in one row.
+3. One shuffle brings equal pre-tokens together, and a task merges each once, by rank.
+4. The ids are joined back to their slab, and every place takes the ids of its number.
 5. Decoding looks each id up in the table of token bytes, which every task holds: its size is the vocabulary's.
 """
 
@@ -13,6 +15,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,10 +24,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import row_key, stored
+from ledgerloom.llm.common import stored
 
 #: bytes of hot pre-tokens and their ids
 HOT = 4 << 20
@@ -31,6 +37,12 @@ HOT = 4 << 20
 SAMPLE = 20_000
 #: distinct pre-tokens that a counting task holds before it hands them on
 COUNTED = 100_000
+#: pre-tokens of a slab; a longer text is a slab of its own
+SLAB = 1 << 17
+#: ways into which exploded pre-tokens part: so many documents have one of their own, within these bounds
+DOCS_A_WAY, WAYS = 20_000, (64, 4096)
+#: pre-tokens whose ids a task keeps while it merges; beyond that it may merge one again
+MERGED = 1_000_000
 
 
 @lru_cache(maxsize=4)
@@ -95,32 +107,36 @@ def _kind(path: str) -> str:
     return "<u2" if max(ranks(path).values()) < 1 << 16 else "<u4"
 
 
-def _merged(pieces: DataFrame, path: str, column: str = "piece") -> DataFrame:
-    """The rows with `ids`, little-endian numbers in one binary; equal pieces that follow each other are merged once."""
+class _Ids(dict):
+    """Packed ids by pre-token, each merged when it is first asked for."""
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, kind, last, packed = ranks(path), _kind(path), None, b""
-        for batch in batches:
-            ids = []
-            for p in batch.column(batch.schema.names.index(column)).cast(pa.binary()).to_pylist():
-                if p != last:
-                    last, packed = p, np.array(merge(p, table), kind).tobytes()
-                ids.append(packed)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [*batch.schema.names, "ids"])
+    def __init__(self, path: str):
+        super().__init__()
+        self.table, self.kind = ranks(path), _kind(path)
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
-    return pieces.mapInArrow(of, f"{fields}, ids binary")
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= MERGED:
+            self.clear()
+        found = self[piece] = np.array(merge(piece.encode(), self.table), self.kind).tobytes()
+        return found
 
 
-def hot_pieces(texts: DataFrame, path: str, pattern: str, hot: int = HOT, sample: int = SAMPLE) -> dict[str, bytes]:
-    """The most used pre-tokens of a sample with their ids, at most `hot` bytes; pre-tokens used once are left out."""
+def hot_pieces(texts: DataFrame, path: str, pattern: str, hot: int = HOT, sample: int = SAMPLE) -> tuple[list[str], list[bytes]]:
+    """The most used pre-tokens of a sample and their ids, most used first, at most `hot` bytes; those used once are left out."""
     total = texts.count()
     if not total or not hot:
-        return {}
+        return [], []
     some = texts.filter(F.pmod(F.xxhash64("text", F.lit("hot")), F.lit(1 << 30)) < int(min(1.0, sample / total) * (1 << 30)))
-    counted = _merged(stored(_counted(some, pattern).filter("uses > 1"), "hot_pieces"), path)
+    counted = stored(_counted(some, pattern).filter("uses > 1"), "hot_pieces")
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _Ids(path)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([ids[p] for p in batch.column(0).to_pylist()], pa.binary())], ["piece", "uses", "ids"])
+
+    encoded = counted.mapInArrow(of, "piece string, uses bigint, ids binary")
     size = F.octet_length("piece") + F.octet_length("ids")
-    pieces = stored(counted.withColumns({"size": size, "step": F.floor(F.log2("uses") * 8)}), "hot_encoded")
+    pieces = stored(encoded.withColumns({"size": size, "step": F.floor(F.log2("uses") * 8)}), "hot_encoded")
     least, room = None, hot
     # one row for each eighth of a power of two
     for step, n in pieces.groupBy("step").agg(F.sum("size").alias("n")).orderBy(F.desc("step")).collect():
@@ -128,9 +144,74 @@ def hot_pieces(texts: DataFrame, path: str, pattern: str, hot: int = HOT, sample
             break
         least = step
     if least is None:
-        return {}
-    found = pieces.filter(F.col("step") >= least).select("piece", "ids").toArrow()
-    return dict(zip(found["piece"].to_pylist(), found["ids"].to_pylist()))
+        return [], []
+    found = pieces.filter(F.col("step") >= least).select("piece", "ids", "uses").toArrow().sort_by([("uses", "descending"), ("piece", "ascending")])
+    return found["piece"].to_pylist(), found["ids"].to_pylist()
+
+
+class _Numbers(dict):
+    """Number of a pre-token: its place among the hot ones, or after those one that is given when it is first seen."""
+
+    def __init__(self, hot: list[str]):
+        super().__init__(zip(hot, range(len(hot))))
+        self.hot, self.fresh = len(hot), []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = self.hot + len(self.fresh)
+        self.fresh.append(piece)
+        return number
+
+    def forget(self) -> list[str]:
+        """Pre-tokens that were given numbers since the last call; the numbers are free again."""
+        fresh, self.fresh = self.fresh, []
+        for piece in fresh:
+            del self[piece]
+        return fresh
+
+
+def packed_stream(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes: the high ones are nearly empty."""
+    return zstandard.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked_stream(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
+def _slabs(slim: DataFrame, pattern: str, hot: Broadcast, ways: int) -> DataFrame:
+    """(slab, ids, places, stream, rest): texts of (id, text) as numbers, and the pre-tokens that are not hot by their way."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, numbers = regex.compile(pattern), _Numbers(hot.value[0])
+
+        def slab(ids: pa.Array, texts: list[np.ndarray]) -> pa.RecordBatch:
+            rest: dict[int, dict] = {}
+            for k, piece in enumerate(numbers.forget(), start=numbers.hot):
+                own = rest.setdefault(zlib.crc32(piece.encode()) % ways, {"numbers": [], "pieces": []})
+                own["numbers"].append(k)
+                own["pieces"].append(piece)
+            return pa.RecordBatch.from_arrays([
+                pa.array([uuid.uuid4().bytes], pa.binary()),
+                pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                pa.array([[len(t) for t in texts]], pa.list_(pa.int32())),
+                pa.array([packed_stream(np.concatenate(texts))], pa.binary()),
+                pa.array([[{"way": w, **own} for w, own in sorted(rest.items())]],
+                         pa.list_(pa.struct([("way", pa.int32()), ("numbers", pa.list_(pa.int32())), ("pieces", pa.list_(pa.string()))]))),
+            ], ["slab", "ids", "places", "stream", "rest"])
+
+        for batch in batches:
+            first, texts, size = 0, [], 0
+            for i, t in enumerate(batch.column(1)):
+                pieces = cut.findall(t.as_py() or "")
+                texts.append(np.fromiter(map(numbers.__getitem__, pieces), np.uint32, len(pieces)))
+                size += len(pieces)
+                if size >= SLAB or i == batch.num_rows - 1:
+                    yield slab(batch.column(0).slice(first, len(texts)), texts)
+                    first, texts, size = i + 1, [], 0
+
+    kind = slim.schema["id"].dataType.simpleString()
+    return slim.mapInArrow(of, f"slab binary, ids array<{kind}>, places array<int>, stream binary, rest array<struct<way:int,numbers:array<int>,pieces:array<string>>>")
 
 
 def encode(
@@ -139,49 +220,50 @@ def encode(
     """(id, ids) for every row: the token ids of the whole text, as little-endian numbers in one binary.
 
     `ids_of` makes an array of them. A NULL text is empty and has no ids. Special tokens are ordinary text.
-    Repeated rows get equal results; rows of NULL id get their own. An empty table gives no rows.
+    Repeated rows and rows of NULL id get a row each. An empty table gives no rows.
     Other columns are not read. The numbers have two bytes if the vocabulary allows, else four.
     """
-    slim = docs.select(F.col(id).alias("id"), row_key(id, text).alias("row"), F.col(text).cast("string").alias("text"))
+    slim = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
     known = docs.sparkSession.sparkContext.broadcast(hot_pieces(slim.select("text"), path, pattern, hot, sample))
+    ways = min(max(WAYS[0], slim.count() // DOCS_A_WAY), WAYS[1])
+    slabs = stored(_slabs(slim, pattern, known, ways), "slabs")
     kind = slim.schema["id"].dataType.simpleString()
 
-    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, table = regex.compile(pattern), known.value
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _Ids(path)
         for batch in batches:
-            row, piece, places = [], [], []
-            for i, t in enumerate(batch.column(2)):
-                late: dict[str, list[int]] = {}
-                for j, p in enumerate(cut.findall(t.as_py() or "")):
-                    if p not in table:
-                        late.setdefault(p, []).append(j)
-                row += [i] * len(late)
-                piece += late
-                places += late.values()
-            at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(piece, pa.string()), pa.array(places, pa.list_(pa.int32()))],
-                ["id", "row", "piece", "places"])
+            found = [[ids[p] for p in pieces] for pieces in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.binary()))], ["slab", "numbers", "ids"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, table = regex.compile(pattern), known.value
+        kind, hot_ids = _kind(path), known.value[1]
+        hot_flat, hot_sizes = np.frombuffer(b"".join(hot_ids), kind), np.array([len(x) for x in hot_ids], np.int64)
         for batch in batches:
-            ids = []
-            for t, late in zip(batch.column(1), batch.column(2)):
-                parts = list(map(table.get, cut.findall(t.as_py() or "")))
-                for x in late.as_py() or ():
-                    for place in x["places"]:
-                        parts[place] = x["ids"]
-                ids.append(b"".join(parts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
-
-    exploded = slim.mapInArrow(rest, f"id {kind}, row bigint, piece string, places array<int>")
-    # equal pre-tokens are neighbours of one task, so each is merged once
-    met = _merged(exploded.repartition("piece").sortWithinPartitions("piece"), path).drop("piece")
-    # a set, because repeated rows tell each place twice
-    late = met.groupBy("id", "row").agg(F.collect_set(F.struct("places", "ids")).alias("late"))
-    both = slim.join(late, (slim["row"] == late["row"]) & slim["id"].eqNullSafe(late["id"]), "left")
-    return both.select(slim["id"], "text", "late").mapInArrow(whole, f"id {kind}, ids binary").withColumnRenamed("id", id)
+            of_docs, docs_ids = [], []
+            for i in range(batch.num_rows):
+                numbers = unpacked_stream(batch.column(2)[i].as_py())
+                own: dict[int, bytes] = {}
+                for part in batch.column(3)[i].as_py() or ():
+                    own.update(zip(part["numbers"], part["ids"]))
+                # numbers are given one after the other, so in order they go on where the hot ones end
+                late = [own[k] for k in range(len(hot_ids), len(hot_ids) + len(own))]
+                flat = np.concatenate([hot_flat, np.frombuffer(b"".join(late), kind)])
+                sizes = np.concatenate([hot_sizes, np.array([len(x) for x in late], np.int64)]) // np.dtype(kind).itemsize
+                starts = np.cumsum(sizes) - sizes
+                each = sizes[numbers]
+                ends = np.cumsum(each)
+                ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[numbers] - (ends - each), each)]
+                stops = np.append(0, ends)[np.cumsum(batch.column(1)[i].as_py())]
+                of_docs += [ids[a:b].tobytes() for a, b in zip(np.append(0, stops[:-1]), stops)]
+                docs_ids.append(batch.column(0)[i].values)
+            if docs_ids:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(docs_ids), pa.array(of_docs, pa.binary())], ["id", "ids"])
+
+    exploded = slabs.select("slab", F.inline("rest")).repartition("way").select("slab", "numbers", "pieces")
+    late = exploded.mapInArrow(merged, "slab binary, numbers array<int>, ids array<binary>")
+    late = late.groupBy("slab").agg(F.collect_list(F.struct("numbers", "ids")).alias("late"))
+    both = slabs.select("slab", "ids", "places", "stream").join(late, "slab", "left")
+    return both.select("ids", "places", "stream", "late").mapInArrow(whole, f"id {kind}, ids binary").withColumnRenamed("id", id)
 
 
 def ids_of(packed: bytes | None, path: str) -> np.ndarray:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -33,8 +34,9 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("hot", [0, 20, byte_bpe.HOT])
-def test_equals_the_library(spark, values, hot):
+@pytest.mark.parametrize("hot, slab", [(0, 1 << 17), (0, 3), (20, 50), (byte_bpe.HOT, 1 << 17)])
+def test_equals_the_library(spark, values, monkeypatch, hot, slab):
+    monkeypatch.setattr(byte_bpe, "SLAB", slab)
     df = spark.createDataFrame([(*r, 1, 2) for r in ROWS], SCHEMA)
     ids = byte_bpe.encode(df, PATH, PATTERN, hot=hot)
     assert values(byte_bpe.digests(ids, PATH)) == expected(ROWS)
@@ -44,12 +46,18 @@ def test_equals_the_library(spark, values, hot):
 
 def test_hot_pieces_are_bounded_in_bytes_and_most_used(spark):
     texts = spark.createDataFrame([(f"often twice {i} once{i}",) for i in range(50)] + [("twice sum",), ("sum",)], "text string")
-    all_of = byte_bpe.hot_pieces(texts, PATH, PATTERN)
+    all_of = dict(zip(*byte_bpe.hot_pieces(texts, PATH, PATTERN)))
     assert " twice" in all_of and "often" in all_of and " once" in all_of and " 7" not in all_of
     assert all(byte_bpe.ids_of(v, PATH).tolist() == REAL.encode_ordinary(k) for k, v in all_of.items())
-    few = byte_bpe.hot_pieces(texts, PATH, PATTERN, hot=20)
+    few = dict(zip(*byte_bpe.hot_pieces(texts, PATH, PATTERN, hot=20)))
     assert sum(len(k.encode()) + len(v) for k, v in few.items()) <= 20 and few.keys() < all_of.keys()
-    assert byte_bpe.hot_pieces(texts, PATH, PATTERN, hot=0) == {} == byte_bpe.hot_pieces(texts.limit(0), PATH, PATTERN)
+    assert byte_bpe.hot_pieces(texts, PATH, PATTERN, hot=0) == ([], []) == byte_bpe.hot_pieces(texts.limit(0), PATH, PATTERN)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2**32 - 1), max_size=50))
+def test_streams(numbers):
+    assert byte_bpe.unpacked_stream(byte_bpe.packed_stream(np.array(numbers, np.uint32))).tolist() == numbers
 
 
 def test_empty_table(spark):
