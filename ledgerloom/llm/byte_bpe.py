@@ -40,7 +40,7 @@ COUNTED = 100_000
 #: pre-tokens of a slab; a longer text is a slab of its own
 SLAB = 1 << 17
 #: ways into which exploded pre-tokens part: so many documents have one of their own, within these bounds
-DOCS_A_WAY, WAYS = 20_000, (64, 4096)
+DOCS_A_WAY, WAYS = 20_000, (32, 4096)
 #: pre-tokens whose ids a task keeps while it merges; beyond that it may merge one again
 MERGED = 1_000_000
 
@@ -108,16 +108,16 @@ def _kind(path: str) -> str:
 
 
 class _Ids(dict):
-    """Packed ids by pre-token, each merged when it is first asked for."""
+    """Packed ids by the bytes of a pre-token, each merged when it is first asked for."""
 
     def __init__(self, path: str):
         super().__init__()
         self.table, self.kind = ranks(path), _kind(path)
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, piece: bytes) -> bytes:
         if len(self) >= MERGED:
             self.clear()
-        found = self[piece] = np.array(merge(piece.encode(), self.table), self.kind).tobytes()
+        found = self[piece] = np.array(merge(piece, self.table), self.kind).tobytes()
         return found
 
 
@@ -132,7 +132,7 @@ def hot_pieces(texts: DataFrame, path: str, pattern: str, hot: int = HOT, sample
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _Ids(path)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([ids[p] for p in batch.column(0).to_pylist()], pa.binary())], ["piece", "uses", "ids"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([ids[p] for p in batch.column(0).cast(pa.binary()).to_pylist()], pa.binary())], ["piece", "uses", "ids"])
 
     encoded = counted.mapInArrow(of, "piece string, uses bigint, ids binary")
     size = F.octet_length("piece") + F.octet_length("ids")
@@ -179,6 +179,21 @@ def unpacked_stream(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
 
 
+def packed_parts(numbers: list[int], parts: list[bytes]) -> bytes:
+    """Rising numbers, and the bytes that belong to each, as one compressed binary."""
+    heads = np.concatenate([np.diff(numbers, prepend=0), [len(p) for p in parts]]).astype("<u4")
+    planes = heads.view(np.uint8).reshape(-1, 4).T.tobytes()
+    return zstandard.compress(b"".join([len(numbers).to_bytes(4, "little"), planes, *parts]), 1)
+
+
+def unpacked_parts(packed: bytes) -> tuple[list[int], list[bytes]]:
+    raw = zstandard.decompress(packed)
+    n = int.from_bytes(raw[:4], "little")
+    heads = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, 4).reshape(4, -1).T).view("<u4").ravel()
+    stops = np.cumsum(np.append(4 + 8 * n, heads[n:].astype(np.int64))).tolist()
+    return np.cumsum(heads[:n]).tolist(), [raw[a:b] for a, b in zip(stops, stops[1:])]
+
+
 def _slabs(slim: DataFrame, pattern: str, hot: Broadcast, ways: int) -> DataFrame:
     """(slab, ids, places, stream, rest): texts of (id, text) as numbers, and the pre-tokens that are not hot by their way."""
 
@@ -186,18 +201,19 @@ def _slabs(slim: DataFrame, pattern: str, hot: Broadcast, ways: int) -> DataFram
         cut, numbers = regex.compile(pattern), _Numbers(hot.value[0])
 
         def slab(ids: pa.Array, texts: list[np.ndarray]) -> pa.RecordBatch:
-            rest: dict[int, dict] = {}
-            for k, piece in enumerate(numbers.forget(), start=numbers.hot):
-                own = rest.setdefault(zlib.crc32(piece.encode()) % ways, {"numbers": [], "pieces": []})
-                own["numbers"].append(k)
-                own["pieces"].append(piece)
+            rest: dict[int, tuple[list, list]] = {}
+            for k, piece in enumerate(numbers.forget()):
+                raw = piece.encode()
+                own = rest.setdefault(zlib.crc32(raw) % ways, ([], []))
+                own[0].append(k)
+                own[1].append(raw)
             return pa.RecordBatch.from_arrays([
                 pa.array([uuid.uuid4().bytes], pa.binary()),
                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                 pa.array([[len(t) for t in texts]], pa.list_(pa.int32())),
                 pa.array([packed_stream(np.concatenate(texts))], pa.binary()),
-                pa.array([[{"way": w, **own} for w, own in sorted(rest.items())]],
-                         pa.list_(pa.struct([("way", pa.int32()), ("numbers", pa.list_(pa.int32())), ("pieces", pa.list_(pa.string()))]))),
+                pa.array([[{"way": w, "pieces": packed_parts(*own)} for w, own in sorted(rest.items())]],
+                         pa.list_(pa.struct([("way", pa.int32()), ("pieces", pa.binary())]))),
             ], ["slab", "ids", "places", "stream", "rest"])
 
         for batch in batches:
@@ -211,7 +227,7 @@ def _slabs(slim: DataFrame, pattern: str, hot: Broadcast, ways: int) -> DataFram
                     first, texts, size = i + 1, [], 0
 
     kind = slim.schema["id"].dataType.simpleString()
-    return slim.mapInArrow(of, f"slab binary, ids array<{kind}>, places array<int>, stream binary, rest array<struct<way:int,numbers:array<int>,pieces:array<string>>>")
+    return slim.mapInArrow(of, f"slab binary, ids array<{kind}>, places array<int>, stream binary, rest array<struct<way:int,pieces:binary>>")
 
 
 def encode(
@@ -232,8 +248,11 @@ def encode(
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _Ids(path)
         for batch in batches:
-            found = [[ids[p] for p in pieces] for pieces in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.binary()))], ["slab", "numbers", "ids"])
+            found = []
+            for packed in batch.column(1).to_pylist():
+                numbers, pieces = unpacked_parts(packed)
+                found.append(packed_parts(numbers, [ids[p] for p in pieces]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["slab", "ids"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, hot_ids = _kind(path), known.value[1]
@@ -244,9 +263,9 @@ def encode(
                 numbers = unpacked_stream(batch.column(2)[i].as_py())
                 own: dict[int, bytes] = {}
                 for part in batch.column(3)[i].as_py() or ():
-                    own.update(zip(part["numbers"], part["ids"]))
-                # numbers are given one after the other, so in order they go on where the hot ones end
-                late = [own[k] for k in range(len(hot_ids), len(hot_ids) + len(own))]
+                    own.update(zip(*unpacked_parts(part)))
+                # after the hot ones numbers were given one after the other
+                late = [own[k] for k in range(len(own))]
                 flat = np.concatenate([hot_flat, np.frombuffer(b"".join(late), kind)])
                 sizes = np.concatenate([hot_sizes, np.array([len(x) for x in late], np.int64)]) // np.dtype(kind).itemsize
                 starts = np.cumsum(sizes) - sizes
@@ -259,9 +278,8 @@ def encode(
             if docs_ids:
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays(docs_ids), pa.array(of_docs, pa.binary())], ["id", "ids"])
 
-    exploded = slabs.select("slab", F.inline("rest")).repartition("way").select("slab", "numbers", "pieces")
-    late = exploded.mapInArrow(merged, "slab binary, numbers array<int>, ids array<binary>")
-    late = late.groupBy("slab").agg(F.collect_list(F.struct("numbers", "ids")).alias("late"))
+    exploded = slabs.select("slab", F.inline("rest")).repartition("way").select("slab", "pieces")
+    late = exploded.mapInArrow(merged, "slab binary, ids binary").groupBy("slab").agg(F.collect_list("ids").alias("late"))
     both = slabs.select("slab", "ids", "places", "stream").join(late, "slab", "left")
     return both.select("ids", "places", "stream", "late").mapInArrow(whole, f"id {kind}, ids binary").withColumnRenamed("id", id)
 

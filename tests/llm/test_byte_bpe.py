@@ -60,6 +60,13 @@ def test_streams(numbers):
     assert byte_bpe.unpacked_stream(byte_bpe.packed_stream(np.array(numbers, np.uint32))).tolist() == numbers
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(0, 10**6), st.binary(max_size=9), max_size=20))
+def test_parts(parts):
+    numbers = sorted(parts)
+    assert byte_bpe.unpacked_parts(byte_bpe.packed_parts(numbers, [parts[n] for n in numbers])) == (numbers, [parts[n] for n in numbers])
+
+
 def test_empty_table(spark):
     ids = byte_bpe.encode(spark.createDataFrame([], SCHEMA), PATH, PATTERN)
     assert byte_bpe.digests(ids, PATH).count() == 0
