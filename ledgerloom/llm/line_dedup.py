@@ -41,22 +41,22 @@ def _lines(slim: DataFrame) -> DataFrame:
     return told.select("id", "row", "line", "h", "g", "text")
 
 
-def _block_keys(lines: DataFrame) -> DataFrame:
-    """(h, key, head, tail) for lines of (h, text) with MIN_WORDS or more.
+def _with_block_keys(lines: DataFrame) -> DataFrame:
+    """Lines with (leads, keys) for (text): a row for each block length, of which one leads; shorter lines have no keys.
 
     A key is the hash of a prefix of `head` and a suffix of `tail` words. Prefixes and suffixes are
     hashed once each and then paired; all of it is generated code over the text itself.
     """
     counted = computed(lines, {"n": F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" "), F.lit(""))) + 1})
     # the length of the binary numeral, because a rounded logarithm may fall below a power of two
-    half = F.pow(F.lit(2), F.length(F.bin("n")) - 2).cast("int")
+    half = F.when(F.col("n") >= MIN_WORDS, F.pow(F.lit(2), F.length(F.bin("n")) - 2).cast("int"))
     # the shorter of two neighbours in length may belong to the class below
     edge = (2 * F.col("half") == F.col("n")) & (F.col("n") > MIN_WORDS)
-    sized = computed(counted.filter(F.col("n") >= MIN_WORDS), {"half": half})
+    sized = computed(counted, {"half": half})
     sizes = F.when(edge, F.array("half", (F.col("half") / 2).cast("int"))).otherwise(F.array("half"))
-    blocks = sized.select("h", "text", "n", F.explode(sizes).alias("s"))
+    blocks = sized.select(*lines.columns, "n", F.posexplode(sizes).alias("at", "s"))
     most = 4
-    hashes = {f"{side}{i}": F.xxhash64(F.expr(f"substring_index(text, ' ', s * {sign * i})"))
+    hashes = {f"{side}{i}": F.when(F.col("s").isNotNull(), F.xxhash64(F.expr(f"substring_index(text, ' ', s * {sign * i})")))
               for side, sign in (("p", 1), ("q", -1)) for i in range(1, most + 1)}
     hashed = computed(blocks, {"whole": F.floor(F.col("n") / F.col("s")).cast("int")} | hashes | {"p0": F.lit(0), "q0": F.lit(0)})
     keys = []
@@ -66,7 +66,7 @@ def _block_keys(lines: DataFrame) -> DataFrame:
             keys.append(F.when(fits, F.struct(
                 F.xxhash64("s", F.lit(i), F.lit(j), f"p{i}", f"q{j}").alias("key"),
                 (F.col("s") * i).alias("head"), (F.col("s") * j).alias("tail"))))
-    return hashed.select("h", F.explode(F.array(*keys)).alias("k")).filter("k IS NOT NULL").select("h", "k.*")
+    return hashed.select(*lines.columns, (F.col("at") == 0).alias("leads"), F.array_compact(F.array(*keys)).alias("keys"))
 
 
 def _within_one(a: str, b: str) -> Column:
@@ -88,27 +88,29 @@ def _word_variants(members: DataFrame) -> DataFrame:
     words, n = F.col("words"), F.size("words")
     without = lambda i: F.array_join(F.concat(F.slice(words, 1, i), F.slice(words, i + 2, n)), " ")
     middle = F.sequence(F.col("head"), n - F.col("tail") - 1)
-    variants = F.transform(F.when(n - F.col("tail") > F.col("head"), middle).otherwise(F.array().cast("array<int>")), lambda i: F.array(
-        F.struct(F.xxhash64(i, n, without(i)).alias("key"), F.lit("s").alias("role")),
-        F.struct(F.xxhash64(F.lit(-1), n - 1, without(i)).alias("key"), F.lit("d").alias("role"))))
+    variants = F.transform(F.when(n - F.col("tail") > F.col("head"), middle).otherwise(F.array().cast("array<int>")), lambda i: once(without(i), lambda t: F.array(
+        F.struct(F.xxhash64(i, n, t).alias("key"), F.lit("s").alias("role")),
+        F.struct(F.xxhash64(F.lit(-1), n - 1, t).alias("key"), F.lit("d").alias("role")))))
     whole = F.array(F.struct(F.xxhash64(F.lit(-1), n, F.array_join(words, " ")).alias("key"), F.lit("u").alias("role")))
     return members.select("h", "first", F.inline(F.concat(F.flatten(variants), whole))).distinct()
 
 
-def beaten_lines(lines: DataFrame, first: DataFrame, again: DataFrame) -> DataFrame:
+def beaten_lines(slim: DataFrame, keyed: DataFrame, first: DataFrame) -> DataFrame:
     """(h, g) of the distinct lines that a line within one edit, but not equal, precedes.
 
-    `lines` are all lines, `first` (h, g, first) the earliest place of each distinct one; `again` are all
-    lines once more, for the second look at the few that have a partner.
+    `keyed` are the block keys (h, key, head, tail) of all lines, `first` (h, g, first) the earliest place of each distinct one. Lines
+    that have a partner are read again, from the documents of their earliest places.
     """
-    keyed = stored(_block_keys(lines.select("h", "text")), "block_keys")
     shared = keyed.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo != hi").select("key")
     members = stored(keyed.join(held(stored(shared, "shared_keys")), "key", "left_semi").distinct(), "line_groups")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("a"), F.max("h").alias("b"))
 
     wanted = held(stored(members.select("h").distinct(), "partner_hashes"))
+    places = stored(first.join(wanted, "h", "left_semi"), "partner_places")
+    sources = held(stored(places.select(F.col("first.id").alias("source")).distinct(), "partner_sources"))
+    again = _lines(slim.join(sources, F.col("id").eqNullSafe(F.col("source")), "left_semi"))
     known = again.join(wanted, "h", "left_semi").groupBy("h", "g").agg(F.min("text").alias("text"))
-    known = stored(known.join(first, ["h", "g"]).select("h", "g", "first", words_of("text").alias("words")), "partner_lines")
+    known = stored(known.join(places, ["h", "g"]).select("h", "g", "first", words_of("text").alias("words")), "partner_lines")
 
     pairs = sizes.filter("n = 2").select("a", "b").distinct()
     left = known.select(F.col("h").alias("a"), F.col("g").alias("ga"), F.col("first").alias("fa"), F.col("words").alias("wa"))
@@ -131,10 +133,11 @@ def beaten_lines(lines: DataFrame, first: DataFrame, again: DataFrame) -> DataFr
 
 def _removed(slim: DataFrame) -> DataFrame:
     """(id, row, gone): the places of the lines to remove, by document."""
-    lines = _lines(slim)
-    places = stored(lines.drop("text"), "line_places")
+    # the one pass over all texts: places and block keys
+    lines = stored(_with_block_keys(_lines(slim)).drop("text"), "lines")
+    places = lines.filter("leads").select("id", "row", "line", "h", "g")
     first = stored(places.groupBy("h", "g").agg(F.min(F.struct("id", "line")).alias("first")), "first_lines")
-    beaten = beaten_lines(lines, first, lines).withColumn("beaten", F.lit(True))
+    beaten = beaten_lines(slim, lines.select("h", F.inline("keys")), first).withColumn("beaten", F.lit(True))
     verdict = first.join(beaten, ["h", "g"], "left")
     gone = places.join(verdict, ["h", "g"]).filter(
         F.coalesce("beaten", F.lit(False)) | ~F.struct("id", "line").eqNullSafe(F.col("first")))
