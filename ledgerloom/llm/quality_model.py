@@ -4,20 +4,23 @@ Heuristic labellers vote for or against a property of a document, or abstain. Ex
 counts of vote patterns estimates how often each labeller is right and each pattern's posterior. The posteriors are
 the soft labels on which a linear scorer over hashed features is fitted; the scorer decides.
 
-Patterns are counted over all documents; there are at most 3 to the power of the labellers, whatever the corpus.
+Texts are measured once: votes, and the numbers of the features that a document shows, are stored, and all that follows reads
+those. Patterns are counted over all documents; there are at most 3 to the power of the labellers, whatever the corpus.
 The scorers are fitted on a sample of at most about `sample` documents, chosen by hash, and applied to every
 document. The toxic lexicon, one labeller's source, comes from at most `labelled` rows with hand labels.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +59,7 @@ JUNK = (
     Labeller("lines", "CASE WHEN n_dup_lines * 2 > n_lines THEN true END"),
 )
 TOXIC = (
-    Labeller("insult", "n_insults > 0"),
+    Labeller("insult", "CASE WHEN n_insults > 0 THEN true END"),
     Labeller("lexicon", "CASE WHEN n_toxic >= 2 THEN true WHEN n_toxic = 0 THEN false END"),
     Labeller("lexicon_share", "CASE WHEN n_toxic * 100 > n_terms THEN true WHEN n_toxic = 0 THEN false END"),
 )
@@ -137,22 +140,51 @@ def posteriors(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, flo
 
 
 def features(frame: DataFrame, name: str = "features") -> DataFrame:
-    """Hashed presence of terms, and of the size classes of the measures per word."""
+    """Numbers of the features that a row of `measured` shows: its terms, and the size classes of its measures per word."""
     sized = [F.concat(F.lit(f"{m}="), F.round(F.log2(1 + 50 * F.col(m) / F.greatest("n_words", F.lit(1)))).cast("int")) for m in MEASURES]
     variety = F.concat(F.lit("terms="), F.floor(F.col("n_terms") * 10 / F.greatest("n_words", F.lit(1))).cast("int"))
-    all_terms = frame.withColumn("marks", F.concat("terms", F.array(*sized, variety)))
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="marks", outputCol=name).transform(all_terms).drop("marks")
+    numbers = F.transform(F.concat("terms", F.array(*sized, variety)), lambda t: F.pmod(F.xxhash64(t), F.lit(FEATURES)).cast("int"))
+    return frame.withColumn(name, F.array_sort(F.array_distinct(numbers)))
+
+
+@F.udf(VectorUDT())
+def _vector(numbers):
+    return Vectors.sparse(FEATURES, numbers, [1.0] * len(numbers))
 
 
 def fit_scorer(sampled: DataFrame, posterior: str) -> LogisticRegressionModel | None:
     """Logistic regression on soft labels: each document once for and once against, weighted by its posterior."""
     p = F.col(posterior)
-    soft = sampled.select("features", F.explode(F.array(
+    soft = sampled.select("vector", F.explode(F.array(
         F.struct(F.lit(1.0).alias("label"), p.alias("weight")), F.struct(F.lit(0.0).alias("label"), (1 - p).alias("weight")))).alias("v"))
-    soft = soft.select("features", "v.*").filter("weight > 1e-6")
+    soft = soft.select("vector", "v.*").filter("weight > 1e-6")
     if soft.select("label").distinct().count() < 2:
         return None
-    return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=40, regParam=1e-4, standardization=False).fit(soft)
+    return LogisticRegression(featuresCol="vector", labelCol="label", weightCol="weight", maxIter=40, regParam=1e-4, standardization=False).fit(soft)
+
+
+def scored(rows: DataFrame, models: dict[str, LogisticRegressionModel | None]) -> DataFrame:
+    """Rows of (id, features, p_<kind>) with <kind>_score: the probability that a kind's linear scorer gives, without one the posterior."""
+    linear = {k: (m.coefficients.toArray(), m.intercept) for k, m in models.items() if m is not None}
+    kinds, columns = list(models), [c for c in rows.columns if c != "features"]
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(batch.schema.names.index("features"))
+            numbers, n = lists.flatten().to_numpy(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            told = {c: batch.column(batch.schema.names.index(c)) for c in columns}
+            for k in kinds:
+                if k not in linear:
+                    told[f"{k}_score"] = told[f"p_{k}"]
+                    continue
+                weights, intercept = linear[k]
+                # every document has features; a running sum would lose digits over a batch
+                sums = np.add.reduceat(weights[numbers], np.cumsum(n) - n) if len(n) else np.zeros(0)
+                told[f"{k}_score"] = pa.array(1 / (1 + np.exp(-np.clip(sums + intercept, -700, 700))))
+            yield pa.RecordBatch.from_arrays(list(told.values()), list(told))
+
+    fields = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns] + [f"{k}_score double" for k in kinds]
+    return rows.mapInArrow(of, ", ".join(fields))
 
 
 def score(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE, labelled: int = LABELLED) -> DataFrame:
@@ -163,8 +195,9 @@ def score(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     document has a property, its posterior stands for the score. Labels of unknown or NULL ids count for nothing. An
     empty table gives no rows. Other columns are not read.
     """
-    frame = measured(docs, lexicon(docs, labels, id, text, labelled=labelled), id, text)
-    votes = frame.withColumns({"junk": pattern(JUNK), "toxic": pattern(TOXIC)})
+    frame = features(measured(docs, lexicon(docs, labels, id, text, labelled=labelled), id, text))
+    # the one pass over all texts
+    votes = stored(frame.select("id", "row", "features", pattern(JUNK).alias("junk"), pattern(TOXIC).alias("toxic")), "votes")
     # bounded: patterns, not documents
     counts = votes.groupBy("junk", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
     total, tables = sum(r.n for r in counts), {}
@@ -174,19 +207,12 @@ def score(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
             own[r[kind]] = own.get(r[kind], 0) + r.n
         found, _ = posteriors(own)
         tables[kind] = F.create_map(*[F.lit(x) for x in chain(*found.items())]) if found else F.create_map()
-    soft = computed(votes, {
-        f"p_{k}": F.coalesce(F.try_element_at(tables[k].cast("map<string,double>"), F.col(k)), F.lit(0.0)) for k in tables})
+    soft = votes.select("id", "row", "features", *[
+        F.coalesce(F.try_element_at(tables[k].cast("map<string,double>"), F.col(k)), F.lit(0.0)).alias(f"p_{k}") for k in tables])
     share = min(1.0, sample / max(1, total))
     hashed = F.pmod(F.xxhash64("row", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30))
-    slim = ("id", "row", "terms", "n_words", "n_terms", *MEASURES, "p_junk", "p_toxic")
-    picked = features(stored(soft.filter(hashed).select(*slim), "scorer_sample"))
-    out = features(soft.select(*slim))
-    for kind in tables:
-        model = fit_scorer(picked, f"p_{kind}")
-        if model is None:
-            out = out.withColumn(f"{kind}_score", F.col(f"p_{kind}"))
-            continue
-        model.setProbabilityCol("probability").setRawPredictionCol("raw").setPredictionCol("predicted")
-        out = model.transform(out).withColumn(f"{kind}_score", F.get(vector_to_array("probability"), 1)).drop("raw", "probability", "predicted")
+    picked = soft.filter(hashed).select(_vector("features").alias("vector"), *[f"p_{k}" for k in tables])
+    picked = stored(picked, "scorer_sample")
+    out = scored(soft.drop("row"), {kind: fit_scorer(picked, f"p_{kind}") for kind in tables})
     fine = (F.col("junk_score") <= 0.5) & (F.col("toxic_score") <= 0.5)
     return out.select(F.col("id").alias(id), "p_junk", "p_toxic", "junk_score", "toxic_score", fine.alias("kept"))
