@@ -1,9 +1,9 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule is a predicate in generated code. On a bounded sample every rule is timed and its share of rejected
-documents counted; the full pass then tries the rules in the order of rejections per second, and a
-document that one rule rejects is not shown to the next. The order changes the cost, never the verdict,
-because a document is kept exactly when no rule rejects it.
+Each rule is a predicate in generated code. On a sample of bounded size every rule is timed, less the time that a rule without
+work takes, and the sets of rules that reject a document are counted. The full pass then tries first the rule with most rejections
+per second, next the one with most per second among documents that are left, and so on; a document that one rule rejects is not shown
+to the next. The order changes the cost, never the verdict, because a document is kept exactly when no rule rejects it.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from ledgerloom.llm.common import computed, once, stored, text_of, words_of
 
 #: documents in the sample on which costs and selectivities are estimated
 SAMPLE = 2000
-#: repetitions of a timing, of which the shortest counts
-REPEATS = 2
+#: repetitions of a timing, of which the shortest counts, and of every document in it
+REPEATS, COPIES = 2, 10
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
@@ -99,27 +99,51 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: dict
     return computed(scope, base_metrics(F.col("text"), F.col("words")))
 
 
-def profile(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> list[tuple[Rule, float, float]]:
-    """(rule, seconds, share rejected) on a sample of at most `sample` documents, written to the shared folder.
+@dataclass(frozen=True)
+class Profile:
+    """What a sample tells: seconds of each rule, and documents by the set of rules that reject them."""
 
-    The sample is what the first partitions hand out, so it costs no pass over the corpus. On an empty
-    table every share is zero.
-    """
-    rows = stored(measured(docs.limit(sample), id, text), "rule_sample")
-    found = []
-    for rule in rules:
-        seconds, share = [], 0.0
-        for _ in range(REPEATS):
-            began = time.perf_counter()
-            share = rows.agg(F.avg(F.coalesce(F.expr(rule.rejects), F.lit(False)).cast("int"))).first()[0] or 0.0
-            seconds.append(time.perf_counter() - began)
-        found.append((rule, min(seconds), share))
-    return found
+    rules: tuple[Rule, ...]
+    seconds: tuple[float, ...]
+    rejected: dict[tuple[bool, ...], int]
 
 
-def ordered(profiled: list[tuple[Rule, float, float]]) -> tuple[Rule, ...]:
-    """Rules by rejections per second, most first; ties keep the given order."""
-    return tuple(rule for rule, _, _ in sorted(profiled, key=lambda x: -x[2] / max(x[1], 1e-9)))
+def sampled(docs: DataFrame, most: int) -> DataFrame:
+    """About `most` rows, each drawn by its own chance in its own partition: no task gathers them."""
+    total = docs.count()
+    return docs if total <= most else docs.sample(fraction=most / total, seed=1)
+
+
+def profile(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Profile:
+    """Rules measured on about `sample` documents, which are read once and written to the shared folder with their metrics."""
+    rows = stored(measured(sampled(docs.select(id, text), sample), id, text), "rule_sample")
+    rejects = [F.coalesce(F.expr(rule.rejects), F.lit(False)) for rule in rules]
+    sets = rows.groupBy(F.array(*rejects).alias("sets")).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 2 to the power of the rules
+    copies = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(COPIES))))
+
+    def seconds(verdict: Column) -> float:
+        taken = []
+        for _ in range(REPEATS):
+            began = time.perf_counter()
+            copies.agg(F.count_if(verdict)).collect()
+            taken.append(time.perf_counter() - began)
+        return min(taken)
+
+    # reads what every rule may read, and decides nothing
+    empty = seconds(F.expr("n_words < 0 AND size(words) < 0 AND length(text) < 0"))
+    return Profile(rules, tuple(max(1e-4, seconds(r) - empty) for r in rejects), {tuple(r.sets): r.n for r in sets})
+
+
+def ordered(found: Profile) -> tuple[Rule, ...]:
+    """Rules by rejections per second among the documents that the rules before leave; ties keep the given order."""
+    left, order, sets = list(range(len(found.rules))), [], found.rejected
+    while left:
+        caught = {i: sum(n for s, n in sets.items() if s[i]) for i in left}
+        best = max(left, key=lambda i: (caught[i] / found.seconds[i], -i))
+        order.append(found.rules[best])
+        left.remove(best)
+        sets = {s: n for s, n in sets.items() if not s[best]}
+    return tuple(order)
 
 
 def cascade(rules: tuple[Rule, ...]) -> Column:

@@ -51,9 +51,45 @@ def test_verdict_does_not_depend_on_the_order(spark, values):
     assert (20, False) in want and (21, False) in want and (1, True) in want
 
 
-def test_order_is_by_rejections_per_second():
-    a, b, c = (q.Rule(n, "true") for n in "abc")
-    assert q.ordered([(a, 1.0, 0.1), (b, 0.5, 0.2), (c, 0.1, 0.0)]) == (b, a, c)
+def rejected(text):
+    """The rules by plain Python, in their order."""
+    text, words = text or "", WORD.findall(text or "")
+    n, chars, symbols, dup_lines, repeated = metrics(text)
+    count = lambda pattern: len(re.findall(pattern, text, re.ASCII))
+    return [
+        symbols * 10 > n * 3, dup_lines * 2 > len(text.split("\n")), chars > 25 * n,
+        n >= 50 and len(set(words)) * 20 < n and repeated * 10 > n,
+        count(r"(?<!\S)(\S+)\s+(?=\1(?!\S))") * 10 > n * 3 and n >= 10,
+        count("!!") * 4 > n, count("[A-Z]") * 2 > chars and n >= 10]
+
+
+def test_verdicts_equal_plain_rules(spark, values):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    odd = ROWS[:9] + ROWS[10:] + [
+        (30, " ".join(w + "&&&" for w in PROSE.split())), (31, PROSE.upper()), (32, "!! ".join(PROSE.split())), (33, "x" * 40 + " " + "y" * 400 + " " + PROSE),
+        (34, " ".join(f"{w} {w}" for w in PROSE.split())), (35, "\n".join([PROSE] * 5)), (36, ("ab cd " * 60).strip())]
+    rows = [tuple(r) for r in docs.collect()] + odd
+    want = []
+    for i, t in rows:
+        n, *_, repeated = metrics(t)
+        want.append((i, not (n < 10 or 100 * repeated > 20 * n) and not any(rejected(t))))
+    assert values(q.judged(docs.unionByName(frame(spark, odd).select("doc_id", "text"))), "doc_id", "kept") == sorted(want, key=repr)
+    assert len({k for _, k in want}) == 2
+
+
+def test_order_is_by_rejections_per_second_of_what_is_left():
+    a, b, c = rules = tuple(q.Rule(n, "true") for n in "abc")
+    assert q.ordered(q.Profile(rules, (1.0, 0.5, 0.1), {(True, False, False): 1, (False, True, False): 2, (False,) * 3: 7})) == (b, a, c)
+    # all that c rejects a rejects too: once a has been tried, c has nothing left
+    assert q.ordered(q.Profile(rules, (1.0, 9.0, 1.0), {(True, False, True): 5, (True, False, False): 1, (False, True, False): 2})) == (a, b, c)
+
+
+def test_the_sample_is_spread_over_tasks(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('some text ', id) AS text").repartition(4)
+    some = q.sampled(docs, 1000)
+    assert 700 < some.count() < 1300 and "SinglePartition" not in some._jdf.queryExecution().executedPlan().toString()
+    found = q.profile(docs, sample=1000)
+    assert sum(found.rejected.values()) < 1300 and min(found.seconds) > 0
 
 
 def test_keep_good_returns_rows_unchanged(spark, values):
