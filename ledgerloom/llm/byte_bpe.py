@@ -38,7 +38,7 @@ SAMPLE = 20_000
 #: distinct pre-tokens that a counting task holds before it hands them on
 COUNTED = 100_000
 #: pre-tokens of a slab; a longer text is a slab of its own
-SLAB = 1 << 17
+SLAB = 1 << 19
 #: ways into which exploded pre-tokens part: so many documents have one of their own, within these bounds
 DOCS_A_WAY, WAYS = 20_000, (32, 4096)
 #: pre-tokens whose ids a task keeps while it merges; beyond that it may merge one again
@@ -103,6 +103,7 @@ def _counted(texts: DataFrame, pattern: str) -> DataFrame:
     return texts.mapInArrow(of, "piece string, uses bigint").groupBy("piece").agg(F.sum("uses").alias("uses"))
 
 
+@lru_cache(maxsize=4)
 def _kind(path: str) -> str:
     return "<u2" if max(ranks(path).values()) < 1 << 16 else "<u4"
 
@@ -183,7 +184,7 @@ def packed_parts(numbers: list[int], parts: list[bytes]) -> bytes:
     """Rising numbers, and the bytes that belong to each, as one compressed binary."""
     heads = np.concatenate([np.diff(numbers, prepend=0), [len(p) for p in parts]]).astype("<u4")
     planes = heads.view(np.uint8).reshape(-1, 4).T.tobytes()
-    return zstandard.compress(b"".join([len(numbers).to_bytes(4, "little"), planes, *parts]), 1)
+    return zstandard.compress(b"".join([len(numbers).to_bytes(4, "little"), planes, *parts]), 3)
 
 
 def unpacked_parts(packed: bytes) -> tuple[list[int], list[bytes]]:
