@@ -14,6 +14,10 @@ from ledgerloom.operators.joins import with_business_keys
 from ledgerloom.operators.rules import strict_split
 
 
+#: where a row came from, kept if the raw rows tell it: its load, and the number of its record
+TAGS = ("load", "record")
+
+
 def since_batch(raw: DataFrame, batch_id: str) -> DataFrame:
     """Batches from the given one on, in text order."""
     return raw.filter(F.col("_batch_id") >= batch_id)
@@ -52,7 +56,7 @@ def typed(rows: DataFrame) -> DataFrame:
         "country_code",
         "description",
         "_batch_id",
-        *[c for c in ("load",) if c in rows.columns],
+        *[c for c in TAGS if c in rows.columns],
     )
 
 
@@ -84,7 +88,7 @@ def with_audit(rows: DataFrame, created_at: Column | None = None, keep_batch: bo
     """Final fact columns. The batch id is kept by default because incremental runs need it."""
     now = created_at if created_at is not None else F.current_timestamp()
     stamped = rows.withColumns({"_created_timestamp": now, "_updated_timestamp": now})
-    tags = [c for c in ("_batch_id", "load") if keep_batch and c in stamped.columns]
+    tags = [c for c in ("_batch_id", *TAGS) if keep_batch and c in stamped.columns]
     return stamped.select(*schemas.FACT.names, *tags)
 
 

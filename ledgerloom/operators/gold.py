@@ -108,10 +108,12 @@ def stats_with_channel(fact: DataFrame) -> DataFrame:
 
 def customer_analytics(fact: DataFrame, dim_customer: DataFrame, as_of: Column | None = None) -> DataFrame:
     day = as_of if as_of is not None else last_day_of(fact)
-    rows = with_dimension(
-        stats_with_channel(fact), dim_customer, "customer_key",
-        ["customer_id", "full_name", "country_code", "customer_since"],
-    )
+    return customer_labels(stats_with_channel(fact), dim_customer, day)
+
+
+def customer_labels(stats: DataFrame, dim_customer: DataFrame, day: Column) -> DataFrame:
+    """Statistics per customer with the customer's attributes, and what follows from them on a day."""
+    rows = with_dimension(stats, dim_customer, "customer_key", ["customer_id", "full_name", "country_code", "customer_since"])
     return rows.withColumns({
         "days_as_customer": F.datediff(day, F.col("customer_since")),
         "avg_transactions_per_month": F.col("total_transactions") / F.greatest("active_months", F.lit(1)),
@@ -154,10 +156,12 @@ def merchant_analytics(fact: DataFrame, dim_merchant: DataFrame) -> DataFrame:
         F.min("transaction_timestamp").alias("first_transaction_date"),
         F.max("transaction_timestamp").alias("last_transaction_date"),
     )
-    rows = with_dimension(
-        stats, dim_merchant, "merchant_key",
-        ["merchant_id", "merchant_name", "category", "country_code", "city"],
-    )
+    return merchant_labels(stats, dim_merchant)
+
+
+def merchant_labels(stats: DataFrame, dim_merchant: DataFrame) -> DataFrame:
+    """Statistics per merchant with the merchant's attributes and tier."""
+    rows = with_dimension(stats, dim_merchant, "merchant_key", ["merchant_id", "merchant_name", "category", "country_code", "city"])
     active_days = F.datediff(F.col("last_transaction_date"), F.col("first_transaction_date"))
     return rows.withColumns({
         "avg_daily_transactions": F.col("total_transactions") / F.greatest(active_days, F.lit(1)),

@@ -86,15 +86,38 @@ def orphan_rows(rows: DataFrame, column: str, reference: DataFrame, reference_co
     return keyed.join(known, F.col(column) == F.col("_known"), "left_anti")
 
 
-def orphan_report(checks: list[tuple[str, DataFrame, str, DataFrame, str]], include_null: bool) -> DataFrame:
-    """One row per named foreign-key check."""
-    report = None
-    for name, rows, column, reference, reference_column in checks:
-        one = orphan_counts(rows, column, reference, reference_column, include_null).select(
-            F.lit(name).alias("check_name"), "orphan_rows", "keyed_rows", "total_rows"
-        )
-        report = one if report is None else report.unionByName(one)
-    return report
+def foreign_keys(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(name, value, n) of all foreign keys of the rows, from one scan: values are counted before they move."""
+    each = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
+    return rows.select(F.inline(each)).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _known_keys(references: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    known = None
+    for name, reference, column in references:
+        one = reference.select(F.lit(name).alias("name"), F.col(column).cast("string").alias("value")).distinct()
+        known = one if known is None else known.unionByName(one)
+    return known
+
+
+def orphan_keys(rows: DataFrame, references: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """(name, value, n) of the values, not NULL, that no reference (foreign key, table, its column) has. One scan of the rows."""
+    used = foreign_keys(rows, [name for name, _, _ in references]).filter(F.col("value").isNotNull())
+    return used.join(_known_keys(references), ["name", "value"], "left_anti")
+
+
+def orphan_summary(rows: DataFrame, references: list[tuple[str, DataFrame, str]], include_null: bool) -> DataFrame:
+    """Per foreign key: rows without a partner, rows with a key, all rows. One scan of the rows for all keys."""
+    used = foreign_keys(rows, [name for name, _, _ in references])
+    known = _known_keys(references).withColumn("known", F.lit(True))
+    told = used.join(known, ["name", "value"], "left")
+    orphan = F.col("known").isNull() & (F.lit(include_null) | F.col("value").isNotNull())
+    some = lambda when: F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0))
+    sums = told.groupBy("name").agg(some(orphan).alias("orphan_rows"), some(F.col("value").isNotNull()).alias("keyed_rows"), F.sum("n").alias("total_rows"))
+    # a table without rows has its line too
+    names = rows.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n, _, _ in references])).alias("name"))
+    whole = F.broadcast(names).join(sums, "name", "left")
+    return whole.select(F.col("name").alias("check_name"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("orphan_rows", "keyed_rows", "total_rows")])
 
 
 def without_listed(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:

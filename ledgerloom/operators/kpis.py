@@ -31,6 +31,9 @@ def rolling_mean(column: str, rows: int) -> Column:
     return F.sum(column).over(frame).cast("double") / F.count(column).over(frame)
 
 
+DAY_ATTRIBUTES = ["full_date", "year", "month", "week_of_year", "day_of_week", "is_weekend"]
+
+
 def activity(fact: DataFrame, keys: list[str]) -> DataFrame:
     return fact.groupBy(*keys).agg(
         row_count().alias("transaction_count"),
@@ -43,10 +46,7 @@ def activity(fact: DataFrame, keys: list[str]) -> DataFrame:
 
 def daily_base(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Completed transactions per day with the calendar attributes of the day."""
-    return with_date(
-        activity(completed(fact), ["date_key"]), dim_date,
-        ["full_date", "year", "month", "week_of_year", "day_of_week", "is_weekend"],
-    )
+    return with_date(activity(completed(fact), ["date_key"]), dim_date, DAY_ATTRIBUTES)
 
 
 def with_rolling(daily: DataFrame, rows: int) -> DataFrame:
@@ -66,8 +66,12 @@ def with_trend(daily: DataFrame) -> DataFrame:
 
 
 def daily_kpis(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    rolled = with_rolling(with_rolling(daily_base(fact, dim_date), 7), 30)
-    return with_trend(with_dod_change(rolled))
+    return daily_series(daily_base(fact, dim_date))
+
+
+def daily_series(daily: DataFrame) -> DataFrame:
+    """Days with their rolling means, change and trend."""
+    return with_trend(with_dod_change(with_rolling(with_rolling(daily, 7), 30)))
 
 
 def daily_kpis_nb(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -97,6 +101,10 @@ def monthly_base(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         F.count_distinct("merchant_key").alias("active_merchants"),
         F.count_distinct("date_key").alias("active_days"),
     )
+    return with_daily_rates(monthly)
+
+
+def with_daily_rates(monthly: DataFrame) -> DataFrame:
     return monthly.withColumns({
         "revenue_per_day": ratio(F.col("total_revenue").cast("decimal(18,2)"), F.col("active_days"), 2),
         "transactions_per_day": F.round(F.try_divide("transaction_count", "active_days"), 2),

@@ -1,15 +1,22 @@
-"""Quarantine: rejected rows as JSON with their reason, reports on them, and replay."""
+"""Quarantine: rejected rows as JSON with their reason, reports on them, and replay.
+
+A record that breaks several rules has a row for each. Where rows carry `record`, the number of the record, and `first`, whether
+the row is of its first reason, those of the first reason are the deliveries, each once: nothing is grouped to find them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.functions import reference_data as ref
 from ledgerloom.functions.columns import pct
-from ledgerloom.operators.joins import orphan_rows
+from ledgerloom.operators.joins import orphan_keys
 from ledgerloom.operators.rules import REASON, REASONS, strict_reason
+from ledgerloom.operators.validation import record_of
+from ledgerloom.session import new_location
+from ledgerloom.sources import versions
 
 
 def to_quarantine(
@@ -21,8 +28,9 @@ def to_quarantine(
 ) -> DataFrame:
     """Quarantine rows. The batch id defaults to the row's own `_batch_id`, where it has one."""
     now = at if at is not None else F.current_timestamp()
-    record = [c for c in rejected.columns if c not in (reason_column, REASONS, "_load", "load")]
-    load = [F.col("load")] if "load" in rejected.columns else []
+    told = ("record", "first", "load")
+    record = [c for c in rejected.columns if c not in (reason_column, REASONS, "_load", *told)]
+    load = [F.col(c) for c in told if c in rejected.columns]
     if batch_id is not None or "_batch_id" not in record:
         batch = F.lit(batch_id).cast("string")
     else:
@@ -39,6 +47,21 @@ def to_quarantine(
     )
 
 
+def by_reason(records: DataFrame, columns: list[str]) -> DataFrame:
+    """Rejected records with the array of their reasons, as rows by reason with `record` and `first`; `columns` make up a record."""
+    told = records.withColumn("record", record_of(columns))
+    rows = told.withColumn(REASON, F.explode(REASONS))
+    return rows.withColumn("first", F.col(REASON) == F.array_min(REASONS)).drop(REASONS)
+
+
+def write(spark: SparkSession, target: str, rejected: DataFrame, source_table: str, batch_id: str | None = None, at: Column | None = None) -> int:
+    """Add rejected rows to the quarantine, a table with commits by day; how many there are. Nothing rejected writes nothing."""
+    if rejected.isEmpty():
+        return 0
+    rows = to_quarantine(rejected, source_table, batch_id=batch_id, at=at)
+    return versions.append(spark, target, rows, partition_by=["quarantine_date"])
+
+
 def to_quarantine_nb(
     invalid: DataFrame, currencies: list[str] = ref.STRICT_CURRENCIES, at: Column | None = None
 ) -> DataFrame:
@@ -104,27 +127,26 @@ def replay(
     batch_id: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Rejected records as raw columns, with their first rejection.
+    """Rejected records as raw columns, with their first rejection; `load` and `record` where the rows have them.
 
     The declared schema restores fields the JSON dropped because they were NULL. A record
-    quarantined under several reasons comes back once per delivery of it: each reason holds
-    one copy per delivery, so the copies of the first reason are the deliveries.
+    quarantined under several reasons comes back once per delivery of it. Where rows do not say which is of the first reason, that
+    is found by hashes of the records, and a record's text moves only with the row that stays.
     """
     rows = lookup(quarantine, source_table, None, batch_id, limit)
-    per_reason = rows.groupBy("original_record", "rejection_reason").agg(
-        F.count(F.lit(1)).alias("n"), F.min("quarantine_timestamp").alias("first_at")
-    )
-    per_record = per_reason.groupBy("original_record").agg(
-        F.max("n").alias("copies"),
-        F.min("rejection_reason").alias("_original_rejection_reason"),
-        F.min("first_at").alias("_original_quarantine_timestamp"),
-    )
-    return per_record.select(
-        F.from_json("original_record", schema).alias("record"),
-        "_original_quarantine_timestamp",
-        "_original_rejection_reason",
-        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"),
-    ).select("record.*", "_original_quarantine_timestamp", "_original_rejection_reason")
+    if "first" in rows.columns:
+        deliveries = rows.filter("first")
+    else:
+        told = [F.xxhash64(F.lit(i), F.col("original_record")).alias(f"_h{i}") for i in (1, 2)]
+        hashed = rows.select("*", *told)
+        least = hashed.groupBy("_h1", "_h2").agg(F.min("rejection_reason").alias("_least"))
+        deliveries = hashed.join(least, ["_h1", "_h2"]).filter(F.col("rejection_reason") == F.col("_least"))
+    kept = [c for c in ("load", "record") if c in rows.columns]
+    return deliveries.select(
+        F.from_json("original_record", schema).alias("_fields"), *kept,
+        F.col("quarantine_timestamp").alias("_original_quarantine_timestamp"),
+        F.col("rejection_reason").alias("_original_rejection_reason"),
+    ).select("_fields.*", *kept, "_original_quarantine_timestamp", "_original_rejection_reason")
 
 
 def daily_trend(quarantine: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
@@ -149,11 +171,15 @@ def rate_alert(total_rows: DataFrame, rejected_records: DataFrame, limit_pct: fl
 
 
 def orphan_quarantine(rows: DataFrame, references: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """Rows with an unknown foreign key, once per broken key, tagged by the key's name."""
-    report = None
-    for column, reference, reference_column in references:
-        broken = orphan_rows(rows, column, reference, reference_column).withColumn(
-            REASON, F.lit(f"orphan_{column}")
-        )
-        report = broken if report is None else report.unionByName(broken)
-    return report
+    """Rows with an unknown foreign key, once per broken key, tagged by the key's name.
+
+    One scan finds the unknown values of all keys, which are written to the shared folder; one more finds their rows. Few
+    values are broadcast; many are joined by shuffle, in which adaptive execution splits a hot one.
+    """
+    spark, place = rows.sparkSession, new_location(rows.sparkSession, "orphan_keys")
+    orphan_keys(rows, references).select("name", "value").write.parquet(place)
+    broken = spark.read.schema("name string, value string").parquet(place)
+    each = F.array(*[F.struct(F.lit(c).alias("_name"), F.col(c).cast("string").alias("_value")) for c, _, _ in references])
+    keyed = rows.select("*", F.inline(each)).filter(F.col("_value").isNotNull())
+    found = keyed.join(broken, (F.col("_name") == F.col("name")) & (F.col("_value") == F.col("value")))
+    return found.select(*rows.columns, F.concat(F.lit("orphan_"), "name").alias(REASON))

@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerloom import schemas
 from ledgerloom.operators import reports, validation
 from ledgerloom.plans import bronze, gold, silver
+from ledgerloom.sources import versions
 from ledgerloom.sources.readers import read_table
-from ledgerloom.sources.sinks import overwrite
 
 SOURCES = ["transactions", "customers", "accounts", "merchants"]
 DIMENSIONS = ["dim_customer", "dim_account", "dim_merchant", "dim_date"]
@@ -43,32 +45,39 @@ def ingest(deliveries: dict[str, DataFrame], layout: Layout, batch_id: str, at:
     }
 
 
+def calendar_years(spark: SparkSession, fact_table: str, years: tuple[int, int] | None) -> tuple[int, int]:
+    """Full years that cover all days of the fact, by its entries, and the years asked for."""
+    store, table = versions.resolve(spark, fact_table)
+    listed = versions.entries(spark, versions.version(spark, store), table)
+    low, high = listed.agg(F.min("low_date_key"), F.max("high_date_key")).first()
+    spans = [years] if years else []
+    spans += [(low // 10000, high // 10000)] if low is not None else []
+    return (min(a for a, _ in spans), max(b for _, b in spans)) if spans else (2020, 2030)
+
+
 def build_silver(
-    spark: SparkSession, layout: Layout, incremental: bool, years: tuple[int, int], at: Column | None = None,
+    spark: SparkSession, layout: Layout, incremental: bool, years: tuple[int, int] | None = None, at: Column | None = None,
     gate: str | None = None,
 ) -> None:
+    fact = layout.silver("fact_transactions")
     silver.transform_transactions(
-        spark, layout.raw("transactions"), layout.silver("fact_transactions"), layout.silver("quarantine"),
-        incremental=incremental, at=at, gate=gate,
+        spark, layout.raw("transactions"), fact, layout.silver("quarantine"), incremental=incremental, at=at, gate=gate,
     )
     silver.build_all_dimensions(
-        spark, {s: layout.raw(s) for s in SOURCES[1:]}, {d: layout.silver(d) for d in DIMENSIONS}, *years
+        spark, {s: layout.raw(s) for s in SOURCES[1:]}, {d: layout.silver(d) for d in DIMENSIONS}, *calendar_years(spark, fact, years)
     )
 
 
-def build_gold(spark: SparkSession, layout: Layout, as_of: Column | None = None) -> dict[str, int]:
-    fact, customer, merchant, date = (
-        read_table(spark, layout.silver(t))
-        for t in ("fact_transactions", "dim_customer", "dim_merchant", "dim_date")
-    )
-    tables = gold.analytics_tables(fact, customer, merchant, date, as_of)
-    return gold.write_all(tables | gold.kpi_tables(fact, date, as_of), layout.gold)
+def build_gold(spark: SparkSession, layout: Layout, as_of: Column | None = None, at: Column | None = None) -> dict[str, int]:
+    customer, merchant, date = (read_table(spark, layout.silver(t)) for t in ("dim_customer", "dim_merchant", "dim_date"))
+    return gold.refresh(spark, layout.silver("fact_transactions"), customer, merchant, date, layout.gold, as_of, at)
 
 
 def validate(spark: SparkSession, layout: Layout) -> DataFrame:
     raw = read_table(spark, layout.raw("transactions"))
     fact = read_table(spark, layout.silver("fact_transactions"))
-    rejected = read_table(spark, layout.silver("quarantine")).select("original_record").distinct()
+    rejected = read_table(spark, layout.silver("quarantine")).filter("first")
+    raw = raw.withColumn("record", validation.record_of(schemas.BUSINESS_COLUMNS["transactions"]))
     checks = [
         validation.null_keys(fact, "transaction_key"),
         validation.duplicate_keys(fact, "transaction_key"),
@@ -104,11 +113,11 @@ class ValidationError(RuntimeError):
 
 def run(
     spark: SparkSession, deliveries: dict[str, DataFrame], layout: Layout, batch_id: str,
-    years: tuple[int, int] = (2020, 2030), at: Column | None = None, as_of: Column | None = None,
+    years: tuple[int, int] | None = None, at: Column | None = None, as_of: Column | None = None,
     gate: str | None = None, strict: bool = False,
 ) -> DataFrame:
     """Ingest a batch, bring silver, its histories and gold up to date, validate, and return the
-    rows per table.
+    rows per table. The calendar covers the years asked for and all that the facts have.
 
     `gate` stops the silver step as in `transform_transactions`. The validation report is
     written to the gold layer; with `strict` a failed check is an error.
@@ -117,8 +126,8 @@ def run(
     build_silver(spark, layout, incremental=True, years=years, at=at, gate=gate)
     silver.build_dim_customer(spark, layout.raw("customers"), layout.silver("dim_customer_history"))
     silver.build_dim_account(spark, layout.raw("accounts"), layout.silver("dim_account_history"))
-    build_gold(spark, layout, as_of)
-    overwrite(validate(spark, layout), layout.validation)
+    build_gold(spark, layout, as_of, at)
+    versions.overwrite(spark, layout.validation, validate(spark, layout))
     failed = read_table(spark, layout.validation).filter("NOT coalesce(passed, false)")
     if strict and not failed.isEmpty():
         raise ValidationError(", ".join(r.check_name for r in failed.select("check_name").collect()))
@@ -127,16 +136,15 @@ def run(
 
 def full_reprocess(
     spark: SparkSession, layout: Layout, rebuilt: Layout,
-    years: tuple[int, int] = (2020, 2030), at: Column | None = None, as_of: Column | None = None,
+    years: tuple[int, int] | None = None, at: Column | None = None, as_of: Column | None = None,
 ) -> DataFrame:
-    """Rebuild silver and gold from the raw tables into a new location."""
-    silver.transform_transactions(
-        spark, layout.raw("transactions"), rebuilt.silver("fact_transactions"), rebuilt.silver("quarantine"),
-        incremental=False, at=at,
-    )
+    """Rebuild silver and gold from the raw tables. `rebuilt` may be the layout itself: each table's commit flips its readers
+    from the old contents to the new."""
+    fact = rebuilt.silver("fact_transactions")
+    silver.transform_transactions(spark, layout.raw("transactions"), fact, rebuilt.silver("quarantine"), incremental=False, at=at)
     silver.build_all_dimensions(
-        spark, {s: layout.raw(s) for s in SOURCES[1:]}, {d: rebuilt.silver(d) for d in DIMENSIONS}, *years
+        spark, {s: layout.raw(s) for s in SOURCES[1:]}, {d: rebuilt.silver(d) for d in DIMENSIONS}, *calendar_years(spark, fact, years)
     )
-    build_gold(spark, rebuilt, as_of)
+    build_gold(spark, rebuilt, as_of, at)
     tables = {t: read_table(spark, rebuilt.silver(t)) for t in ("fact_transactions", "quarantine", *DIMENSIONS)}
     return reports.layer_record_counts(tables)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom import schemas
 from ledgerloom.operators import dimensions, facts, quality, quarantine, rules
+from ledgerloom.operators.validation import record_of
 from ledgerloom.plans.bronze import contents
 from ledgerloom.session import new_location
 from ledgerloom.sources import versions
@@ -17,8 +21,11 @@ from ledgerloom.sources.sinks import write_table
 def transform(
     raw: DataFrame, row_rules: list[rules.Rule] | None = None, at: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(fact rows, quarantine rows). Both are narrow: one scan each, no shuffle."""
-    valid, rejected = rules.rule_split(raw, row_rules)
+    """(fact rows, quarantine rows), each with the number of its record. Both are narrow: one scan each, no shuffle."""
+    row_rules = row_rules if row_rules is not None else rules.transaction_rules()
+    columns = schemas.BUSINESS_COLUMNS["transactions"]
+    valid = rules.valid_rows(raw, row_rules).withColumn("record", record_of(columns))
+    rejected = quarantine.by_reason(rules.invalid_records(raw, row_rules), columns)
     return facts.build_fact(valid, created_at=at), quarantine.to_quarantine(rejected, "transactions_raw", at=at)
 
 
@@ -131,6 +138,42 @@ def transform_transactions(
     return report
 
 
+def replay_quarantine(
+    spark: SparkSession, fact_table: str, fix: Callable[[DataFrame], DataFrame] | None = None,
+    batch_id: str | None = None, at: Column | None = None,
+) -> dict[str, int]:
+    """Send quarantined records through the rules again, after `fix` has changed their raw columns; records by what became of them.
+
+    Accepted ones become facts of their load and leave the quarantine in one commit: before it nothing has happened, after
+    it they are no longer there to be replayed, so a run that died is run again and each record counts once. Only files of the
+    quarantine that hold an accepted record are written anew. The others stay as they were rejected.
+    """
+    base = versions.version(spark, fact_table)
+    held = versions.read(spark, base, QUARANTINE)
+    records = quarantine.replay(held, schemas.raw("transactions"), batch_id=batch_id)
+    # the number of the rejected record stays its own, whatever is fixed in it
+    again = fix(records) if fix is not None else records
+    valid = rules.valid_rows(again, rules.transaction_rules())
+    place = new_location(spark, "replayed")
+    write_table(facts.build_fact(valid, created_at=at).withColumn("month_key", month_key()), place, mode="overwrite")
+    accepted = spark.read.parquet(place)
+    gone = accepted.select("load", "record").distinct()
+    files = new_location(spark, "replayed_files")
+    named = versions.read(spark, base, QUARANTINE, named="_file").join(gone, ["load", "record"], "left_semi")
+    named.select(F.col("_file").alias("file")).distinct().write.parquet(files)
+    touched = spark.read.schema("file string").parquet(files)
+    stay = versions.read(spark, base, QUARANTINE, lambda e: e.join(touched, "file", "left_semi")).join(gone, ["load", "record"], "left_anti")
+    total, done = records.count(), accepted.count()
+    if done:
+        known = base.tables
+        versions.publish(spark, fact_table, {
+            versions.MAIN: versions.Change(accepted, lambda e: e, tuple(known[versions.MAIN].partition_by), tuple(known[versions.MAIN].zones)),
+            QUARANTINE: versions.Change(
+                stay, lambda e: e.join(touched, "file", "left_anti"), tuple(known[QUARANTINE].partition_by), tuple(known[QUARANTINE].zones)),
+        }, base=base)
+    return {"replayed": total, "accepted": done, "rejected": total - done}
+
+
 def table_exists(spark: SparkSession, reference: str) -> bool:
     if not is_path(reference):
         return spark.catalog.tableExists(reference)

@@ -2,7 +2,29 @@
 
 from __future__ import annotations
 
-from ledgerloom.functions import reference_data as ref
+# --- fixed values: stated here once more, so that the SQL does not follow the library -----------------
+
+CURRENCIES = (
+    "'USD', 'EUR', 'GBP', 'JPY', 'CAD', 'AUD', 'CHF', 'CNY', 'INR', 'MXN', "
+    "'BRL', 'KRW', 'SGD', 'HKD', 'NOK', 'SEK', 'DKK', 'NZD', 'ZAR', 'RUB'"
+)
+STRICT_CURRENCIES = "'USD', 'EUR', 'GBP', 'JPY', 'CAD'"
+STATUSES = "'COMPLETED', 'PENDING', 'FAILED', 'CANCELLED', 'REFUNDED'"
+TRANSACTION_TYPES = "'PURCHASE', 'REFUND', 'TRANSFER', 'PAYMENT', 'WITHDRAWAL', 'DEPOSIT'"
+CHANNELS = "'ONLINE', 'MOBILE', 'POS', 'ATM', 'BRANCH'"
+MERCHANT_CATEGORIES = [
+    "RETAIL", "GROCERY", "RESTAURANT", "GAS", "TRAVEL", "ENTERTAINMENT", "UTILITIES", "HEALTHCARE", "EDUCATION", "OTHER",
+]
+MCC_CODES = {
+    "RETAIL": "5411", "GROCERY": "5411", "RESTAURANT": "5812", "GAS": "5541", "TRAVEL": "4722", "ENTERTAINMENT": "7922",
+    "UTILITIES": "4900", "HEALTHCARE": "8011", "EDUCATION": "8220", "OTHER": "5999",
+}
+COUNTRIES = ["US", "CA", "MX", "GB", "DE", "FR", "IT", "ES", "JP", "CN", "IN", "AU", "BR"]
+RATES = """rates(code, rate) AS (
+  SELECT code, CAST(rate AS DECIMAL(10,5)) FROM (VALUES
+    ('USD', '1.0'), ('EUR', '1.08'), ('GBP', '1.26'), ('JPY', '0.0067'), ('CAD', '0.74'), ('AUD', '0.65'), ('CHF', '1.12'),
+    ('CNY', '0.14'), ('INR', '0.012'), ('MXN', '0.058'), ('BRL', '0.20'), ('KRW', '0.00075'), ('SGD', '0.74'), ('HKD', '0.13'),
+    ('NOK', '0.092'), ('SEK', '0.095'), ('DKK', '0.14'), ('NZD', '0.61'), ('ZAR', '0.054'), ('RUB', '0.011')) AS v(code, rate))"""
 
 
 def text_list(values) -> str:
@@ -72,17 +94,13 @@ _TYPE = {"A": "PURCHASE", "N": "PAYMENT", "R": "REFUND"}
 _STATUS = {"F": "COMPLETED", "P": "FAILED", "O": "PENDING"}
 _STATUS_SQL = f"CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' ELSE {case('o_orderstatus', _STATUS)} END"
 
-RATES = "rates(code, rate) AS (VALUES " + ", ".join(
-    f"('{c}', CAST({r} AS DECIMAL(10,5)))" for c, r in ref.USD_RATES.items()
-) + ")"
-
 CTES = {
     "rates": RATES,
     "merchants": f"""merchants AS (
   SELECT s_suppkey AS merchant_key, CAST(s_suppkey AS VARCHAR) AS merchant_id, s_name AS merchant_name,
-         {nth(ref.MERCHANT_CATEGORIES, 's_nationkey')} AS category,
-         {nth(ref.COUNTRIES, 's_nationkey')} AS country_code, n_name AS city,
-         {case(nth(ref.MERCHANT_CATEGORIES, 's_nationkey'), ref.MCC_CODES)} AS mcc_code,
+         {nth(MERCHANT_CATEGORIES, 's_nationkey')} AS category,
+         {nth(COUNTRIES, 's_nationkey')} AS country_code, n_name AS city,
+         {case(nth(MERCHANT_CATEGORIES, 's_nationkey'), MCC_CODES)} AS mcc_code,
          {case('r_name', _REGION_CURRENCY)} AS currency
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)""",
     "customers": f"""customers AS (
@@ -90,7 +108,7 @@ CTES = {
          split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
          split_part(c_name, '#', 1) || ' ' || split_part(c_name, '#', 2) AS full_name,
          n_name AS nation, c_mktsegment AS market,
-         {nth(ref.COUNTRIES, 'c_nationkey')} AS country_code,
+         {nth(COUNTRIES, 'c_nationkey')} AS country_code,
          CAST(DATE '1990-01-01' + c_nationkey * 60 AS DATE) AS customer_since
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)""",
     "fact": f"""fact AS (
@@ -151,10 +169,10 @@ CTES = {
   SELECT *, transaction_id IS NULL AS null_transaction_id, amount IS NULL AS null_amount,
          coalesce(NOT regexp_matches(amount, '^-?[0-9]+[.]?[0-9]*$'), FALSE) AS invalid_amount,
          coalesce(TRY_CAST(amount AS DOUBLE) < 0, FALSE) AS negative_amount,
-         coalesce(currency NOT IN ({text_list(ref.CURRENCIES)}), FALSE) AS invalid_currency,
-         coalesce(status NOT IN ({text_list(ref.STATUSES)}), FALSE) AS invalid_status,
-         coalesce(transaction_type NOT IN ({text_list(ref.TRANSACTION_TYPES)}), FALSE) AS invalid_transaction_type,
-         coalesce(channel NOT IN ({text_list(ref.CHANNELS)}), FALSE) AS invalid_channel,
+         coalesce(currency NOT IN ({CURRENCIES}), FALSE) AS invalid_currency,
+         coalesce(status NOT IN ({STATUSES}), FALSE) AS invalid_status,
+         coalesce(transaction_type NOT IN ({TRANSACTION_TYPES}), FALSE) AS invalid_transaction_type,
+         coalesce(channel NOT IN ({CHANNELS}), FALSE) AS invalid_channel,
          transaction_date IS NOT NULL AND try_strptime(transaction_date, '%Y-%m-%d') IS NULL AS invalid_date
   FROM raw)""",
     "valid": """valid AS (
@@ -174,7 +192,7 @@ CTES = {
     ) + ")",
     "strict": f"""strict AS (
   SELECT *, coalesce(transaction_id IS NOT NULL AND TRY_CAST(amount AS DECIMAL(18,2)) > 0
-         AND currency IN ({text_list(ref.STRICT_CURRENCIES)}) AND customer_id IS NOT NULL, FALSE) AS ok FROM raw)""",
+         AND currency IN ({STRICT_CURRENCIES}) AND customer_id IS NOT NULL, FALSE) AS ok FROM raw)""",
     "accounts": """accounts AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS account_id, CAST(o_custkey AS VARCHAR) AS customer_id,
          'CHECKING' AS account_type, lpad(CAST(o_orderkey AS VARCHAR), 16, '0') AS account_number,

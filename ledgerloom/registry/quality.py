@@ -9,8 +9,9 @@ from ledgerloom import schemas
 from ledgerloom.functions import reference_data as ref
 from ledgerloom.operators import gold, quality, quarantine, reports, rules, validation
 from ledgerloom.registry.base import query
-from ledgerloom.registry.oracle import SEGMENT, TIER, dbl, half_up, sql, text_list, ts
-from ledgerloom.sources import sinks, star
+from ledgerloom.registry.oracle import CHANNELS, CURRENCIES, SEGMENT, STATUSES, TIER, TRANSACTION_TYPES, dbl, half_up, sql, ts
+from ledgerloom.session import new_location
+from ledgerloom.sources import readers, sinks, star, versions
 
 NEWEST_DAY = "DATE '2001-11-05'"
 
@@ -47,10 +48,10 @@ SUITE = " UNION ALL ".join([
     check_sql("not_null_customer_id", where("customer_id IS NULL"), threshold=1.0, severity="warning"),
     check_sql("not_null_amount", where("amount IS NULL")),
     check_sql("positive_amount", where("TRY_CAST(amount AS DOUBLE) <= 0")),
-    check_sql("in_set_currency", where(f"currency NOT IN ({text_list(ref.CURRENCIES)})"), threshold=1.0),
-    check_sql("in_set_status", where(f"status NOT IN ({text_list(ref.STATUSES)})"), threshold=0.5),
-    check_sql("in_set_transaction_type", where(f"transaction_type NOT IN ({text_list(ref.TRANSACTION_TYPES)})"), threshold=0.5),
-    check_sql("in_set_channel", where(f"channel NOT IN ({text_list(ref.CHANNELS)})"), threshold=0.5),
+    check_sql("in_set_currency", where(f"currency NOT IN ({CURRENCIES})"), threshold=1.0),
+    check_sql("in_set_status", where(f"status NOT IN ({STATUSES})"), threshold=0.5),
+    check_sql("in_set_transaction_type", where(f"transaction_type NOT IN ({TRANSACTION_TYPES})"), threshold=0.5),
+    check_sql("in_set_channel", where(f"channel NOT IN ({CHANNELS})"), threshold=0.5),
     check_sql("date_format_transaction_date", where(BAD_DATE), threshold=1.0),
 ])
 
@@ -78,7 +79,7 @@ def dq_unique(spark: SparkSession, d: str):
     return [quality.unique("transaction_id")]
 
 
-@_register_check("dq_in_set", check_sql("in_set_channel", where(f"channel NOT IN ({text_list(ref.CHANNELS)})"), threshold=5), "raw")
+@_register_check("dq_in_set", check_sql("in_set_channel", where(f"channel NOT IN ({CHANNELS})"), threshold=5), "raw")
 def dq_in_set(spark: SparkSession, d: str):
     return [quality.in_set("channel", ref.CHANNELS, threshold_pct=5)]
 
@@ -192,8 +193,11 @@ SELECT {ts('_ingestion_timestamp')} AS quarantine_timestamp, 'transactions_raw'
        reason AS rejection_reason, _batch_id AS batch_id, CAST(_load_date AS VARCHAR) AS quarantine_date,
        transaction_id FROM rejected""", "rejected"))
 def quarantine_write(spark: SparkSession, d: str) -> DataFrame:
-    """Of the record text only the id is shown; the whole of it is checked by the replay."""
-    rows = _quarantine(spark, d)
+    """Written by day and read back. Of the record text only the id is shown; the whole of it is checked by the replay."""
+    target = new_location(spark, "quarantine")
+    _, rejected = rules.rule_split(_raw(spark, d))
+    quarantine.write(spark, target, rejected, "transactions_raw", at=F.col("_ingestion_timestamp"))
+    rows = readers.read_table(spark, target)
     ident = F.get_json_object("original_record", "$.transaction_id").alias("transaction_id")
     return rows.select(*[c for c in rows.columns if c != "original_record"], ident)
 
@@ -260,7 +264,21 @@ SELECT {', '.join(schemas.BUSINESS_COLUMNS['transactions'])}, _batch_id, {ts('_i
        {ts('_ingestion_timestamp')} AS _original_quarantine_timestamp, {FIRST_REASON} AS _original_rejection_reason
 FROM judged WHERE {FIRST_REASON} IS NOT NULL""", "judged"))
 def quarantine_replay(spark: SparkSession, d: str) -> DataFrame:
-    return quarantine.replay(_quarantine(spark, d), schemas.raw("transactions"))
+    records = rules.invalid_records(_raw(spark, d), rules.transaction_rules())
+    rows = quarantine.by_reason(records, schemas.BUSINESS_COLUMNS["transactions"])
+    kept = quarantine.to_quarantine(rows, "transactions_raw", at=F.col("_ingestion_timestamp"))
+    return quarantine.replay(kept, schemas.raw("transactions")).drop("record")
+
+
+REPLAYED = "SELECT *, " + FIRST_REASON + """ AS why FROM judged WHERE """ + FIRST_REASON + " IS NOT NULL"
+
+
+@query("quarantine_replay_plain", sql(f"""
+SELECT {', '.join(schemas.BUSINESS_COLUMNS['transactions'])}, why AS _original_rejection_reason FROM ({REPLAYED})""", "judged"))
+def quarantine_replay_plain(spark: SparkSession, d: str) -> DataFrame:
+    """The replay of rows that do not tell which is of a record's first reason."""
+    found = quarantine.replay(_quarantine(spark, d), schemas.raw("transactions"))
+    return found.select(*schemas.BUSINESS_COLUMNS["transactions"], "_original_rejection_reason")
 
 
 @query("quarantine_daily_trend", sql(f"""WITH {QUARANTINE}
@@ -314,15 +332,38 @@ def _slim(spark: SparkSession, d: str) -> DataFrame:
 SELECT quarantine_date < {NEWEST_DAY} - 30 AS archived, reason AS rejection_reason, count(*) AS n
 FROM quarantine GROUP BY ALL""", "rejected"))
 def quarantine_archive(spark: SparkSession, d: str) -> DataFrame:
-    old, kept = sinks.archive_split(_slim(spark, d), "quarantine_date", 30, _as_of())
-    both = old.withColumn("archived", F.lit(True)).unionByName(kept.withColumn("archived", F.lit(False)))
+    """Moved to the archive in one commit, and both tables read back."""
+    target, archive = new_location(spark, "quarantine"), new_location(spark, "quarantine_archive")
+    versions.overwrite(spark, target, _slim(spark, d), partition_by=["quarantine_date"])
+    sinks.delete_from(spark, target, sinks.older_than("quarantine_date", 30, _as_of()), archive)
+    both = readers.read_table(spark, archive).withColumn("archived", F.lit(True)).unionByName(
+        readers.read_table(spark, target).withColumn("archived", F.lit(False)))
     return both.groupBy("archived", "rejection_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("retention_prune", KEPT)
 def retention_prune(spark: SparkSession, d: str) -> DataFrame:
-    kept = sinks.retention_prune(_slim(spark, d), "quarantine_date", ref.RETENTION_DAYS["silver"], _as_of())
-    return kept.drop("source_table")
+    """Deleted from the table, day by day, and what is left read back."""
+    target = new_location(spark, "quarantine")
+    versions.overwrite(spark, target, _slim(spark, d), partition_by=["quarantine_date"])
+    sinks.prune(spark, {"quarantine": (target, "quarantine_date", ref.RETENTION_DAYS["silver"])}, _as_of())
+    return readers.read_table(spark, target).drop("source_table")
+
+
+@query("retention_prune_layers", sql(f"""
+SELECT 'raw' AS table_name, count(*) FILTER (WHERE _load_date < {NEWEST_DAY} - 90) AS deleted, count(*) FILTER (WHERE _load_date >= {NEWEST_DAY} - 90) AS kept FROM raw
+UNION ALL SELECT 'quarantine', count(*) FILTER (WHERE _load_date < {NEWEST_DAY} - 30), count(*) FILTER (WHERE _load_date >= {NEWEST_DAY} - 30) FROM rejected""",
+    "raw", "rejected"))
+def retention_prune_layers(spark: SparkSession, d: str) -> DataFrame:
+    """Two layers pruned by their own numbers of days: rows deleted, and rows that the tables then hold."""
+    raw, held = new_location(spark, "raw"), new_location(spark, "quarantine")
+    versions.overwrite(spark, raw, _raw(spark, d), partition_by=["_load_date"])
+    versions.overwrite(spark, held, _slim(spark, d), partition_by=["quarantine_date"])
+    days = ref.RETENTION_DAYS
+    gone = sinks.prune(spark, {"raw": (raw, "_load_date", days["bronze"]), "quarantine": (held, "quarantine_date", days["quarantine"])}, _as_of())
+    left = reports.layer_record_counts({"raw": readers.read_table(spark, raw), "quarantine": readers.read_table(spark, held)})
+    deleted = F.when(F.col("table_name") == "raw", gone["raw"]).otherwise(gone["quarantine"]).cast("bigint")
+    return left.select("table_name", deleted.alias("deleted"), F.col("records").alias("kept"))
 
 
 # --- validation and monitoring --------------------------------------------------------------------
@@ -376,11 +417,28 @@ SELECT 'reconcile' AS check_name,
        CAST(abs(count(*) - (SELECT count(*) FROM valid) - (SELECT count(*) FROM judged j WHERE """ + FIRST_REASON + """ IS NOT NULL))
             AS DOUBLE) / count(*) AS actual, TRUE AS passed FROM raw""", "raw", "valid", "judged"))
 def val_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    raw = _raw(spark, d)
+    raw = _raw(spark, d).withColumn("record", validation.record_of(schemas.BUSINESS_COLUMNS["transactions"]))
     checks = rules.transaction_rules()
     return validation.reconcile(raw, rules.valid_rows(raw, checks), rules.invalid_records(raw, checks))
 
 
+RECORD = ", ".join(schemas.BUSINESS_COLUMNS["transactions"])
+
+
+@query("reconcile_differences", sql(f"""
+SELECT transaction_id, amount, n AS delivered, CASE WHEN transaction_id LIKE '%7-1' THEN 0 ELSE 2 * n END AS accounted
+FROM (SELECT {RECORD}, count(*) AS n FROM raw GROUP BY ALL) WHERE transaction_id LIKE '%7-1' OR transaction_id LIKE '%8-1'""", "raw"))
+def reconcile_differences(spark: SparkSession, d: str) -> DataFrame:
+    """Some records are lost on the way and some come twice: which, and how often they are on either side."""
+    columns = schemas.BUSINESS_COLUMNS["transactions"]
+    raw = _raw(spark, d).withColumn("record", validation.record_of(columns))
+    lost, twice = (F.coalesce(F.col("transaction_id").endswith(x), F.lit(False)) for x in ("7-1", "8-1"))
+    accounted = raw.filter(~lost).select("record").unionAll(raw.filter(twice).select("record"))
+    found = validation.record_differences(raw, accounted)
+    named = raw.groupBy("record").agg(*[F.min(c).alias(c) for c in ("transaction_id", "amount")])
+    return found.join(named, "record").select("transaction_id", "amount", F.col("left_n").alias("delivered"), F.col("right_n").alias("accounted"))
+
+
 @query("val_dim_coverage", sql("""
 SELECT 'dim_coverage' AS check_name, CAST(count(DISTINCT customer_id) AS DOUBLE) / count(*) AS actual,
        count(DISTINCT customer_id) / count(*) > 0.95 AS passed FROM customer_deliveries""", "customer_deliveries"))

@@ -148,12 +148,12 @@ def _orphan_sql(name: str, child: str, column: str, parent: str) -> str:
 ]), "raw", "customers", "accounts"))
 def bronze_orphan_counts(spark: SparkSession, d: str) -> DataFrame:
     raw, customers, accounts = star.raw_transactions(spark, d), star.customers(spark, d), star.accounts(spark, d)
-    return joins.orphan_report([
-        ("accounts_customers", accounts, "customer_id", customers, "customer_id"),
-        ("transactions_customers", raw, "customer_id", customers, "customer_id"),
-        ("transactions_accounts", raw, "account_id", accounts, "account_id"),
-        ("transactions_merchants", raw, "merchant_id", star.merchants(spark, d), "merchant_id"),
-    ], include_null=True)
+    own = accounts.select(F.col("customer_id").alias("accounts_customers"))
+    keys = raw.select(*[F.col(f"{k}_id").alias(f"transactions_{k}s") for k in ("customer", "account", "merchant")])
+    known = {"customers": (customers, "customer_id"), "accounts": (accounts, "account_id"), "merchants": (star.merchants(spark, d), "merchant_id")}
+    references = [(f"transactions_{name}", *known[name]) for name in known]
+    return joins.orphan_summary(own, [("accounts_customers", *known["customers"])], include_null=True).unionByName(
+        joins.orphan_summary(keys, references, include_null=True))
 
 
 @query("good_bad_sample", sql("""

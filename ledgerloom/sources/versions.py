@@ -68,6 +68,8 @@ class Change:
     replace: str | None = None
     #: entries taken over from another table of the store, without touching their files
     adopted: DataFrame | None = None
+    #: gather partition values into few files; not for rows that are laid out already
+    rebalance: bool = True
     #: what the table looks like if neither rows nor a version before tell
     schema: StructType | None = None
 
@@ -186,7 +188,7 @@ def _written(spark: SparkSession, root: str, change: Change) -> DataFrame:
     base = f"{root}/{DATA}"
     place = f"{base}/{WRITING}={uuid.uuid4().hex}"
     rows, parts = change.rows, list(change.partition_by)
-    if parts:
+    if parts and change.rebalance:
         rows = rows.hint("rebalance", *parts)
     rows.write.partitionBy(*parts).parquet(place)
     schema = StructType([rows.schema[c] for c in rows.columns])
@@ -391,6 +393,7 @@ def remove(
     changes = {table: Change(
         None if split is None else split.filter(~doomed), lambda listed: listed.join(met, "file", "left_anti"), parts, zones)}
     if into is not None:
-        changes[into] = Change(None if split is None else split.filter(doomed), lambda listed: listed, parts, zones, (), whole, known.struct)
+        changes[into] = Change(
+            None if split is None else split.filter(doomed), lambda listed: listed, parts, zones, adopted=whole, schema=known.struct)
     publish(spark, root, changes, base=at)
     return total

@@ -76,7 +76,7 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
     spark = build_session("compare", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
     con, failures = connect(sf_dir), 0
