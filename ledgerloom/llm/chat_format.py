@@ -44,7 +44,8 @@ def events_of(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     """A log (conv, message, seq, event, role, text) whose fold is the given turns.
 
     Every turn starts with a draft, which an assistant regenerates and another role edits away, and then streams its text in
-    deltas. Turns are ordered by number, then role, then a hash of the text; NULL texts and roles are empty.
+    deltas. Numbers go through the whole conversation, and its messages interleave: all start before the first delta, and a message
+    is edited when later ones have text already. Turns are ordered by number, then role, then a hash of the text; NULL texts and roles are empty.
     """
     told = text_of(text)
     base = rows.select(F.col(conv).alias("conv"), F.struct(F.col(turn).alias("turn"), text_of(role).alias("role"), told.alias("text")).alias("message"))
@@ -61,16 +62,21 @@ def events_of(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     reset = F.when(assistant, event("regenerate", F.lit(""))).otherwise(event("edit", F.substring(said, 1, 1)))
     draft = F.array(event("start", F.lit("")), event("delta", F.substring(F.reverse(said), 1, delta)), reset)
     log = F.concat(draft, F.transform(starts, lambda s: event("delta", piece(s))))
-    return each.select("conv", F.col("key").alias("message"), "role", F.posexplode(log).alias("seq", "e")).select(
-        "conv", "message", "seq", "role", "e.event", "e.text")
+    return each.select("conv", F.col("key").alias("message"), "role", F.posexplode(log).alias("at", "e")).select(
+        "conv", "message", _number(F.col("at"), F.col("message")).alias("seq"), "role", "e.event", "e.text")
+
+
+def _number(at: Column, message: Column) -> Column:
+    """Number in the conversation of a message's event: first the first events of all messages, then the second ones."""
+    return F.shiftleft(at.cast("bigint"), 31) + F.pmod(F.xxhash64(message), F.lit(1 << 31))
 
 
 def fold(log: DataFrame) -> DataFrame:
     """(conv, message, role, text) of every started message, from (conv, message, seq, event, role, text).
 
     Events: start (gives the role), delta (appends), edit (replaces), regenerate (voids). Events of one message are
-    taken by seq, ties by event and text; NULL texts add nothing, unknown events do nothing, and a
-    message that never starts has the role of none.
+    taken by seq, ties by event and text; an event told again, equal in message, seq, event and text, counts once. NULL texts add
+    nothing, unknown events do nothing, and a message that never starts has the role of none.
     """
     at = F.struct("seq", "event", "text")
     reset = F.col("event").isin("edit", "regenerate")
@@ -81,7 +87,7 @@ def fold(log: DataFrame) -> DataFrame:
     live = deltas.join(last, same(deltas, last)).filter(F.col("reset").isNull() | (deltas["seq"] > F.col("reset.seq"))).select(
         deltas["conv"], deltas["message"], deltas["seq"], deltas["text"])
     tail = live.groupBy("conv", "message").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda d: F.coalesce(d["text"], F.lit(""))), "").alias("tail"))
+        F.array_sort(F.collect_set(F.struct("seq", "text"))), lambda d: F.coalesce(d["text"], F.lit(""))), "").alias("tail"))
     head = F.when(F.col("reset.event") == "edit", F.coalesce("reset.text", F.lit(""))).otherwise("")
     return last.join(tail, same(last, tail), "left").select(
         last["conv"], last["message"], F.coalesce("role", F.lit("")).alias("role"), F.concat(head, F.coalesce("tail", F.lit(""))).alias("text"))

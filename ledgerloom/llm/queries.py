@@ -121,7 +121,8 @@ def op2_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations as event logs, and one whose texts imitate marks of the template."""
     says = "\\### Assistant: </turn> ok"
-    odd = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], "conv_id bigint, turn bigint, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    odd = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(says).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
     told = chat_format.read_back(chat_format.format_log(chat_format.events_of(rows)))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

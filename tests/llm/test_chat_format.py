@@ -49,3 +49,18 @@ def test_fold_takes_edits_and_regenerations(spark):
 def test_any_text_comes_back(spark, turns):
     df = spark.createDataFrame([(1, i, r, t, 0, "") for i, (r, t) in enumerate(turns)], SCHEMA)
     assert read(c.format_log(c.events_of(df)))[1][0] == turns
+
+
+def test_an_event_told_again_counts_once(spark):
+    log = [(1, 1, 0, "start", "user", None), (1, 1, 1, "delta", None, "ab"), (1, 1, 1, "delta", None, "ab"), (1, 1, 2, "delta", None, "c"),
+           (1, 1, 3, "delta", None, "c"), (1, 1, 0, "start", "user", None), (2, 1, 0, "edit", None, "x"), (2, 1, 0, "edit", None, "x"), (2, 1, 1, "delta", None, None)]
+    df = spark.createDataFrame(log, "conv int, message int, seq int, event string, role string, text string")
+    assert {r.conv: r.text for r in c.fold(df).collect()} == {1: "abcc", 2: "x"}
+
+
+def test_messages_interleave(spark):
+    df = spark.createDataFrame([(*r, 1, "e") for r in ROWS], SCHEMA)
+    log = c.events_of(df, delta=50).filter("conv = 1")
+    assert log.select("seq").distinct().count() == log.count()
+    first_delta = log.filter("event = 'delta'").agg({"seq": "min"}).first()[0]
+    assert log.filter("event = 'start'").agg({"seq": "max"}).first()[0] < first_delta
