@@ -7,8 +7,8 @@ answer's headers then replace the stored ones, but for those that describe the s
 
 The join is two windows. Records of a URL are cut into time buckets; inside a bucket the last response so far is
 carried on, and over the buckets' last responses, one row each, the last one of the buckets before. So a URL with a third of
-all records is spread over its buckets. Payloads are not carried: they are joined to the resolved
-revisits by record id.
+all records is spread over its buckets. Payloads are not carried: those of the responses that were asked for are
+joined to the revisits by record id. A record without a URL takes part in no match.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import text_of
+from ledgerloom.llm.common import held, stored, text_of
 from ledgerloom.llm.decontamination import LOWER, UPPER
 
 #: headers that a not-modified answer may not change: they belong to the payload or to one connection
@@ -24,6 +24,8 @@ KEPT = (
     "connection", "content-encoding", "content-length", "content-range", "content-type", "keep-alive",
     "proxy-authenticate", "proxy-authorization", "proxy-connection", "te", "trailer", "transfer-encoding", "upgrade",
 )
+#: width of a time bucket, small so that a URL crawled very often in a day is spread
+BUCKET = 3600
 SCHEMA = "record_id string, url string, at timestamp, kind string, digest string, headers map<string,string>, payload string"
 
 
@@ -57,38 +59,42 @@ def _weak(tag: Column) -> Column:
     return F.regexp_replace(F.trim(tag), "^W/", "")
 
 
-def latest_response(records: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
+def latest_response(records: DataFrame, bucket_seconds: int = BUCKET) -> DataFrame:
     """(record_id, digest, headers, url_key, base_id) of every revisit; base_id is the latest full response strictly
     before it, NULL if there is none. Of responses at one moment the one of the largest record id counts.
     """
     answers, asks = F.col("kind") == "response", F.col("kind") == "revisit"
-    slim = records.filter(answers | asks).select(
+    every = records.filter(answers | asks).select(
         "record_id", canonical("url").alias("url_key"), "at", F.floor(F.unix_timestamp("at") / bucket_seconds).alias("bucket"), asks.alias("asks"),
         F.when(answers & F.col("at").isNotNull(), F.struct("at", "record_id")).alias("own"),
         F.when(asks, F.col("digest")).alias("digest"), F.when(asks, F.col("headers")).alias("headers"))
+    # records without a URL would be one large group of nothing
+    slim, unnamed = every.filter("url_key != ''"), every.filter("url_key = '' AND asks")
     # a row for every bucket with a response or a question; most have the one or the other only
     points = slim.filter("at IS NOT NULL").groupBy("url_key", "bucket").agg(F.max("own").alias("last"))
     before = Window.partitionBy("url_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     earlier = points.select("url_key", "bucket", F.max("last").over(before).alias("earlier"))
     inside = Window.partitionBy("url_key", "bucket").orderBy(F.unix_micros("at")).rangeBetween(Window.unboundedPreceding, -1)
     asked = slim.withColumn("within", F.max("own").over(inside)).filter("asks")
-    return asked.join(earlier, ["url_key", "bucket"], "left").select(
+    found = asked.join(earlier, ["url_key", "bucket"], "left").select(
         "record_id", "digest", "headers", "url_key", F.coalesce("within.record_id", "earlier.record_id").alias("base_id"))
+    return found.unionByName(unnamed.select("record_id", "digest", "headers", "url_key", F.lit(None).cast("string").alias("base_id")))
 
 
-def resolve(records: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
+def resolve(records: DataFrame, bucket_seconds: int = BUCKET) -> DataFrame:
     """(record_id, url_key, base_id, verdict, headers, payload) of every revisit among records as in SCHEMA.
 
     verdict is resolved, mismatch (a validator differs), unproven (no validator on both sides) or orphan (no earlier
     response). Only resolved ones get headers and payload. Headers are compared and returned by lower-case name. A
     revisit without a time is an orphan, and a response without one is never a base. Of several responses of one
     record id the one of the largest payload is taken, and a response without an id is no base; repeated revisits give a
-    row each. NULL URLs are one URL, the empty one. An empty table gives no rows; other columns are not read.
+    row each. A revisit whose URL is NULL or empty is an orphan with an empty url_key. An empty table gives no rows; other columns
+    are not read.
     """
-    asked = latest_response(records, bucket_seconds).withColumn("headers", _lower_names(F.col("headers")))
-    stored = F.struct("digest", "headers", "payload")
-    bases = records.filter("kind = 'response' AND record_id IS NOT NULL").groupBy(F.col("record_id").alias("base_id")).agg(
-        F.max_by(stored, F.coalesce("payload", F.lit(""))).alias("base"))
+    asked = stored(latest_response(records, bucket_seconds).withColumn("headers", _lower_names(F.col("headers"))), "asked_revisits")
+    needed = held(stored(asked.filter("base_id IS NOT NULL").select("base_id").distinct(), "asked_bases"))
+    answers = records.filter("kind = 'response' AND record_id IS NOT NULL").withColumn("base_id", F.col("record_id")).join(needed, "base_id", "left_semi")
+    bases = answers.groupBy("base_id").agg(F.max_by(F.struct("digest", "headers", "payload"), F.coalesce("payload", F.lit(""))).alias("base"))
     both = asked.join(bases, "base_id", "left").withColumn("old", _lower_names(F.col("base.headers")))
     tag = _agree(_weak(F.col("headers")["etag"]), _weak(F.col("old")["etag"]))
     date = _agree(F.col("headers")["last-modified"], F.col("old")["last-modified"])
