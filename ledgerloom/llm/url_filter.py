@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import computed, stored, text_of
 from ledgerloom.llm.decontamination import LOWER, UPPER
+from ledgerloom.session import new_location
 
 #: bits of one level that a task may hold, 8 MB
 MOST_BITS = 1 << 26
@@ -147,6 +148,17 @@ def judge(pages: DataFrame, listed: DataFrame, id: str = "page_id", url: str = "
         allow = F.coalesce(F.col("rule.allow"), ~F.col("hit"))
         return judged.select(F.col("id").alias(id), "host", "path", F.col("rule.name").alias("rule"), F.when(allow, "allow").otherwise("block").alias("verdict"))
 
-    shard = lambda key: F.pmod(F.xxhash64(F.col(key), F.lit("shard")), F.lit(shards))
+    if shards == 1:
+        return of(split, cascade(universe))
+    shard = lambda key: F.pmod(F.xxhash64(F.col(key), F.lit("shard")), F.lit(shards)).cast("int").alias("shard")
+    routed = by_shard(split.select("*", shard("host")), "routed_pages")
+    keys = by_shard(universe.select("*", shard("key")), "routed_hosts")
     return reduce(DataFrame.unionByName, [
-        of(split.filter(shard("host") == s), cascade(universe.filter(shard("key") == s))) for s in range(shards)])
+        of(routed.filter(F.col("shard") == s).drop("shard"), cascade(keys.filter(F.col("shard") == s).drop("shard"))) for s in range(shards)])
+
+
+def by_shard(rows: DataFrame, label: str) -> DataFrame:
+    """Rows written by the partitions of column `shard`, of which a filter then reads one."""
+    spark, path = rows.sparkSession, new_location(rows.sparkSession, label)
+    rows.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
