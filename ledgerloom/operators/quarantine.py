@@ -55,11 +55,14 @@ def by_reason(records: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def write(spark: SparkSession, target: str, rejected: DataFrame, source_table: str, batch_id: str | None = None, at: Column | None = None) -> int:
-    """Add rejected rows to the quarantine, a table with commits by day; how many there are. Nothing rejected writes nothing."""
+    """Add rejected rows to the quarantine, a table with commits; how many there are. Nothing rejected writes nothing.
+
+    Days are zones, not directories: a day's rejects are few, and a delivery may hold very many days.
+    """
     if rejected.isEmpty():
         return 0
     rows = to_quarantine(rejected, source_table, batch_id=batch_id, at=at)
-    return versions.append(spark, target, rows, partition_by=["quarantine_date"])
+    return versions.append(spark, target, rows.repartitionByRange("quarantine_date"), zones=["quarantine_date"])
 
 
 def to_quarantine_nb(

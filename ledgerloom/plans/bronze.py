@@ -24,8 +24,8 @@ def contents(columns: list[str]) -> list[str]:
 
 
 def load_change(rows: DataFrame) -> versions.Change:
-    """The loads of raw rows with `_load`, each in the place of its earlier self."""
-    return versions.Change(rows, partition_by=tuple(PARTITION), fingerprint=tuple(contents(rows.columns)), replace=PARTITION[0])
+    """The loads of raw rows with `_load`, each in the place of its earlier self. Tasks write what they read: a task reads few loads."""
+    return versions.Change(rows, partition_by=tuple(PARTITION), fingerprint=tuple(contents(rows.columns)), replace=PARTITION[0], rebalance=False)
 
 
 def _store(spark: SparkSession, rows: DataFrame, target: str) -> int:

@@ -8,16 +8,22 @@ only the months, quarters, customers and merchants that they touch. What is not
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import gold, kpis, rollup
 from ledgerloom.operators.joins import with_date
+from ledgerloom.session import together
 from ledgerloom.sources import versions
 from ledgerloom.sources.sinks import overwrite, overwrite_partitions
 
 PAIRS, SEEN, DAYS, MONTHS, CUSTOMERS, MERCHANTS = "pairs", "seen", "days", "months", "customers", "merchants"
+TABLES = (
+    "revenue_summary", "customer_analytics", "merchant_analytics", "channel_performance", "geographic_summary",
+    "daily_kpis", "monthly_kpis", "executive_summary",
+)
 #: days of both periods of the executive summary, and one more because they end inside a day
 SUMMARY_DAYS = 61
 
@@ -146,13 +152,13 @@ def refresh(
         "daily_kpis": series,
         "monthly_kpis": kpis.with_yoy_change(kpis.with_mom_change(kpis.with_daily_rates(monthly))),
     }
-    counts = {name: versions.overwrite(spark, f"{root}/{name}", stamped(rows, at)) for name, rows in whole.items()}
-    for name in ("revenue_summary", "channel_performance", "geographic_summary"):
-        counts[name] = versions.entries(spark, versions.version(spark, f"{root}/{name}")).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     summary = stamped(kpis.executive_summary(recent, as_of), at)
-    _, added = versions.publish(spark, f"{root}/executive_summary", {
-        versions.MAIN: versions.Change(summary, partition_by=("report_date",), replace="report_date")})
-    return counts | {"executive_summary": added[versions.MAIN]}
+    report = {versions.MAIN: versions.Change(summary, partition_by=("report_date",), replace="report_date")}
+    steps = {name: partial(versions.overwrite, spark, f"{root}/{name}", stamped(rows, at)) for name, rows in whole.items()}
+    counts = together(steps | {"executive_summary": lambda: versions.publish(spark, f"{root}/executive_summary", report)[1][versions.MAIN]})
+    for name in ("revenue_summary", "channel_performance", "geographic_summary"):
+        counts[name] = versions.version(spark, f"{root}/{name}").tables[versions.MAIN].rows
+    return counts
 
 
 def _roll_up(
@@ -174,16 +180,27 @@ def _roll_up(
         return None if first else before.select(name).unionByName(of_months.select(name)).distinct()
 
     stay = None if first else _but_months(months)
-    for name, rows, part, keep in (
-        ("revenue_summary", rollup.revenue_summary(of_months, dim_date).withColumn("month_key", rollup.month_of_day()), "month_key", stay),
-        ("channel_performance", rollup.channel_performance(of_months, dim_date), "month_key", stay),
-        ("geographic_summary", rollup.geographic_summary(of_quarters, dim_date), "quarter_key", None if first else _but_months(quarters, "part_quarter_key")),
-    ):
-        versions.publish(spark, f"{root}/{name}", {versions.MAIN: versions.Change(stamped(rows, at), keep, (part,))})
+
+    def beside(store: str, name: str, rows: DataFrame, part: str, groups: list[int]) -> versions.Change:
+        """Rows of some groups beside those that a small table has of the others, in one file: it has a few rows a month."""
+        old = None if first else versions.version(spark, store)
+        if old is not None and name in old.tables:
+            rows = versions.read(spark, old, name).filter(~F.coalesce(part, F.lit(-1)).isin(groups)).unionByName(rows)
+        return versions.Change(rows.coalesce(1))
+
+    revenue = rollup.revenue_summary(of_months, dim_date).withColumn("month_key", rollup.month_of_day())
+    small = {
+        "channel_performance": (rollup.channel_performance(of_months, dim_date), "month_key", months),
+        "geographic_summary": (rollup.geographic_summary(of_quarters, dim_date), "quarter_key", quarters),
+    }
+    steps = {name: partial(versions.publish, spark, f"{root}/{name}", {
+        versions.MAIN: beside(f"{root}/{name}", versions.MAIN, stamped(rows, at), part, groups)}) for name, (rows, part, groups) in small.items()}
+    together(steps | {"revenue_summary": partial(versions.publish, spark, f"{root}/revenue_summary", {
+        versions.MAIN: versions.Change(stamped(revenue, at), stay, ("month_key",))})})
     seen = versions.entries(spark, fact_at, table).select("file", _month().alias("month"))
     versions.publish(spark, base, {
-        DAYS: versions.Change(rollup.daily_base(of_months).withColumn("month_key", rollup.month_of_day()), stay, ("month_key",)),
-        MONTHS: versions.Change(rollup.monthly_base(of_months), stay, ("month_key",)),
+        DAYS: beside(base, DAYS, rollup.daily_base(of_months).withColumn("month_key", rollup.month_of_day()), "month_key", months),
+        MONTHS: beside(base, MONTHS, rollup.monthly_base(of_months), "month_key", months),
         CUSTOMERS: _keyed(spark, pairs_at, CUSTOMERS, "customer_key", rollup.customer_stats, keys("customer_key"), first),
         MERCHANTS: _keyed(spark, pairs_at, MERCHANTS, "merchant_key", rollup.merchant_stats, keys("merchant_key"), first),
         SEEN: versions.Change(seen.coalesce(1)),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from ledgerloom import schemas
 from ledgerloom.operators import dimensions, facts, quality, quarantine, rules
 from ledgerloom.operators.validation import record_of
 from ledgerloom.plans.bronze import contents
-from ledgerloom.session import new_location
+from ledgerloom.session import new_location, together
 from ledgerloom.sources import versions
 from ledgerloom.sources.readers import is_path, read_table
 from ledgerloom.sources.sinks import write_table
@@ -82,7 +83,7 @@ def fact_changes(fact: DataFrame, rejected: DataFrame, done: DataFrame | None) -
     stays = None if done is None else keep
     return {
         versions.MAIN: versions.Change(fact.withColumn("month_key", month_key()), stays, ("load", "month_key"), ("date_key", "transaction_timestamp")),
-        QUARANTINE: versions.Change(rejected, stays, ("load",), ("quarantine_date",)),
+        QUARANTINE: versions.Change(rejected, stays, ("load",), ("quarantine_date",), rebalance=False),
     }
 
 
@@ -196,7 +197,7 @@ def build_all_dimensions(
         "dim_merchant": dimensions.dim_merchant(read_table(spark, raw_tables["merchants"])),
         "dim_date": dimensions.dim_date(dimensions.calendar_days(spark, start_year, end_year)),
     }
-    return {name: versions.overwrite(spark, targets[name], table) for name, table in built.items()}
+    return together({name: partial(versions.overwrite, spark, targets[name], table) for name, table in built.items()})
 
 
 def build_dim_account(spark: SparkSession, raw_table: str, target: str, scd_type: int = 2) -> int:

@@ -238,7 +238,7 @@ def load_merchants(spark: SparkSession, d: str) -> DataFrame:
 
 # --- silver and gold plans -----------------------------------------------------------------------
 
-HASHED = ("transaction_key", "customer_key", "account_key", "merchant_key")
+HASHED = ("transaction_key", "customer_key", "account_key", "merchant_key", "record")
 
 
 def _processed(spark: SparkSession, d: str) -> tuple[str, str, DataFrame]:
@@ -521,7 +521,7 @@ def compact_cluster_pruned(spark: SparkSession, d: str) -> DataFrame:
     """Clustered by two columns: a filter on either of them opens at most a quarter of the files."""
     path = new_location(spark, "clustered")
     versions.overwrite(spark, path, star.table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate", "l_quantity"))
-    at = layout.cluster(spark, path, ["l_shipdate", "l_suppkey"], files=64)
+    at = layout.cluster(spark, path, ["l_shipdate", "l_suppkey"], files=256)
     total = versions.entries(spark, at).count()
     shown = None
     for column, low, high in (("l_shipdate", F.lit("1997-03-01").cast("timestamp_ntz"), F.lit("1997-05-31 23:59:59.999999").cast("timestamp_ntz")), ("l_suppkey", F.lit(10), F.lit(14))):

@@ -334,7 +334,7 @@ FROM quarantine GROUP BY ALL""", "rejected"))
 def quarantine_archive(spark: SparkSession, d: str) -> DataFrame:
     """Moved to the archive in one commit, and both tables read back."""
     target, archive = new_location(spark, "quarantine"), new_location(spark, "quarantine_archive")
-    versions.overwrite(spark, target, _slim(spark, d), partition_by=["quarantine_date"])
+    versions.overwrite(spark, target, _slim(spark, d).repartitionByRange("quarantine_date"), zones=["quarantine_date"])
     sinks.delete_from(spark, target, sinks.older_than("quarantine_date", 30, _as_of()), archive)
     both = readers.read_table(spark, archive).withColumn("archived", F.lit(True)).unionByName(
         readers.read_table(spark, target).withColumn("archived", F.lit(False)))
@@ -345,7 +345,7 @@ def quarantine_archive(spark: SparkSession, d: str) -> DataFrame:
 def retention_prune(spark: SparkSession, d: str) -> DataFrame:
     """Deleted from the table, day by day, and what is left read back."""
     target = new_location(spark, "quarantine")
-    versions.overwrite(spark, target, _slim(spark, d), partition_by=["quarantine_date"])
+    versions.overwrite(spark, target, _slim(spark, d).repartitionByRange("quarantine_date"), zones=["quarantine_date"])
     sinks.prune(spark, {"quarantine": (target, "quarantine_date", ref.RETENTION_DAYS["silver"])}, _as_of())
     return readers.read_table(spark, target).drop("source_table")
 
@@ -357,8 +357,8 @@ UNION ALL SELECT 'quarantine', count(*) FILTER (WHERE _load_date < {NEWEST_DAY}
 def retention_prune_layers(spark: SparkSession, d: str) -> DataFrame:
     """Two layers pruned by their own numbers of days: rows deleted, and rows that the tables then hold."""
     raw, held = new_location(spark, "raw"), new_location(spark, "quarantine")
-    versions.overwrite(spark, raw, _raw(spark, d), partition_by=["_load_date"])
-    versions.overwrite(spark, held, _slim(spark, d), partition_by=["quarantine_date"])
+    versions.overwrite(spark, raw, _raw(spark, d).repartitionByRange("_load_date"), zones=["_load_date"])
+    versions.overwrite(spark, held, _slim(spark, d).repartitionByRange("quarantine_date"), zones=["quarantine_date"])
     days = ref.RETENTION_DAYS
     gone = sinks.prune(spark, {"raw": (raw, "_load_date", days["bronze"]), "quarantine": (held, "quarantine_date", days["quarantine"])}, _as_of())
     left = reports.layer_record_counts({"raw": readers.read_table(spark, raw), "quarantine": readers.read_table(spark, held)})

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
@@ -51,3 +54,15 @@ def shared_root(spark: SparkSession) -> str:
 def new_location(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared root; nothing is created yet."""
     return f"{shared_root(spark)}/ledgerloom/{label}-{uuid.uuid4().hex[:12]}"
+
+
+T = TypeVar("T")
+
+
+def together(steps: dict[str, Callable[[], T]], most: int = 4) -> dict[str, T]:
+    """Results of independent steps by name, up to `most` at a time: small jobs then share the cluster. The first error is raised."""
+    if len(steps) == 1:
+        return {name: step() for name, step in steps.items()}
+    with ThreadPoolExecutor(most) as pool:
+        running = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: job.result() for name, job in running.items()}

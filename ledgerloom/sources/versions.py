@@ -13,21 +13,27 @@ never rows.
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
+from functools import partial, reduce
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerloom.session import together
+
 COMMITS, ENTRIES, DATA, LINK = "_commits", "_entries", "_data", "_store"
 #: the table of a store that a plain path means
 MAIN = "main"
 #: partition directory of one writing; not a column of the table
 WRITING = "_writing"
+#: files that a commit names itself; of more the entries tell
+NAMED = 256
 #: ranges into which the keys of a change are cut to find the files that may hold them
 RANGES = 256
 
@@ -38,10 +44,15 @@ class CommitConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Table:
+    """`entries` is the place of the entries and `columns` their schema; `files` are their names, if they are few."""
+
     entries: str
+    columns: str
     schema: str
+    rows: int
     partition_by: list[str] = field(default_factory=list)
     zones: list[str] = field(default_factory=list)
+    files: list[str] | None = None
 
     @property
     def struct(self) -> StructType:
@@ -154,7 +165,8 @@ def version(spark: SparkSession, root: str, number: int | None = None) -> Versio
 
 
 def entries(spark: SparkSession, at: Version, table: str = MAIN) -> DataFrame:
-    return spark.read.parquet(at.tables[table].entries)
+    known = at.tables[table]
+    return spark.read.schema(StructType.fromJson(json.loads(known.columns))).parquet(known.entries)
 
 
 def read(
@@ -162,8 +174,11 @@ def read(
 ) -> DataFrame:
     """The rows of a table, or of those of its files whose entries `of` keeps; `named` adds the entry's file name to each row."""
     known = at.tables[table]
-    listed = entries(spark, at, table)
-    files = [r.file for r in (of(listed) if of is not None else listed).select("file").collect()]
+    if of is None and known.files is not None:
+        files = known.files
+    else:
+        listed = entries(spark, at, table)
+        files = [r.file for r in (of(listed) if of is not None else listed).select("file").collect()]
     columns = [F.col(f"`{c}`") for c in known.struct.names]
     if not files:
         empty = spark.createDataFrame([], known.struct)
@@ -178,9 +193,10 @@ def between(zone: str, low, high) -> Callable[[DataFrame], DataFrame]:
 
 
 def fingerprints(columns) -> list[Column]:
-    """(h1, h2) of the rows of a group: sums of two row hashes, whatever their order. NULL differs from any text."""
-    told = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in columns]
-    return [F.coalesce(F.sum(F.xxhash64(F.lit(i), *told).cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias(f"h{i}") for i in (1, 2)]
+    """(h1, h2) of the rows of a group: sums of two hashes of a row, whatever their order. NULL differs from any text."""
+    row = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in columns])
+    told = {"h1": row, "h2": F.xxhash64(F.lit("again"), row)}
+    return [F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias(name) for name, h in told.items()]
 
 
 def _written(spark: SparkSession, root: str, change: Change) -> DataFrame:
@@ -221,18 +237,13 @@ def publish(
     between is an error. Without it the change does not depend on what the table holds, and is put on top of the other's.
     """
     root = root.rstrip("/")
-    fresh, added = {}, {}
-    for name, change in changes.items():
-        if change.rows is not None:
-            fresh[name] = f"{root}/{ENTRIES}/{name}-{uuid.uuid4().hex}"
-            # one row a file: small whatever the table
-            _written(spark, root, change).coalesce(1).write.parquet(fresh[name])
-            added[name] = spark.read.parquet(fresh[name]).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    with_rows = {name: change for name, change in changes.items() if change.rows is not None}
+    fresh = together({name: partial(_stored, spark, root, name, partial(_written, spark, root, change)) for name, change in with_rows.items()})
+    added = {name: found.rows for name, found in fresh.items()}
     for _ in range(1 if base is not None else attempts):
         now = base if base is not None else version(spark, root)
         tables = dict(now.tables) if now else {}
-        for name, change in changes.items():
-            tables[name] = _next(spark, root, now, name, change, fresh.get(name))
+        tables |= together({name: partial(_next, spark, root, now, name, change, fresh.get(name)) for name, change in changes.items()})
         number = now.number + 1 if now else 0
         told = json.dumps({"tables": {n: asdict(t) for n, t in tables.items()}})
         if _write_new(spark, f"{root}/{COMMITS}/{number:012d}.json", told):
@@ -240,31 +251,40 @@ def publish(
     raise CommitConflict(f"version {number} of {root} was committed by another writer")
 
 
-def _next(spark: SparkSession, root: str, now: Version | None, name: str, change: Change, fresh: str | None) -> Table:
+def _stored(spark: SparkSession, root: str, name: str, make: Callable[[], DataFrame]) -> Table:
+    """Entries written to a file of their own, one row a data file; a table of them, as yet without schema."""
+    place, rows = f"{root}/{ENTRIES}/{name}-{uuid.uuid4().hex}", make()
+    rows.coalesce(1).write.parquet(place)
+    back = spark.read.schema(rows.schema).parquet(place)
+    some = back.select("file", "rows").limit(NAMED + 1).collect()
+    few = len(some) <= NAMED
+    total = sum(r.rows for r in some) if few else back.agg(F.sum("rows")).first()[0]
+    return Table(place, rows.schema.json(), "", total, files=[r.file for r in some] if few else None)
+
+
+def _next(spark: SparkSession, root: str, now: Version | None, name: str, change: Change, fresh: Table | None) -> Table:
     """A table as it is after a change."""
     old = now.tables.get(name) if now else None
     stays = old is not None and (change.keep is not None or change.replace is not None)
+    new = entries(spark, Version(root, 0, {name: fresh}), name) if fresh is not None else None
     parts = []
     if stays and change.keep is not None:
         parts.append(change.keep(entries(spark, now, name)))
     elif stays:
         value = f"part_{change.replace}"
-        given = spark.read.parquet(fresh).select(F.col(value).alias("_value")).distinct()
+        given = new.select(F.col(value).alias("_value")).distinct()
         parts.append(entries(spark, now, name).join(given, F.col(value).eqNullSafe(F.col("_value")), "left_anti"))
     parts += [change.adopted] if change.adopted is not None else []
     if parts or fresh is None:
-        parts += [spark.read.parquet(fresh)] if fresh is not None else []
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p, allowMissingColumns=True)
-        fresh = f"{root}/{ENTRIES}/{name}-{uuid.uuid4().hex}"
-        union.coalesce(1).write.parquet(fresh)
+        union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts + ([new] if new is not None else []))
+        fresh = _stored(spark, root, name, lambda: union)
     schema = change.rows.schema if change.rows is not None else change.schema
     if not stays:
-        return Table(fresh, schema.json(), list(change.partition_by), list(change.zones))
+        return dataclasses.replace(fresh, schema=schema.json(), partition_by=list(change.partition_by), zones=list(change.zones))
     # a zone counts only if all files have it
     zones = old.zones if change.rows is None else [z for z in change.zones if z in old.zones]
-    return Table(fresh, _merged(old.struct, schema).json(), old.partition_by if change.rows is None else list(change.partition_by), zones)
+    parts_by = old.partition_by if change.rows is None else list(change.partition_by)
+    return dataclasses.replace(fresh, schema=_merged(old.struct, schema).json(), partition_by=parts_by, zones=zones)
 
 
 def overwrite(spark: SparkSession, root: str, rows: DataFrame, partition_by=(), zones=()) -> int:
