@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
 from ledgerloom.llm import shingle_dedup, simhash_dedup
@@ -85,3 +86,16 @@ def test_one_row_of_each_component_whatever_the_ids(spark):
         kept = simhash_dedup.one_of_each(df, near=near)
         got = [(r.doc_id, r.text) for r in kept.collect()]
         assert len(got) == 4 and set(got) == want and kept.columns == df.columns
+
+
+def test_parity_maps_discard_without_loss():
+    rng = random.Random(9)
+    for _ in range(300):
+        n = rng.choice([1, 5, 60, 900, 6000])
+        a = {rng.getrandbits(64) for _ in range(n)}
+        b = {g if rng.random() > 0.12 else rng.getrandbits(64) for g in a} | {rng.getrandbits(64) for _ in range(rng.choice([0, n // 20]))}
+        x, y = (np.array(sorted(s), np.uint64) for s in (a, b))
+        differ = int(np.bitwise_count(shingle_dedup.parity(x) ^ shingle_dedup.parity(y)).sum())
+        assert differ <= len(a ^ b)
+        if 5 * len(a & b) >= 4 * len(a | b):
+            assert 9 * differ <= len(a) + len(b)
