@@ -438,7 +438,8 @@ _kept_gold: dict[tuple[str, str, bool], str] = {}
 def _gold_root(spark: SparkSession, d: str, grown: bool) -> str:
     """All eight tables, made once per application; with `grown` in two runs, the second for a load that reaches into the past."""
     key = (spark.sparkContext.applicationId, d, grown)
-    if key not in _kept_gold:
+    # somebody may have cleaned the folder
+    if key not in _kept_gold or versions.version(spark, f"{_kept_gold[key]}/revenue_summary") is None:
         table, root = new_location(spark, "fact"), new_location(spark, "gold")
         late = (F.col("date_key") >= 20010101) | (F.pmod(F.xxhash64("transaction_id"), F.lit(50)) == 0) & (F.col("date_key") < 19960000)
         fact = star.fact(spark, d).withColumn("load", F.when(late & F.lit(grown), "second").otherwise("first"))

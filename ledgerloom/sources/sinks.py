@@ -63,22 +63,9 @@ def overwrite(df: DataFrame, target: str, **options) -> int:
     return write_counted(df, target, mode="overwrite", **options)
 
 
-def drop_partitions(spark: SparkSession, target: str, column: str, values: list[str]) -> None:
-    """Remove whole partitions by the values of the first partition column."""
-    if is_path(target):
-        jvm = spark._jvm
-        for value in values:
-            path = jvm.org.apache.hadoop.fs.Path(target, f"{column}={_escaped(spark, value)}")
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    elif spark.catalog.tableExists(target):
-        for value in values:
-            quoted = value.replace("\\", "\\\\").replace("'", "\\'")
-            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({column} = '{quoted}')")
-
-
-def _escaped(spark: SparkSession, value: str) -> str:
-    """A partition value as Spark writes it into a directory name."""
-    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+def location_of(spark: SparkSession, table: str) -> str:
+    """Folder of a catalog table's files."""
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first().data_type
 
 
 def overwrite_partitions(
@@ -95,13 +82,12 @@ def overwrite_partitions(
     if is_path(target):
         writer.option("partitionOverwriteMode", "dynamic").parquet(target)
     elif spark.catalog.tableExists(target):
-        setting = "spark.sql.sources.partitionOverwriteMode"  # inserts take it from the session only
-        before = spark.conf.get(setting)
-        spark.conf.set(setting, "dynamic")
-        try:
-            df.select(spark.table(target).columns).write.insertInto(target, overwrite=True)
-        finally:
-            spark.conf.set(setting, before)
+        # inserts take the mode from the session only, which other threads use too; files go to the table's own folder instead
+        columns = spark.table(target).columns
+        df.select(columns).write.mode("overwrite").partitionBy(*partition_by).option(
+            "partitionOverwriteMode", "dynamic").parquet(location_of(spark, target))
+        spark.catalog.recoverPartitions(target)
+        spark.catalog.refreshTable(target)
     else:
         writer.format("parquet").saveAsTable(target)
     return seen.get["rows"]

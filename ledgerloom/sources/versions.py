@@ -187,6 +187,12 @@ def read(
     return rows.select(*columns, *([F.col("_metadata.file_path").alias(named)] if named else []))
 
 
+def view(spark: SparkSession, path: str, name: str) -> None:
+    """Let SQL read a table with commits by a name of the session, as it is now."""
+    store, table = resolve(spark, path)
+    read(spark, version(spark, store), table).createOrReplaceTempView(name)
+
+
 def between(zone: str, low, high) -> Callable[[DataFrame], DataFrame]:
     """Entries of files that may hold values of a zone column from low to high."""
     return lambda listed: listed.filter((F.col(f"high_{zone}") >= F.lit(low)) & (F.col(f"low_{zone}") <= F.lit(high)))

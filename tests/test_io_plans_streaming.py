@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import re
 
 import pytest
@@ -104,6 +105,23 @@ def test_late_rows_and_repeated_epochs(spark, location, values):
     assert bronze_stream.deduplicated(source.withColumn("t", F.current_timestamp()), ["k"], "t", "1 hour").isStreaming
 
 
+def test_files_of_late_data_do_not_grow_with_epochs(spark, location):
+    from ledgerloom.streaming import silver_stream
+
+    for n in range(10):
+        spark.range(20).selectExpr(f"id % 7 + {n % 3} AS k", f"{n} AS ts").coalesce(1).write.mode("append").parquet(location(f"in/{n}"))
+    source = spark.readStream.schema("k bigint, ts int").option("maxFilesPerTrigger", 1).parquet(location("in/*"))
+    silver_stream.upsert_stream(source, ["k"], ["ts"], location("out"), location("cp")).awaitTermination()
+    assert len(versions.numbers(spark, location("out"))) == 3
+    newest = versions.version(spark, location("out"))
+    assert newest.number == 9
+    left = [f for _, _, names in os.walk(location("out/_data")) for f in names if f.endswith(".parquet")]
+    named = {f for n in versions.numbers(spark, location("out")) for t in versions.version(spark, location("out"), n).tables.values() for f in t.files}
+    assert len(left) == len(named) <= 12
+    got = {r.k: r.ts for r in silver_stream.current_rows(spark, location("out")).collect()}
+    assert got == {k: max(n for n in range(10) if n % 3 <= k <= n % 3 + 6) for k in range(9)}
+
+
 def test_run_end_to_end(spark, location):
     from ledgerloom.registry.flows import _deliveries
 

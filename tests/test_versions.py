@@ -125,3 +125,17 @@ def test_fingerprints_tell_contents_not_order(spark, location):
     c = spark.createDataFrame([("y", "z"), (None, "x"), (None, "x")], "a string, b string")
     told = [tuple(df.agg(*versions.fingerprints(["a", "b"])).first()) for df in (a, b, c)]
     assert told[0] == told[1] != told[2]
+
+
+def test_sql_reads_by_a_view(spark, location):
+    versions.overwrite(spark, location("t"), numbered(spark, 0, 4))
+    versions.view(spark, location("t"), "numbered_view")
+    assert spark.sql("SELECT sum(id) AS s FROM numbered_view").first().s == 6
+
+
+def test_steps_together_raise_the_first_error(spark):
+    from ledgerloom.session import together
+
+    assert together({"a": lambda: 1, "b": lambda: 2}) == {"a": 1, "b": 2} and together({}) == {}
+    with pytest.raises(ZeroDivisionError):
+        together({"a": lambda: 1, "b": lambda: 1 // 0})
