@@ -46,12 +46,13 @@ def test_latest_customer_and_ties(spark):
 
 def test_customer_dimension_by_type(spark, location):
     from ledgerloom.plans import silver
+    from ledgerloom.sources import readers
 
     moved = CUSTOMER[:6] + ("CA", "2024-02-01 00:00:00", None)
     spark.createDataFrame([CUSTOMER, moved, CUSTOMER], CUSTOMER_SCHEMA).write.parquet(location("raw"))
     assert silver.build_dim_customer(spark, location("raw"), location("one"), scd_type=1) == 1
     assert silver.build_dim_customer(spark, location("raw"), location("two")) == 2
-    versions = spark.read.parquet(location("two")).orderBy("_effective_from").collect()
+    versions = readers.read_table(spark, location("two")).orderBy("_effective_from").collect()
     assert [(v.country_code, v._is_current) for v in versions] == [("US", False), ("CA", True)]
     assert versions[0]._effective_to == versions[1]._effective_from
 

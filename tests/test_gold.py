@@ -126,4 +126,6 @@ def test_validation(spark):
     assert not validation.amount_range(f).first().passed
     assert validation.null_keys(f, "customer_key").first().actual == 1 / 3
     assert validation.orphan_rate(f, "customer_key", known, "customer_key").first().actual == 0.5
-    assert validation.reconcile(f, f.limit(2), f.limit(1)).first().passed
+    told = f.withColumn("record", validation.record_of(f.columns))
+    assert validation.reconcile(told, told.filter("customer_key IS NOT NULL"), told.filter("customer_key IS NULL")).first().passed
+    assert not validation.reconcile(told, told.filter("customer_key IS NOT NULL"), told.limit(0)).first().passed

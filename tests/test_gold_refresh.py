@@ -13,7 +13,10 @@ from ledgerloom.sources import readers, versions
 COLUMNS = (
     "transaction_id string, date_key int, channel string, transaction_type string, status string, country_code string, customer_key bigint, "
     "merchant_key bigint, amount_usd decimal(18,2), transaction_timestamp timestamp")
-DAY = F.lit("2024-07-01").cast("date")
+
+
+def day():
+    return F.lit("2024-07-01").cast("date")
 
 
 def facts(spark, seed, months, n):
@@ -57,17 +60,17 @@ def test_a_new_load_rewrites_its_groups_only_and_equals_a_rebuild(spark, locatio
     table, root = location("fact"), location("gold")
     first, second = facts(spark, 1, [1, 2, 3, 4, 5, 6], 600), facts(spark, 2, [2], 15)
     publish(spark, table, "a", first)
-    plan.refresh(spark, table, customers, merchants, dates, root, DAY)
+    plan.refresh(spark, table, customers, merchants, dates, root, day())
     before, pairs = files(spark, f"{root}/revenue_summary"), versions.entries(spark, versions.version(spark, f"{root}/rollup"), plan.PAIRS).collect()
     publish(spark, table, "b", second)
-    counts = plan.refresh(spark, table, customers, merchants, dates, root, DAY)
+    counts = plan.refresh(spark, table, customers, merchants, dates, root, day())
     after = files(spark, f"{root}/revenue_summary")
     assert {m for f, m in before.items() if f not in after} == {"202402"} == {m for f, m in after.items() if f not in before}
     kept = {r.file for r in versions.entries(spark, versions.version(spark, f"{root}/rollup"), plan.PAIRS).collect()}
     assert {r.part_month_key for r in pairs if r.file not in kept} == {"202402"}
 
     both = first.unionByName(second)
-    whole = plan.analytics_tables(both, customers, merchants, dates, DAY) | plan.kpi_tables(both, dates, DAY)
+    whole = plan.analytics_tables(both, customers, merchants, dates, day()) | plan.kpi_tables(both, dates, day())
     for name in plan.TABLES:
         made = readers.read_table(spark, f"{root}/{name}")
         assert shown(made) == shown(whole[name]), name
@@ -75,7 +78,7 @@ def test_a_new_load_rewrites_its_groups_only_and_equals_a_rebuild(spark, locatio
 
     # nothing new: the tables by month stay as they are
     at = versions.version(spark, f"{root}/revenue_summary").number
-    assert plan.refresh(spark, table, customers, merchants, dates, root, DAY) == counts
+    assert plan.refresh(spark, table, customers, merchants, dates, root, day()) == counts
     assert versions.version(spark, f"{root}/revenue_summary").number == at
 
 
@@ -84,12 +87,12 @@ def test_a_load_that_shrinks_takes_its_groups_along(spark, location):
     table, root = location("fact"), location("gold")
     publish(spark, table, "a", facts(spark, 3, [1, 2, 3], 200))
     publish(spark, table, "b", facts(spark, 4, [5, 9], 80))
-    plan.refresh(spark, table, customers, merchants, dates, root, DAY)
+    plan.refresh(spark, table, customers, merchants, dates, root, day())
     left = facts(spark, 4, [5, 9], 80).filter("date_key < 20240600 AND customer_key < 4")
     publish(spark, table, "b", left)
-    plan.refresh(spark, table, customers, merchants, dates, root, DAY)
+    plan.refresh(spark, table, customers, merchants, dates, root, day())
     both = facts(spark, 3, [1, 2, 3], 200).unionByName(left)
-    whole = plan.analytics_tables(both, customers, merchants, dates, DAY) | plan.kpi_tables(both, dates, DAY)
+    whole = plan.analytics_tables(both, customers, merchants, dates, day()) | plan.kpi_tables(both, dates, day())
     for name in plan.TABLES:
         assert shown(readers.read_table(spark, f"{root}/{name}")) == shown(whole[name]), name
 
