@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
+from ledgerloom.registry import flows
 from ledgerloom.sources import star
 
 TABLES = "/root/testdata/sf0.001"
@@ -23,3 +25,14 @@ def test_layers_are_written_where_their_join_leaves_them(spark, location, monkey
         assert len(written) == 1 and "Repartition" not in written[0] and "RebalancePartitions" not in written[0]
         # the sort stands below the derived texts
         assert written[0].index("Project") < written[0].index("Sort")
+
+
+def test_landing_files_are_not_gathered(spark, location, monkeypatch):
+    written, real = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, *a, **k: (written.append(plan(w._df)), real(w, *a, **k))[1])
+    rows = spark.range(0, 1000, 1, 8).withColumn("t", F.lit("x"))
+    assert flows.land(rows, location("landing"), 2) == 4
+    assert flows.land(rows.coalesce(1), location("landing"), 2) == 2
+    assert flows.land(rows.limit(0), location("landing"), 2) == 1
+    assert spark.read.parquet(location("landing")).count() == 2000
+    assert not any("Repartition" in w for w in written[:1])
