@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import kpis
 from ledgerloom.registry import flows
 from ledgerloom.sources import star
 
@@ -36,3 +39,14 @@ def test_landing_files_are_not_gathered(spark, location, monkeypatch):
     assert flows.land(rows.limit(0), location("landing"), 2) == 1
     assert spark.read.parquet(location("landing")).count() == 2000
     assert not any("Repartition" in w for w in written[:1])
+
+
+def test_distinct_counts_multiply_no_row(spark):
+    rows = spark.createDataFrame(
+        [(20240101, 1, 1, "1.00"), (20240101, 1, None, "2.00"), (20240102, None, 1, None), (20240201, 2, 2, "5.00"), (None, 3, 3, "7.00"), (None, 3, 4, "1.00")],
+        "date_key int, customer_key long, merchant_key long, a string").withColumn("amount_usd", F.col("a").cast("decimal(18,2)"))
+    rows = rows.withColumn("m", F.floor(F.col("date_key") / 100))
+    got = kpis.activity(rows, ["m"], active_days="date_key")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([
+        (202401, 3, Decimal("3.00"), 1.5, 1, 1, 2), (202402, 1, Decimal("5.00"), 5.0, 1, 1, 1), (None, 2, Decimal("8.00"), 4.0, 1, 2, 0)], key=repr)
+    assert "Expand" not in plan(got)
