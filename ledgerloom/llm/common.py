@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.session import new_location
+from ledgerloom.session import new_location, shuffles_removed
 
 #: ASCII white space, the separators of the word contract `[^\x20\x09-\x0D]+`.
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -31,7 +31,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read back: lineage ends here, lost executors lose nothing."""
     spark = df.sparkSession
     path = new_location(spark, label)
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -57,13 +58,22 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-#: rows of a few numbers that may be broadcast, about 30 MB in a task
-HELD = 1_000_000
+#: rows of a few numbers that may be broadcast, about 15 to 30 MB in a task, and more in the driver that sends them
+HELD = 500_000
 
 
 def held(df: DataFrame, most: int = HELD) -> DataFrame:
     """A stored frame of a few numbers a row, to be broadcast if its count allows, else joined by shuffle."""
-    return F.broadcast(df) if df.count() <= most else df
+    return F.broadcast(df) if df.count() <= most else apart(df)
+
+
+def apart(df: DataFrame) -> DataFrame:
+    """The frame, to be joined by shuffle and sort whatever its size is guessed to be.
+
+    Spark takes the rows of an explode for as many as went in and a file's bytes for the rows' size in memory, and would send
+    a table of many millions of rows through the driver.
+    """
+    return df.hint("merge")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import apart, stored
 
 
 def _links(df: DataFrame) -> DataFrame:
@@ -22,9 +22,9 @@ def _contracted(links: DataFrame) -> DataFrame:
     """
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = both.join(apart(least), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     least = large.groupBy("a").agg(F.min("b").alias("m"))
-    small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    small = large.join(apart(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _links(small.unionByName(least.select("a", F.col("m").alias("b"))))
 
 

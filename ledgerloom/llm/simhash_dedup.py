@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import row_key, stored, unused
+from ledgerloom.llm.common import apart, row_key, stored, unused
 from ledgerloom.llm.components import roots
 
 SEED = 42
@@ -141,12 +141,14 @@ def links(fps: DataFrame, bits: int = 4, blocks: int = 7, references: int = 16)
     tables = list(combinations(range(blocks), blocks - bits))
     combined = [_signed(sum(masks[i] for i in t)) for t in tables]
     fp = F.col("fp")
-    base = fps.select("fp").distinct().select("fp", *_pivot_rows(fp, refs))
+    # a fixed number of parts: adaptive execution would put the few bytes of the fingerprints into one task, which then makes all their keys
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = fps.select("fp").repartition(parts, "fp").distinct().select("fp", *_pivot_rows(fp, refs))
     packs = [c for c in base.columns if c != "fp"]
     keys = F.array(*[F.struct(F.lit(i).alias("t"), fp.bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(combined)])
     keyed = base.select("fp", *packs, F.inline(keys))
     sizes = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(keyed.join(sizes, ["t", "k"]), "bucket_members")
+    members = stored(keyed.join(apart(sizes), ["t", "k"]), "bucket_members")
 
     small = members.filter(F.col("n") <= DIRECT)
     first = " ".join(
@@ -155,7 +157,7 @@ def links(fps: DataFrame, bits: int = 4, blocks: int = 7, references: int = 16)
     )
     near = f"x.fp < y.fp AND {_within(references, bits)} AND CASE x.t {first} END"
     pairs = (
-        small.alias("x").join(small.alias("y"), F.expr(f"x.t = y.t AND x.k = y.k AND {near}"))
+        small.alias("x").join(apart(small).alias("y"), F.expr(f"x.t = y.t AND x.k = y.k AND {near}"))
         .select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
     )
     large = members.filter(F.col("n") > DIRECT)
@@ -179,10 +181,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     marked = stored(fingerprints(docs, id, text, shingle), "fingerprints")
     distinct = marked.groupBy("fp").agg(F.min("id").alias("least"))
     root = roots(links(marked, bits), "a", "b").select(F.col("node").alias("fp"), "root")
-    placed = distinct.join(root, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    placed = distinct.join(apart(root), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = placed.join(least, "root").select("fp", "component_id")
-    return marked.join(component, "fp").select(
+    component = placed.join(apart(least), "root").select("fp", "component_id")
+    return marked.join(apart(component), "fp").select(
         F.col("id").alias(id),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -201,6 +203,8 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", near=ne
     lead = found.filter(F.col("own") == F.col("component_id")).select("own.id", "own.row").distinct()
     key, rank = unused(docs, "row_key"), unused(docs, "rank")
     keyed = docs.withColumn(key, row_key(id, text))
-    picked = keyed.join(lead, (keyed[key] == lead["row"]) & keyed[id].eqNullSafe(lead["id"]), "left_semi")
+    # the ids are no key of the join, so that one exchange of the texts serves the join and the window
+    same = F.coalesce(keyed[id] == lead["id"], keyed[id].isNull() & lead["id"].isNull())
+    picked = keyed.join(lead, (keyed[key] == lead["row"]) & same, "left_semi")
     one = Window.partitionBy(key, id).orderBy(key)
     return picked.withColumn(rank, F.row_number().over(one)).filter(F.col(rank) == 1).drop(key, rank)
