@@ -187,3 +187,23 @@ def test_entry_contract(spark):
     from ledgerloom.registry import ORACLES, QUERIES
 
     assert set(QUERIES) == set(ORACLES) <= set(contract.queries())
+
+
+def test_json_landing_is_compressed_and_whole(spark, tmp_path, monkeypatch):
+    from ledgerloom.registry import flows
+
+    monkeypatch.setattr(flows, "new_location", lambda _, name: str(tmp_path / name))
+    loaded = flows.load_transactions_json(spark, "/root/testdata/sf0.001")
+    files = [p.name for p in (tmp_path / "landing").glob("part-*")]
+    assert files and all(n.endswith(".json.gz") for n in files)
+    assert loaded.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+
+
+def test_write_leaves_no_shuffle_files(spark, location):
+    from ledgerloom.sources import star
+
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = blocks.getAllFiles().size()
+    for name in ("customers", "merchants"):
+        versions.overwrite(spark, location(name), getattr(star, name)(spark, "/root/testdata/sf0.001").repartition(3))
+    assert blocks.getAllFiles().size() <= before
